@@ -180,6 +180,7 @@ def page_batches(pages: DataFrame, batch_size: int) -> DataFrame:
         F.struct(F.struct(F.col("body").alias("value")).alias("storage")).alias("body"),
         F.col("ancestors"),
         F.col("page_id").alias("id"),
+        F.col("url"),
     )
     start = (F.floor(F.col("p") / batch_size) * batch_size).cast("int")
     grouped = listed.groupBy("source_dir", start.alias("start")).agg(

@@ -301,7 +301,7 @@ readme AS (
   SELECT c.pos, f.rel_path FROM doc_cat c JOIN doc_files f ON f.source_dir = c.source_dir AND f.rel_path = 'README.md'
 ),
 n AS (SELECT (SELECT count(*) FROM doc_cat) AS ns, (SELECT count(*) FROM loaded) AS ni)
-SELECT CAST({BUCKET_ID} AS BIGINT) AS bucket_id, CAST(source_id + n.ns AS BIGINT) AS external_source_id,
+SELECT CAST({OTHER_BUCKET_ID} AS BIGINT) AS bucket_id, CAST(source_id + n.ns AS BIGINT) AS external_source_id,
        CAST(item_id + n.ni AS BIGINT) AS external_item_id, filename AS url, sha256(content) AS content_hash
 FROM loaded, n
 UNION ALL
