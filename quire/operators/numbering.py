@@ -110,7 +110,12 @@ def prefix_sum(
     spark = df.sparkSession
     n = _partitions(df, num_partitions)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    schema = df.schema.add(_PID, "int").add("__q_run", "long")
+    from pyspark.sql import types as T
+
+    schema = T.StructType(
+        list(df.schema.fields)
+        + [T.StructField(_PID, T.IntegerType()), T.StructField("__q_run", T.LongType())]
+    )
 
     def running(batches):
         pid = TaskContext.get().partitionId()
