@@ -32,7 +32,9 @@ def load_sources(
     Keeps ``pos`` so items can be attached; :func:`source_table` drops it.
     """
     _check_bucket_id(bucket_id)
-    numbered = dense_number(manifest.select("pos", "logical_name"), ["pos"], "sid", start=id_base + 1)
+    numbered = dense_number(
+        manifest.select("pos", "logical_name"), ["pos"], "sid", start=id_base + 1, small=True
+    )
     return numbered.select(
         F.lit(bucket_id).cast("int").alias("bucket_id"),
         F.col("sid").cast("int").alias("external_source_id"),
@@ -77,8 +79,13 @@ def load_items(
         state.alias("processing_state"),
         *keep,
     )
+    # (source, rel_path) is a key of a snapshot, so only keys are numbered.
     numbered = dense_number(
-        attached, ["external_source_id", "url", "rel_path"], "external_item_id", start=id_base + 1
+        attached,
+        ["external_source_id", "url", "rel_path"],
+        "external_item_id",
+        start=id_base + 1,
+        unique_keys=True,
     )
     return numbered.select(
         "bucket_id",

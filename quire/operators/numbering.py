@@ -4,8 +4,8 @@
 range-partition on the (unique) order key, sort within partitions, tag each
 row with its partition and its index inside it, materialise that once in the
 shared checkpoint folder, and add the row count of all earlier partitions.
-The per-partition counts are as many rows as partitions, so broadcasting
-them is bounded by configuration, not by data.  Because the order key is
+The per-partition counts are as many numbers as partitions, bounded by
+configuration rather than data, so they are fetched once and inlined.  Because the order key is
 unique the ids do not depend on how the rows were partitioned, so a retried
 or re-planned job assigns the same ids.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.stage import materialize
 from quire.session import staging_path
 
 _PID = "__q_pid"
@@ -27,19 +28,43 @@ def _partitions(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+# A table of at most this many rows may be numbered by one task.
+SMALL_TABLE_ROWS = 100_000
+
+
 def dense_number(
     df: DataFrame,
     order_cols: list[str],
     out_col: str,
     num_partitions: int | None = None,
     start: int = 1,
+    small: bool = False,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """Add ``out_col`` = position of the row in ``order_cols`` order (from ``start``).
 
     ``order_cols`` must identify a row uniquely, else ties get an arbitrary
-    (but still dense) order.
+    (but still dense) order.  ``unique_keys=True`` promises that they do:
+    then only the key columns go through the numbering.  ``small=True`` is a hint for configuration-
+    sized tables (source catalogues): if the table indeed has at most
+    ``SMALL_TABLE_ROWS`` rows it is numbered by a single window task,
+    otherwise by the two-pass plan below.
     """
     spark = df.sparkSession
+    if unique_keys:
+        # Number the key projection only (no payload columns are read for the
+        # range sampling or staged), then attach the ids with one join on the
+        # unique key.  Null-safe, so null key parts still match.
+        keys = dense_number(df.select(*order_cols), order_cols, out_col, num_partitions, start, small)
+        cond = [df[c].eqNullSafe(keys[c]) for c in order_cols]
+        return df.join(keys, cond).select(df["*"], keys[out_col])
+    if small:
+        # Land the (expected small) input once: the size check and the
+        # numbering then read the same rows without recomputing them.
+        df = materialize(df, "small")
+        if df.count() <= SMALL_TABLE_ROWS:
+            w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+            return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
     n = _partitions(df, num_partitions)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     tagged = (
@@ -54,17 +79,25 @@ def dense_number(
     path = staging_path(spark, "numbering")
     tagged.write.parquet(path)
     staged = spark.read.parquet(path)
-    counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__q_n"))
-    # As many rows as partitions: a window over it is tiny by construction.
-    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PID, F.coalesce(F.sum("__q_n").over(w), F.lit(0)).alias("__q_off")
-    )
-    return (
-        staged.join(F.broadcast(offsets), _PID)
-        .withColumn(out_col, (F.col("__q_off") + F.col(_IDX) + F.lit(start)).cast("long"))
-        .drop(_PID, _IDX, "__q_off")
+    offset = _partition_offsets(staged, F.lit(1), n)
+    return staged.withColumn(out_col, (offset + F.col(_IDX) + F.lit(start)).cast("long")).drop(_PID, _IDX)
+
+
+def _partition_offsets(staged: DataFrame, value, n: int):
+    """Column: total of ``value`` over all range partitions before the row's own.
+
+    The totals are one number per partition (bounded by configuration, not
+    by data), fetched once and inlined as a literal array, so the numbered
+    table is a plain projection of the staged one.
+    """
+    totals = dict(
+        staged.groupBy(_PID).agg(F.sum(value).alias("t")).select(_PID, "t").collect()
     )
+    offsets, run = [], 0
+    for pid in range(n):
+        offsets.append(run)
+        run += int(totals.get(pid) or 0)
+    return F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
 
 
 def rank_within(
@@ -77,11 +110,12 @@ def rank_within(
 ) -> DataFrame:
     """``row_number() over (partition by g order by o) - 1 + start`` without a per-group task.
 
-    Rows are numbered globally in (group, order) order; the first number of
+    (group, order) must identify a row.  Rows are numbered globally in
+    (group, order) order; the first number of
     each group comes from a partial aggregation (map-side combined, so a hot
     group costs one row per map task) and is subtracted.
     """
-    numbered = dense_number(df, group_cols + order_cols, "__q_g", num_partitions)
+    numbered = dense_number(df, group_cols + order_cols, "__q_g", num_partitions, unique_keys=True)
     firsts = numbered.groupBy(*group_cols).agg(F.min("__q_g").alias("__q_first"))
     from quire.operators.sizing import bounded_broadcast
 
@@ -132,11 +166,5 @@ def prefix_sum(
     path = staging_path(spark, "prefix")
     ranged.mapInPandas(running, schema).write.parquet(path)
     staged = spark.read.parquet(path)
-    totals = staged.groupBy(_PID).agg(F.sum(value_col).alias("__q_tot"))
-    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(_PID, F.coalesce(F.sum("__q_tot").over(w), F.lit(0)).alias("__q_off"))
-    return (
-        staged.join(F.broadcast(offsets), _PID)
-        .withColumn(out_col, (F.col("__q_off") + F.col("__q_run")).cast("long"))
-        .drop(_PID, "__q_run", "__q_off")
-    )
+    offset = _partition_offsets(staged, F.col(value_col), n)
+    return staged.withColumn(out_col, (offset + F.col("__q_run")).cast("long")).drop(_PID, "__q_run")

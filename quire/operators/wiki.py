@@ -22,6 +22,7 @@ from quire.functions.naming import page_hierarchy, page_stem
 from quire.functions.text import html_to_markdown
 from quire.operators.numbering import prefix_sum
 from quire.operators.sizing import bounded_broadcast
+from quire.operators.stage import materialize
 
 # Batch size of the paged listing, page file suffix, space document name.
 API_BATCH_SIZE = 100
@@ -51,15 +52,24 @@ def _batch_view(batches: DataFrame, batch_size: int) -> DataFrame:
     ).where((F.col("start") >= 0) & (F.col("start") % batch_size == 0))
 
 
-def stop_points(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
+def batch_keys(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
+    """One small row per batch: (source_dir, k, start, n, failed), materialised.
+
+    Every decision of the paging rules is taken on this table; the page
+    contents are read again only to emit the kept pages.
+    """
+    keys = _batch_view(batches, batch_size).select("source_dir", "k", "start", "n", "failed")
+    return materialize(keys, "batch-keys")
+
+
+def stop_points(keys: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
     """Per source, the index of the batch at which paging ends.
 
     Paging ends at the first batch that is short (fewer results than the
     batch size), failed (non-2xx status or unparsable body), or missing.
     """
-    b = _batch_view(batches, batch_size).select("source_dir", "k", "n", "failed")
-    ended = b.where(F.col("failed") | (F.col("n") < batch_size)).select("source_dir", "k")
-    present = b.select("source_dir", "k")
+    ended = keys.where(F.col("failed") | (F.col("n") < batch_size)).select("source_dir", "k")
+    present = keys.select("source_dir", "k")
     # A batch is missing when its predecessor is present and it is not,
     # or when it is the first batch of a source that has any batch.
     successors = present.select("source_dir", (F.col("k") + 1).alias("k"))
@@ -68,31 +78,56 @@ def stop_points(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFra
     return ended.unionByName(missing).groupBy("source_dir").agg(F.min("k").alias("stop_k"))
 
 
+def _keep():
+    return (F.col("k") < F.col("stop_k")) | ((F.col("k") == F.col("stop_k")) & ~F.col("failed"))
+
+
+class _Paging:
+    """Keys, stop points and the oversize flag of one batch table, computed once."""
+
+    def __init__(self, batches: DataFrame, batch_size: int):
+        self.batches = batches
+        self.batch_size = batch_size
+        self.keys = batch_keys(batches, batch_size)
+        self.stops = bounded_broadcast(materialize(stop_points(self.keys, batch_size), "stops"))
+        self.oversized = self.keys.where(F.col("n") > batch_size).limit(1).count() > 0
+
+    def kept(self) -> DataFrame:
+        b = _batch_view(self.batches, self.batch_size)
+        return b.join(self.stops, "source_dir").where(_keep()).drop("stop_k")
+
+    def failed(self) -> DataFrame:
+        return (
+            self.keys.join(self.stops, "source_dir")
+            .where((F.col("k") == F.col("stop_k")) & F.col("failed"))
+            .select(
+                "source_dir",
+                F.lit(None).cast("string").alias("rel_path"),
+                F.lit("page_batch_failed").alias("reason"),
+                F.concat(F.lit("start="), F.col("start").cast("string")).alias("detail"),
+            )
+        )
+
+    def pages(self) -> DataFrame:
+        return pages_of(self.kept(), self.batch_size, self.oversized)
+
+
 def kept_batches(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
     """Batches before the stop point, plus the stop batch itself when it did not fail."""
-    b = _batch_view(batches, batch_size)
-    stops = bounded_broadcast(stop_points(batches, batch_size))
-    keep = (F.col("k") < F.col("stop_k")) | ((F.col("k") == F.col("stop_k")) & ~F.col("failed"))
-    return b.join(stops, "source_dir").where(keep).drop("stop_k")
+    return _Paging(batches, batch_size).kept()
 
 
 def failed_batches(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
     """The failed batch that ended paging of a source, as reject rows."""
-    b = _batch_view(batches, batch_size)
-    stops = bounded_broadcast(stop_points(batches, batch_size))
-    return (
-        b.join(stops, "source_dir")
-        .where((F.col("k") == F.col("stop_k")) & F.col("failed"))
-        .select(
-            "source_dir",
-            F.lit(None).cast("string").alias("rel_path"),
-            F.lit("page_batch_failed").alias("reason"),
-            F.concat(F.lit("start="), F.col("start").cast("string")).alias("detail"),
-        )
-    )
+    return _Paging(batches, batch_size).failed()
+
+
+def listed_pages(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
+    """Pages of the kept batches with their ordinals (S5 + F5)."""
+    return _Paging(batches, batch_size).pages()
 
 
-def pages_of(kept: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
+def pages_of(kept: DataFrame, batch_size: int = API_BATCH_SIZE, oversized: bool | None = None) -> DataFrame:
     """One row per page of the kept batches, with its 0-based ordinal in the source.
 
     All kept batches but the last are full, so when none holds more than the
@@ -100,7 +135,8 @@ def pages_of(kept: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
     than asked for shifts later ordinals; then the offsets are an exact
     running sum of batch sizes, computed without a per-source window.
     """
-    oversized = kept.where(F.col("n") > batch_size).limit(1).count() > 0
+    if oversized is None:
+        oversized = kept.where(F.col("n") > batch_size).limit(1).count() > 0
     if oversized:
         offsets = _batch_offsets(kept)
         kept = kept.join(offsets, ["source_dir", "k"])
@@ -183,8 +219,8 @@ def wiki_files(
     ``spaces`` holds one ``(source_dir, body)`` row per space document; it
     becomes the item ``space.json`` of that source (U2).
     """
-    kept = kept_batches(batches, batch_size)
-    pages = cap_pages(pages_of(kept, batch_size), page_limit)
+    paging = _Paging(batches, batch_size)
+    pages = cap_pages(paging.pages(), page_limit)
     named = last_write_wins(page_files(pages))
     ok, bad_names = writable(named)
     files = ok.select(
@@ -202,5 +238,5 @@ def wiki_files(
                 F.col("body").cast("binary").alias("content"),
             )
         )
-    rejects = bad_names.unionByName(failed_batches(batches, batch_size))
+    rejects = bad_names.unionByName(paging.failed())
     return files, rejects

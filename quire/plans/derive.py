@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.naming import git_dir_name, logical_name, source_dir, wiki_dir_name
 from quire.operators.numbering import dense_number, rank_within
+from quire.operators.stage import materialize
 
 # Fixed values of the derivation (mirrored in the SQL).
 GIT_HOST = "https://git.example.com/"
@@ -106,7 +107,7 @@ def _numbered_catalogue(cat: DataFrame) -> DataFrame:
     cat = cat.withColumn(
         "source_dir", source_dir("type", "repo_url", "reference", "base_url", "space_key")
     ).withColumn("logical_name", logical_name("type", "repo_url", "base_url", "space_key"))
-    return dense_number(cat, ["source_dir"], "pos").withColumn("pos", F.col("pos").cast("int"))
+    return dense_number(cat, ["source_dir"], "pos", small=True).withColumn("pos", F.col("pos").cast("int"))
 
 
 def manifest_of(catalogue: DataFrame) -> DataFrame:
@@ -188,13 +189,15 @@ def page_batches(pages: DataFrame, batch_size: int) -> DataFrame:
         F.max(F.col("url").contains(".html")).alias("bad_status"),
         F.min(F.col("url").endswith("#top")).alias("bad_body"),
     )
-    return grouped.select(
+    landed = grouped.select(
         "source_dir",
         "start",
         F.when(F.col("bad_status"), F.lit(503)).otherwise(F.lit(200)).alias("status"),
         (~F.col("bad_body")).alias("parsed"),
         F.transform("lst", lambda x: x["page"]).alias("results"),
     )
+    # Landed once as parquet, like real landed responses.
+    return materialize(landed, "batches")
 
 
 def page_spaces(pages: DataFrame) -> DataFrame:

@@ -132,7 +132,7 @@ def q_page_stems(spark, sf) -> DataFrame:
 
 def _kept_pages(spark, sf, batch=WIKI_BATCH):
     batches = derive.page_batches(table(spark, sf, "pages"), batch)
-    return wiki.pages_of(wiki.kept_batches(batches, batch), batch)
+    return wiki.listed_pages(batches, batch)
 
 
 def q_paging_stop(spark, sf) -> DataFrame:

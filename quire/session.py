@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -59,7 +60,44 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+_STAGED: list[str] = []
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the checkpoint folder for a materialised step."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/quire-staging/{label}-{uuid.uuid4().hex}"
+    path = f"{base}/quire-staging/{label}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
+
+
+def cleanup_staging(spark: SparkSession | None = None) -> int:
+    """Delete the staging folders this process created; returns how many.
+
+    DataFrames read from them become unusable, so call it when the work is
+    done (the engine also tries at interpreter exit).  Uses the Hadoop file
+    system of each path, so it works for local, HDFS and object-store folders.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None or not _STAGED:
+        return 0
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _STAGED:
+        path = _STAGED.pop()
+        try:
+            jpath = jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(conf).delete(jpath, True)
+            done += 1
+        except Exception:  # the folder may already be gone
+            pass
+    return done
+
+
+@atexit.register
+def _cleanup_at_exit() -> None:
+    try:
+        cleanup_staging()
+    except Exception:
+        pass
