@@ -56,3 +56,8 @@ def snapshot_diff(previous: DataFrame, current: DataFrame) -> DataFrame:
 def checksum_audit(bucket_items: DataFrame) -> DataFrame:
     """Stored content re-hashed and compared with the recorded ``content_hash`` (R2)."""
     return bucket_items.withColumn("ok", F.sha2(F.col("content"), 256) == F.col("content_hash"))
+
+
+def recently_modified(files: DataFrame, since) -> DataFrame:
+    """Files changed at or after ``since`` (R3); needs the ``modified`` column of the tree scan."""
+    return files.where(F.col("modified") >= F.lit(since).cast("timestamp"))

@@ -9,6 +9,7 @@ exactly that bucket and never touches another one).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,16 +47,18 @@ def _overwrite_bucket(spark: SparkSession, table: str, df: DataFrame, bucket_id:
     cols = [c for c in spark.table(table).columns if c != "bucket_id"]
     path = staging_path(spark, label)
     df.select(*cols).write.parquet(path)
-    view = f"quire_stage_{label}"
+    view = f"quire_stage_{uuid.uuid4().hex}"
     spark.read.parquet(path).createOrReplaceTempView(view)
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (bucket_id = {int(bucket_id)}) "
         f"SELECT {', '.join(cols)} FROM {view}"
     )
     spark.catalog.dropTempView(view)
+    spark.catalog.refreshTable(table)
 
 
 def _next_id(spark: SparkSession, table: str, col: str) -> int:
+    spark.catalog.refreshTable(table)
     row = spark.table(table).agg(F.max(col).alias("m")).collect()[0]
     return int(row["m"] or 0)
 
