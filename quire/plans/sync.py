@@ -107,3 +107,55 @@ def sync_report_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     srcs = bucket.load_sources(manifest, 7)
     loaded = bucket.load_items(items, srcs)
     return report.sync_report(bucket.source_table(srcs), loaded)
+
+
+def sync_landed(
+    spark: SparkSession,
+    sources: DataFrame,
+    bucket_id: int,
+    tree_root: str | None = None,
+    wiki_responses: str | None = None,
+    kind: str = "FlattenFiles",
+    page_limit: int | None = None,
+    sources_table: str = "bucket_sources",
+    items_table: str = "bucket_items",
+    strict: bool = True,
+) -> SyncResult:
+    """Whole sync from landed data: catalogue -> files of every source -> gated refresh -> report.
+
+    Repository snapshots are read from ``tree_root/<source_dir>/`` (S2/S3);
+    wiki spaces from landed responses (S4/S5) through stop, cap, names and
+    last write wins.  Both become one ``files`` table (U3).
+    """
+    from quire.operators import wiki
+    from quire.sources import catalogue, landed, treescan
+
+    bad = catalogue.invalid_sources(sources).limit(1).collect()
+    if bad:
+        raise ValueError(f"invalid source at position {bad[0]['pos']}: {bad[0]['reason']}")
+    man = catalogue.manifest(sources)
+    parts = []
+    git_dirs = [r["source_dir"] for r in man.where(F.col("type") == "git").select("source_dir").distinct().collect()]
+    if tree_root is not None and git_dirs:  # configuration-sized list of folders
+        import os
+
+        present = [d for d in git_dirs if os.path.isdir(os.path.join(tree_root, d))]
+        if present:
+            parts.append(treescan.read_tree(spark, tree_root, sources=present).drop("modified"))
+    rejects = []
+    if wiki_responses is not None:
+        resp = landed.read_responses(spark, wiki_responses)
+        spaces = landed.space_documents(resp)
+        landed.check_spaces(spaces)
+        wfiles, wrej = wiki.wiki_files(landed.content_batches(resp), spaces, page_limit=page_limit)
+        parts.append(wfiles)
+        rejects.append(wrej)
+    files = spark.createDataFrame([], schemas.FILES)
+    for p in parts:
+        files = files.unionByName(p)
+    result = synchronise(
+        spark, files, man.drop("original_source"), bucket_id, kind, sources_table, items_table, strict
+    )
+    for r in rejects:
+        result.rejects = result.rejects.unionByName(r)
+    return result

@@ -3,8 +3,9 @@
 Spark's ``binaryFile`` source drops every name starting with ``.`` or ``_``
 (``.gitignore``, ``__init__.py``), so the listing is a Python data source
 (format ``treescan``).  The driver only lists the first level of each
-source folder; each first-level subfolder becomes one input partition that
-an executor walks.  Folders named ``.git`` or ``target`` are not entered
+source folder; each first-level subfolder is a unit that one executor task
+walks, and units are dealt round-robin into at most ``maxSplits`` input
+partitions.  Folders named ``.git`` or ``target`` are not entered
 (F1), only regular files are taken, links are followed with a guard against
 loops, broken links are skipped (F2).
 
@@ -32,14 +33,21 @@ def _lossy(name: str) -> str:
     return os.fsencode(name).decode("utf-8", "replace")
 
 
-class _Unit(InputPartition):
+class _Unit:
     def __init__(self, root: str, source_dir: str, child: str | None):
-        super().__init__((root, source_dir, child))
         self.root = root
         self.source_dir = source_dir
         self.child = child  # None: the files directly in the source folder
 
 
+class _Split(InputPartition):
+    """Several listing units read by one task."""
+
+    def __init__(self, units: list[_Unit]):
+        super().__init__(len(units))
+        self.units = units
+
+
 def _is_dir(path: str) -> bool:
     try:
         return stat.S_ISDIR(os.stat(path).st_mode)
@@ -59,6 +67,7 @@ class _TreeReader(DataSourceReader):
         self.root = options["path"]
         wanted = options.get("sources")
         self.sources = [s for s in wanted.split(",") if s] if wanted else None
+        self.max_splits = int(options.get("maxSplits", "64"))
 
     def partitions(self):
         units = []
@@ -73,13 +82,16 @@ class _TreeReader(DataSourceReader):
             for child in sorted(os.listdir(base)):
                 if child not in PRUNED_DIRS and _is_dir(os.path.join(base, child)):
                     units.append(_Unit(self.root, src, child))
-        return units or [_Unit(self.root, "", None)]
+        n = max(1, min(self.max_splits, len(units)))
+        return [_Split(units[i::n]) for i in range(n)]
 
-    def read(self, unit: _Unit):
+    def read(self, split: _Split):
+        for unit in split.units:
+            yield from self._read_unit(unit)
+
+    def _read_unit(self, unit: _Unit):
         import datetime
 
-        if not unit.source_dir:
-            return
         base = os.path.join(unit.root, unit.source_dir)
 
         def row(rel_parts, full):
@@ -136,7 +148,8 @@ def register(spark: SparkSession) -> None:
 
 def list_tree(spark: SparkSession, root: str, sources: list[str] | None = None) -> DataFrame:
     register(spark)
-    reader = spark.read.format("treescan").option("path", root)
+    splits = 2 * spark.sparkContext.defaultParallelism
+    reader = spark.read.format("treescan").option("path", root).option("maxSplits", str(splits))
     if sources is not None:
         reader = reader.option("sources", ",".join(sources))
     return reader.load()

@@ -83,3 +83,38 @@ def test_incremental_stream(spark, tmp_path):
     assert sorted(r["external_source_name"] for r in spark.table(s).collect()) == ["repo-a", "repo-b"]
     spark.sql(f"DROP TABLE {s}")
     spark.sql(f"DROP TABLE {i}")
+
+
+def test_sync_landed_end_to_end(spark, tmp_path):
+    import os
+
+    from quire.plans import sync
+
+    git_dir = "git_https___example.com_o_r_main"
+    wiki_dir = "confluence_https___w.example.com_wiki_K"
+    for rel, data in {"README.md": b"# r\n", "src/lib.rs": b"fn f(){}", ".git/HEAD": b"ref", "target/x.o": b"\x00"}.items():
+        p = tmp_path / "trees" / git_dir / rel
+        os.makedirs(p.parent, exist_ok=True)
+        p.write_bytes(data)
+    responses = [
+        {"source_dir": wiki_dir, "status": 200, "body": json.dumps({"key": "K"})},
+        {"source_dir": wiki_dir, "start": 0, "status": 200, "body": json.dumps({"results": [
+            {"title": "main", "body": {"storage": {"value": "<h1>Main</h1>"}}, "ancestors": []}]})},
+    ]
+    (tmp_path / "wiki.jsonl").write_text("\n".join(json.dumps(r) for r in responses))
+    sources = catalogue.sources_frame(spark, [
+        {"type": "git", "repo_url": "https://example.com/o/r"},
+        {"type": "confluence", "base_url": "https://w.example.com/wiki/", "space_key": "K"},
+    ])
+    tag = uuid.uuid4().hex[:8]
+    s, i = f"es_{tag}", f"ei_{tag}"
+    spark.sql(f"CREATE TABLE {s} ({schemas.BUCKET_SOURCES}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/s'")
+    spark.sql(f"CREATE TABLE {i} ({schemas.BUCKET_ITEMS}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/i'")
+    res = sync.sync_landed(spark, sources, 7, str(tmp_path / "trees"), str(tmp_path / "wiki.jsonl"),
+                           sources_table=s, items_table=i)
+    rep = {r["source_name"]: sorted(x["item_name"] for x in r["items"]) for r in res.report.collect()}
+    assert rep == {
+        "https://example.com/o/r": ["README.md", "src__lib.rs"],
+        "https://w.example.com/wiki/:K": ["main.md", "space.json"],
+    }
+    assert res.n_sources == 2 and res.n_items == 4
