@@ -80,13 +80,38 @@ def flat_name(rel_path, max_bytes: int = FLAT_NAME_MAX_BYTES) -> Column:
     ``max_bytes`` UTF-8 bytes the leading directory is dropped.  The basename
     is never cut, so a long basename alone may still exceed the bound.
 
-    One linear pass over the directory byte lengths finds how many leading
-    directories to drop; the name itself is then built once.
+    Three native paths, cheapest first:
+    * the whole name fits: one ``replace``;
+    * ASCII path (bytes = characters): mark every ``/`` as two NUL characters
+      (NUL cannot occur in a file name, and the mark is as long as ``__``);
+      the earliest mark followed by at most ``max_bytes`` characters up to
+      the end starts the longest suffix that fits;
+    * otherwise one linear pass over the directory byte lengths (a lambda,
+      interpreted, but only for long non-ASCII paths).
     """
-    segs = F.split(_c(rel_path), "/")
+    path = _c(rel_path)
+    base = F.substring_index(path, "/", -1)
+    full = F.replace(path, F.lit("/"), F.lit(FLAT_SEPARATOR))
+    fits = F.octet_length(full) <= max_bytes
+    ascii_only = F.octet_length(path) == F.length(path)
+    mark = "\u0000\u0000"
+    marked = F.replace(path, F.lit("/"), F.lit(mark))
+    # A mark followed by at most max_bytes characters lies inside the last
+    # max_bytes + 2 characters; the first such mark starts the answer.
+    window = F.right(marked, F.lit(max_bytes + len(mark)))
+    at = F.instr(window, mark)
+    tail = F.substr(window, at + len(mark))
+    ascii_cut = F.when(at > 0, F.replace(tail, F.lit(mark), F.lit(FLAT_SEPARATOR))).otherwise(base)
+    return (
+        F.when(fits, full)
+        .when(ascii_only, ascii_cut)
+        .otherwise(_flat_name_bytes(F.split(path, "/"), base, max_bytes))
+    )
+
+
+def _flat_name_bytes(segs: Column, base: Column, max_bytes: int) -> Column:
     n_dirs = F.size(segs) - 1
     dirs = F.slice(segs, 1, n_dirs)
-    base = F.element_at(segs, -1)
     sep = len(FLAT_SEPARATOR)
     full_len = F.aggregate(
         dirs, F.octet_length(base).cast("long"), lambda acc, d: acc + F.octet_length(d) + sep
