@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quire.functions.text import lossy_utf8
 from quire.operators.numbering import dense_number
 from quire.operators.sizing import bounded_broadcast
+from quire.operators.stage import materialize
 
 # Fixed value: the state every created item must report.
 SUBMITTED = "Submitted"
@@ -35,7 +36,7 @@ def load_sources(
     numbered = dense_number(
         manifest.select("pos", "logical_name"), ["pos"], "sid", start=id_base + 1, small=True
     )
-    return numbered.select(
+    created = numbered.select(
         F.lit(bucket_id).cast("int").alias("bucket_id"),
         F.col("sid").cast("int").alias("external_source_id"),
         F.col("logical_name").alias("external_source_name"),
@@ -43,6 +44,8 @@ def load_sources(
         F.lit(as_of).cast("string").alias("updated_datetime"),
         "pos",
     )
+    # Configuration-sized; landed once so ids and size checks never recompute it.
+    return materialize(created, "sources")
 
 
 def source_table(loaded_sources: DataFrame) -> DataFrame:
