@@ -1,13 +1,15 @@
 """Scan landed repository snapshots ``<root>/<source_dir>/...`` into ``files`` rows.
 
 Spark's ``binaryFile`` source drops every name starting with ``.`` or ``_``
-(``.gitignore``, ``__init__.py``), so the listing is a Python data source
-(format ``treescan``).  The driver only lists the first level of each
-source folder; each first-level subfolder is a unit that one executor task
-walks, and units are dealt round-robin into at most ``maxSplits`` input
-partitions.  Folders named ``.git`` or ``target`` are not entered
-(F1), only regular files are taken, links are followed with a guard against
-loops, broken links are skipped (F2).
+(``.gitignore``, ``__init__.py``)
+so the listing is a Python data source (format ``treescan``).  The driver
+lists folders (never files) of the top ``splitDepth`` levels of each source;
+every folder there becomes a unit whose own files one task lists, and every
+folder at that depth a unit whose whole subtree one task walks.  Units are
+dealt round-robin into at most ``maxSplits`` input partitions.  Folders named
+``.git`` or ``target`` are not entered (F1); only regular files are taken,
+links are followed, broken links skipped (F2); a link back to a folder on
+its own path is not entered again (loop guard), whatever the split depth.
 
 Contents are read in a second step after a hash repartition on the path, so
 one huge subfolder does not put all of its bytes into one task.
@@ -34,10 +36,14 @@ def _lossy(name: str) -> str:
 
 
 class _Unit:
-    def __init__(self, root: str, source_dir: str, child: str | None):
+    """A folder to list: only its own files (``deep=False``) or its whole subtree."""
+
+    def __init__(self, root: str, source_dir: str, parts: tuple[str, ...], deep: bool, ancestors: frozenset):
         self.root = root
         self.source_dir = source_dir
-        self.child = child  # None: the files directly in the source folder
+        self.parts = parts  # path components below the source folder
+        self.deep = deep
+        self.ancestors = ancestors  # (dev, inode) of the folders above, for the loop guard
 
 
 class _Split(InputPartition):
@@ -62,14 +68,32 @@ def _is_file(path: str) -> bool:
         return False
 
 
+def _inode(path: str) -> tuple[int, int]:
+    st = os.stat(path)
+    return (st.st_dev, st.st_ino)
+
+
+def _subdirs(folder: str, ancestors: frozenset):
+    """Child folders to enter: not pruned by name, not a link back to an ancestor (F1, F2)."""
+    for name in sorted(os.listdir(folder)):
+        full = os.path.join(folder, name)
+        if name in PRUNED_DIRS or not _is_dir(full):
+            continue
+        if _inode(full) in ancestors:
+            continue
+        yield name, full
+
+
 class _TreeReader(DataSourceReader):
     def __init__(self, options: dict):
         self.root = options["path"]
         wanted = options.get("sources")
         self.sources = [s for s in wanted.split(",") if s] if wanted else None
         self.max_splits = int(options.get("maxSplits", "64"))
+        self.split_depth = max(1, int(options.get("splitDepth", "2")))
 
     def partitions(self):
+        """Units from the top ``splitDepth`` folder levels (folders only; files are listed by tasks)."""
         units = []
         sources = self.sources
         if sources is None:
@@ -78,10 +102,15 @@ class _TreeReader(DataSourceReader):
             base = os.path.join(self.root, src)
             if not _is_dir(base):
                 continue
-            units.append(_Unit(self.root, src, None))
-            for child in sorted(os.listdir(base)):
-                if child not in PRUNED_DIRS and _is_dir(os.path.join(base, child)):
-                    units.append(_Unit(self.root, src, child))
+            frontier = [((), base, frozenset([_inode(base)]))]
+            for _ in range(self.split_depth):
+                nxt = []
+                for parts, folder, anc in frontier:
+                    units.append(_Unit(self.root, src, parts, False, anc))
+                    for name, full in _subdirs(folder, anc):
+                        nxt.append((parts + (name,), full, anc | {_inode(full)}))
+                frontier = nxt
+            units.extend(_Unit(self.root, src, parts, True, anc) for parts, _, anc in frontier)
         n = max(1, min(self.max_splits, len(units)))
         return [_Split(units[i::n]) for i in range(n)]
 
@@ -92,7 +121,7 @@ class _TreeReader(DataSourceReader):
     def _read_unit(self, unit: _Unit):
         import datetime
 
-        base = os.path.join(unit.root, unit.source_dir)
+        top = os.path.join(unit.root, unit.source_dir, *unit.parts)
 
         def row(rel_parts, full):
             st = os.stat(full)
@@ -104,30 +133,16 @@ class _TreeReader(DataSourceReader):
                 bytearray(os.fsencode(full)),
             )
 
-        if unit.child is None:
-            for name in sorted(os.listdir(base)):
-                full = os.path.join(base, name)
-                if _is_file(full):
-                    yield row([name], full)
-            return
-
-        top = os.path.join(base, unit.child)
-        seen = set()
-        stack = [(top, [unit.child])]
+        stack = [(top, list(unit.parts), unit.ancestors)]
         while stack:
-            folder, parts = stack.pop()
-            st = os.stat(folder)
-            key = (st.st_dev, st.st_ino)
-            if key in seen:  # a link back into an ancestor
-                continue
-            seen.add(key)
+            folder, parts, anc = stack.pop()
             for name in sorted(os.listdir(folder)):
                 full = os.path.join(folder, name)
-                if _is_dir(full):
-                    if name not in PRUNED_DIRS:
-                        stack.append((full, parts + [name]))
-                elif _is_file(full):
+                if _is_file(full):
                     yield row(parts + [name], full)
+            if unit.deep:
+                for name, full in _subdirs(folder, anc):
+                    stack.append((full, parts + [name], anc | {_inode(full)}))
 
 
 class TreeScan(DataSource):
@@ -146,10 +161,17 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TreeScan)
 
 
-def list_tree(spark: SparkSession, root: str, sources: list[str] | None = None) -> DataFrame:
+def list_tree(
+    spark: SparkSession, root: str, sources: list[str] | None = None, split_depth: int = 2
+) -> DataFrame:
     register(spark)
     splits = 2 * spark.sparkContext.defaultParallelism
-    reader = spark.read.format("treescan").option("path", root).option("maxSplits", str(splits))
+    reader = (
+        spark.read.format("treescan")
+        .option("path", root)
+        .option("maxSplits", str(splits))
+        .option("splitDepth", str(split_depth))
+    )
     if sources is not None:
         reader = reader.option("sources", ",".join(sources))
     return reader.load()
@@ -172,9 +194,10 @@ def read_tree(
     sources: list[str] | None = None,
     with_content: bool = True,
     num_partitions: int | None = None,
+    split_depth: int = 2,
 ) -> DataFrame:
     """``files`` rows (+ ``modified``) of every snapshot under ``root``."""
-    listing = list_tree(spark, root, sources)
+    listing = list_tree(spark, root, sources, split_depth)
     if not with_content:
         return listing.drop("path")
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -48,3 +48,18 @@ def test_listing_only(spark, tmp_path):
     listing = treescan.read_tree(spark, str(tmp_path), sources=["repo"], with_content=False)
     lengths = {r["rel_path"]: r["length"] for r in listing.collect()}
     assert lengths["root.txt"] == len(b"root.txt") and lengths["empty.txt"] == 0
+
+
+def test_split_depth_does_not_change_result(spark, tmp_path):
+    root = str(tmp_path)
+    build(root)
+    # a link to a sibling folder is walked (no cycle), like any folder
+    os.symlink(os.path.join(root, "repo", "pkg"), os.path.join(root, "repo", "src", "pkglink"))
+    results = []
+    for depth in (1, 2, 4):
+        listing = treescan.read_tree(spark, root, with_content=False, split_depth=depth)
+        results.append(sorted((r["source_dir"], r["rel_path"]) for r in listing.collect()))
+    assert results[0] == results[1] == results[2]
+    rels = [p for _, p in results[0]]
+    assert "src/pkglink/__init__.py" in rels and "pkg/__init__.py" in rels
+    assert not any("loop" in p for p in rels)
