@@ -96,7 +96,9 @@ def synchronise(
     _overwrite_bucket(spark, items_table, new_items, bucket_id, "items")
     srcs = bucket.list_sources(spark.table(sources_table), bucket_id)
     its = spark.table(items_table).where(F.col("bucket_id") == bucket_id)
-    return SyncResult(report.sync_report(srcs, its), rejects, srcs.count(), its.count())
+    # Report rows follow the configured order (source ids follow ``pos``).
+    ordered = report.sync_report(srcs, its).orderBy("source_id", "part")
+    return SyncResult(ordered, rejects, srcs.count(), its.count())
 
 
 def sync_report_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +108,7 @@ def sync_report_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     items, _ = process.flatten_files(derive.doc_files(docs), manifest)
     srcs = bucket.load_sources(manifest, 7)
     loaded = bucket.load_items(items, srcs)
-    return report.sync_report(bucket.source_table(srcs), loaded)
+    return report.sync_report(bucket.source_table(srcs), loaded).orderBy("source_id", "part")
 
 
 def sync_landed(

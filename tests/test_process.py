@@ -50,3 +50,17 @@ def test_kind_registry():
     assert process.canonical_kind("readme2pdf") == ("ReadmeToPDF", True)
     assert process.canonical_kind("flatten_files") == ("FlattenFiles", True)
     assert process.canonical_kind("Other") == ("FlattenFiles", False)
+
+
+def test_wiki_source_needs_top_level_readme_page(spark):
+    from quire.operators import wiki
+
+    def page(title, anc=()):
+        return {"title": title, "body": {"storage": {"value": "<p>r</p>"}}, "ancestors": [{"title": a} for a in anc]}
+
+    rows = [("w1", 0, 200, True, [page("README"), page("x")]), ("w2", 0, 200, True, [page("README", ["Home"])])]
+    batches = spark.createDataFrame(rows, schemas.CONTENT_BATCHES)
+    files, _ = wiki.wiki_files(batches, batch_size=100)
+    items, rejects = process.readme_files(files, manifest_df(spark, ["w1", "w2"]))
+    assert [r["source_dir"] for r in items.collect()] == ["w1"]
+    assert [(r["source_dir"], r["reason"]) for r in rejects.collect()] == [("w2", "no_readme")]

@@ -33,3 +33,13 @@ def test_lossy_utf8(spark):
     got = [r[0] for r in df.select(lossy_utf8("b")).collect()]
     assert got == [b.decode("utf-8", "replace") for b in blobs]
     assert got[1] == "�" and got[2] == "�(" and got[3] == "�" * 3
+
+
+def test_lossy_utf8_matches_python_on_random_bytes(spark):
+    rnd = random.Random(17)
+    pool = [b"a", b"\xc3\xa9", b"\xe6\x97\xa5", b"\xf0\x9f\x98\x80", b"\xff", b"\xc3", b"\xe6\x97", b"\xf0\x9f",
+            b"\xed\xa0\x80", b"\xc0\xaf", b"\xf4\x90\x80\x80", b"\x80", b"\xbf", b"\x00"]
+    blobs = [b"".join(rnd.choices(pool, k=rnd.randint(0, 12))) for _ in range(600)]
+    df = spark.createDataFrame([(bytearray(b),) for b in blobs], "b binary")
+    got = [r[0] for r in df.select(lossy_utf8("b")).collect()]
+    assert got == [b.decode("utf-8", "replace") for b in blobs]
