@@ -2,7 +2,7 @@
 
 Landing format: JSON lines, one per response, with ``source_dir``, ``start``
 (listing offset; absent for the space document), ``status`` (HTTP status)
-and ``body`` (response text).  Page fields are typed strictly: a title or
+and ``body`` (response text; null when it could not be decoded).  Page fields are typed strictly: a title or
 body that is not a JSON string counts as missing (``untitled`` / empty),
 as does an ancestor title that is not a string.
 """
@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from quire import schemas
 
 
+# Fixed value: the space document text when the response body could not be decoded.
+UNDECODABLE_BODY = "<Failed to decode response body>"
+
+
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LANDED_RESPONSES).json(path)
 
@@ -53,8 +57,14 @@ def content_batches(responses: DataFrame) -> DataFrame:
 
 
 def space_documents(responses: DataFrame) -> DataFrame:
-    """Space responses (no ``start``) -> (source_dir, status, body)."""
-    return responses.where(F.col("start").isNull()).select("source_dir", "status", "body")
+    """Space responses (no ``start``) -> (source_dir, status, body).
+
+    A body the landing could not decode is landed as null and stored as a
+    fixed text (S4).
+    """
+    return responses.where(F.col("start").isNull()).select(
+        "source_dir", "status", F.coalesce(F.col("body"), F.lit(UNDECODABLE_BODY)).alias("body")
+    )
 
 
 class SpaceFetchError(RuntimeError):

@@ -120,3 +120,8 @@ def test_failed_space_raises(spark):
     df = spark.createDataFrame([("s", None, 404, "nope")], schemas.LANDED_RESPONSES)
     with pytest.raises(landed.SpaceFetchError):
         landed.check_spaces(landed.space_documents(df))
+
+
+def test_undecodable_space_body(spark):
+    df = spark.createDataFrame([("s", None, 200, None)], schemas.LANDED_RESPONSES)
+    assert [r["body"] for r in landed.space_documents(df).collect()] == ["<Failed to decode response body>"]
