@@ -62,7 +62,7 @@ def load_items(
 ) -> DataFrame:
     """Create one item per processed item.
 
-    Item ids are dense in (source id, filename, rel_path) order, after
+    Item ids are dense in (source id, filename, rel_path, text) order, after
     ``id_base``.  ``backend_state`` is an optional column with the state a
     backend reported; unset means every item is ``Submitted``.  ``keep``
     names extra item columns carried to the output.
@@ -82,13 +82,16 @@ def load_items(
         state.alias("processing_state"),
         *keep,
     )
-    # (source, rel_path) is a key of a snapshot, so only keys are numbered.
+    # (source, rel_path) is a key of a file tree, so normally only keys are
+    # numbered; a table input repeating a path falls back to whole rows, the
+    # item text breaking ties so ids stay deterministic.
     numbered = dense_number(
         attached,
         ["external_source_id", "url", "rel_path"],
         "external_item_id",
         start=id_base + 1,
         unique_keys=True,
+        tiebreak=["content"],
     )
     return numbered.select(
         "bucket_id",

@@ -40,24 +40,33 @@ def dense_number(
     start: int = 1,
     small: bool = False,
     unique_keys: bool = False,
+    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = position of the row in ``order_cols`` order (from ``start``).
 
-    ``order_cols`` must identify a row uniquely, else ties get an arbitrary
-    (but still dense) order.  ``unique_keys=True`` promises that they do:
-    then only the key columns go through the numbering.  ``small=True`` is a hint for configuration-
+    ``order_cols`` should identify a row, else ties get an arbitrary (but
+    still dense) order.  ``unique_keys=True`` expects them to: then only the
+    key columns go through the numbering, after a check that falls back to
+    numbering whole rows (ordered by ``order_cols + tiebreak``) when a key
+    repeats.  ``small=True`` is a hint for configuration-
     sized tables (source catalogues): if the table indeed has at most
     ``SMALL_TABLE_ROWS`` rows it is numbered by a single window task,
     otherwise by the two-pass plan below.
     """
     spark = df.sparkSession
     if unique_keys:
-        # Number the key projection only (no payload columns are read for the
-        # range sampling or staged), then attach the ids with one join on the
-        # unique key.  Null-safe, so null key parts still match.
-        keys = dense_number(df.select(*order_cols), order_cols, out_col, num_partitions, start, small)
-        cond = [df[c].eqNullSafe(keys[c]) for c in order_cols]
-        return df.join(keys, cond).select(df["*"], keys[out_col])
+        # Count the rows per key (combined map-side).  If every key is unique,
+        # number the distinct keys only (no payload column is read for the
+        # range sampling or staged) and attach the ids with one null-safe
+        # join; otherwise number the whole rows, ties broken by ``tiebreak``.
+        counted = materialize(
+            df.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("__q_mult")), "keys"
+        )
+        if counted.where(F.col("__q_mult") > 1).limit(1).count() == 0:
+            keys = dense_number(counted.drop("__q_mult"), order_cols, out_col, num_partitions, start, small)
+            cond = [df[c].eqNullSafe(keys[c]) for c in order_cols]
+            return df.join(keys, cond).select(df["*"], keys[out_col])
+        return dense_number(df, order_cols + list(tiebreak or []), out_col, num_partitions, start, small)
     if small:
         # Land the (expected small) input once: the size check and the
         # numbering then read the same rows without recomputing them.

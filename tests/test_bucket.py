@@ -129,3 +129,15 @@ def test_report_parts_are_bounded(spark):
     rows = report.sync_report(srcs, items, part_items=10).orderBy("part").collect()
     assert [len(r["items"]) for r in rows] == [10, 10, 5]
     assert [x["item_id"] for r in rows for x in r["items"]] == list(range(1, 26))
+
+
+def test_repeated_paths_keep_every_item(spark):
+    from quire.operators import process
+
+    rows = [("s", "d/f", 1, bytearray(b"b")), ("s", "d/f", 1, bytearray(b"a")), ("s", "e", 1, bytearray(b"c"))]
+    files = spark.createDataFrame(rows, schemas.FILES)
+    man = manifest_df(spark, ["s"])
+    items, _ = process.flatten_files(files, man)
+    loaded = bucket.load_items(items, bucket.load_sources(man, 7))
+    got = sorted((r["external_item_id"], r["url"], r["content"]) for r in loaded.collect())
+    assert got == [(1, "d__f", "a"), (2, "d__f", "b"), (3, "e", "c")]

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.functions.pdf import PDF_STUB
