@@ -98,12 +98,22 @@ PROCESSORS: dict[str, Processor] = {
 }
 
 
+def register_processor(name: str, fn: Processor) -> None:
+    """Plug in a processor: ``fn(files, manifest) -> (items, rejects)``, selected by ``name``.
+
+    Items must have the columns of :func:`flatten_files`' output.
+    """
+    PROCESSORS[name] = fn
+
+
 def canonical_kind(kind: str | None) -> tuple[str, bool]:
     """(canonical processor name, whether the spelling was known) — P16 on the driver."""
     if kind in READMETOPDF_KINDS:
         return "ReadmeToPDF", True
     if kind in FLATTEN_KINDS:
         return "FlattenFiles", True
+    if kind in PROCESSORS:
+        return kind, True
     return "FlattenFiles", False
 
 

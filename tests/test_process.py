@@ -63,3 +63,17 @@ def test_wiki_source_needs_top_level_readme_page(spark):
     items, rejects = process.readme_files(files, manifest_df(spark, ["w1", "w2"]))
     assert [r["source_dir"] for r in items.collect()] == ["w1"]
     assert [(r["source_dir"], r["reason"]) for r in rejects.collect()] == [("w2", "no_readme")]
+
+
+def test_custom_processor(spark):
+    from pyspark.sql import functions as F
+
+    def only_markdown(files, manifest):
+        items, rejects = process.flatten_files(files.where(F.col("rel_path").endswith(".md")), manifest)
+        return items, rejects
+
+    process.register_processor("MarkdownOnly", only_markdown)
+    files = files_df(spark, {"s": {"a.md": b"x", "b.txt": b"y"}})
+    items, _ = process.process(files, manifest_df(spark, ["s"]), "MarkdownOnly")
+    assert [r["filename"] for r in items.collect()] == ["a.md"]
+    assert process.canonical_kind("MarkdownOnly") == ("MarkdownOnly", True)
