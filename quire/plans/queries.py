@@ -168,10 +168,11 @@ def q_last_write_wins(spark, sf) -> DataFrame:
 # ------------------------------------------------------------------ bucket
 
 
-def _doc_load(spark, sf, bucket_id=BUCKET_ID, with_doc_id=False, kind="FlattenFiles", source_base=0, item_base=0):
-    docs, files, manifest = _doc_inputs(spark, sf, with_doc_id)
-    items, _ = process.process(files, manifest, kind)
-    srcs = bucket.load_sources(manifest, bucket_id, id_base=source_base)
+def _doc_load(spark, sf):
+    """Repository items of the documents and their sources created in bucket 7."""
+    docs, files, manifest = _doc_inputs(spark, sf)
+    items, _ = process.flatten_files(files, manifest)
+    srcs = bucket.load_sources(manifest, BUCKET_ID)
     return docs, items, srcs
 
 
@@ -208,7 +209,8 @@ def q_state_gate(spark, sf) -> DataFrame:
 
 def _two_buckets(spark, sf):
     """Documents loaded into bucket 7, page spaces into bucket 8 (ids after bucket 7's)."""
-    docs, items, srcs = _doc_load(spark, sf)
+    _, _, manifest = _doc_inputs(spark, sf)
+    srcs = bucket.load_sources(manifest, BUCKET_ID)
     pages = table(spark, sf, "pages")
     pcat = derive.page_catalogue(pages)
     n_doc_sources = srcs.count()
