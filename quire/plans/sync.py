@@ -122,12 +122,16 @@ def sync_landed(
     sources_table: str = "bucket_sources",
     items_table: str = "bucket_items",
     strict: bool = True,
+    snapshot_table: str | None = None,
 ) -> SyncResult:
     """Whole sync from landed data: catalogue -> files of every source -> gated refresh -> report.
 
     Repository snapshots are read from ``tree_root/<source_dir>/`` (S2/S3);
     wiki spaces from landed responses (S4/S5) through stop, cap, names and
-    last write wins.  Both become one ``files`` table (U3).
+    last write wins.  Both become one ``files`` table (U3).  With
+    ``snapshot_table`` the files are first landed there, each configured
+    source replacing its own partition (K1, K2), and read back from it, so
+    the many small files are read once.
     """
     from quire.operators import wiki
     from quire.sources import catalogue, landed, treescan
@@ -155,6 +159,13 @@ def sync_landed(
     files = spark.createDataFrame([], schemas.FILES)
     for p in parts:
         files = files.unionByName(p)
+    if snapshot_table is not None:
+        from quire.sources import snapshot
+
+        snapshot.replace_snapshots(spark, snapshot_table, files, man.select("source_dir"))
+        files = snapshot.read_snapshots(spark, snapshot_table).join(
+            man.select("source_dir").distinct(), "source_dir", "left_semi"
+        )
     result = synchronise(
         spark, files, man.drop("original_source"), bucket_id, kind, sources_table, items_table, strict
     )

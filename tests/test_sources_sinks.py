@@ -110,11 +110,15 @@ def test_sync_landed_end_to_end(spark, tmp_path):
     s, i = f"es_{tag}", f"ei_{tag}"
     spark.sql(f"CREATE TABLE {s} ({schemas.BUCKET_SOURCES}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/s'")
     spark.sql(f"CREATE TABLE {i} ({schemas.BUCKET_ITEMS}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/i'")
+    snap = f"sn_{tag}"
+    spark.sql(f"CREATE TABLE {snap} ({schemas.FILES}) USING parquet PARTITIONED BY (source_dir) LOCATION '{tmp_path}/snap'")
     res = sync.sync_landed(spark, sources, 7, str(tmp_path / "trees"), str(tmp_path / "wiki.jsonl"),
-                           sources_table=s, items_table=i)
+                           sources_table=s, items_table=i, snapshot_table=snap)
     rep = {r["source_name"]: sorted(x["item_name"] for x in r["items"]) for r in res.report.collect()}
     assert rep == {
         "https://example.com/o/r": ["README.md", "src__lib.rs"],
         "https://w.example.com/wiki/:K": ["main.md", "space.json"],
     }
     assert res.n_sources == 2 and res.n_items == 4
+    landed_paths = sorted((r["source_dir"], r["rel_path"]) for r in spark.table(snap).collect())
+    assert (git_dir, "src/lib.rs") in landed_paths and (wiki_dir, "space.json") in landed_paths
