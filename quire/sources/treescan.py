@@ -177,15 +177,33 @@ def list_tree(
     return reader.load()
 
 
-def _read_contents(batches):
-    for pdf in batches:
-        data = []
-        for p in pdf["path"]:
-            with open(bytes(p), "rb") as fh:  # an unreadable file fails the job, as in the reference
-                data.append(fh.read())
-        out = pdf.drop(columns=["path"])
-        out["content"] = pd.Series(data, dtype=object)
-        yield out
+def _content_reader(budget: int):
+    """mapInPandas body: read each listed file whole, yielding batches of at most ``budget`` bytes.
+
+    Spark bounds the batches coming in; the batches going out are bounded
+    here, so a run of large files never builds one oversized Arrow batch.
+    """
+
+    def read(batches):
+        for pdf in batches:
+            meta = pdf.drop(columns=["path"])
+            start, size, data = 0, 0, []
+            for i, p in enumerate(pdf["path"]):
+                with open(bytes(p), "rb") as fh:  # an unreadable file fails the job, as in the reference
+                    blob = fh.read()
+                data.append(blob)
+                size += len(blob)
+                if size >= budget:
+                    out = meta.iloc[start : i + 1].copy()
+                    out["content"] = pd.Series(data, dtype=object, index=out.index)
+                    yield out
+                    start, size, data = i + 1, 0, []
+            if data:
+                out = meta.iloc[start:].copy()
+                out["content"] = pd.Series(data, dtype=object, index=out.index)
+                yield out
+
+    return read
 
 
 def read_tree(
@@ -195,14 +213,40 @@ def read_tree(
     with_content: bool = True,
     num_partitions: int | None = None,
     split_depth: int = 2,
+    max_file_bytes: int | None = None,
 ) -> DataFrame:
-    """``files`` rows (+ ``modified``) of every snapshot under ``root``."""
+    """``files`` rows (+ ``modified``) of every snapshot under ``root``.
+
+    With ``max_file_bytes``, larger files are not read; :func:`oversized_files`
+    reports them as ``file_too_large`` rejects.
+    """
     listing = list_tree(spark, root, sources, split_depth)
     if not with_content:
         return listing.drop("path")
+    if max_file_bytes is not None:
+        listing = listing.where(F.col("length") <= max_file_bytes)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    budget = _bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m"))
     schema = "source_dir string, rel_path string, length bigint, modified timestamp, content binary"
-    return listing.repartition(n, "source_dir", "rel_path").mapInPandas(_read_contents, schema)
+    return listing.repartition(n, "source_dir", "rel_path").mapInPandas(_content_reader(budget), schema)
+
+
+def oversized_files(
+    spark: SparkSession, root: str, max_file_bytes: int, sources: list[str] | None = None
+) -> DataFrame:
+    """Reject rows for the files :func:`read_tree` skips under ``max_file_bytes``."""
+    return list_tree(spark, root, sources).where(F.col("length") > max_file_bytes).select(
+        "source_dir",
+        "rel_path",
+        F.lit("file_too_large").alias("reason"),
+        F.concat(F.lit("bytes="), F.col("length").cast("string")).alias("detail"),
+    )
+
+
+def _bytes(text: str) -> int:
+    text = text.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(text[-1:], 1)
+    return int(text[:-1] if text[-1:] in ("k", "m", "g") else text) * mult
 
 
 def _posix_root(uri: str) -> str:

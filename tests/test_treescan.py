@@ -63,3 +63,23 @@ def test_split_depth_does_not_change_result(spark, tmp_path):
     rels = [p for _, p in results[0]]
     assert "src/pkglink/__init__.py" in rels and "pkg/__init__.py" in rels
     assert not any("loop" in p for p in rels)
+
+
+def test_large_files_chunked_and_size_bound(spark, tmp_path):
+    root = tmp_path
+    for i in range(6):
+        p = root / "big" / f"f{i}.bin"
+        p.parent.mkdir(parents=True, exist_ok=True)
+        p.write_bytes(bytes([i]) * (300_000 + i))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "512k")
+    try:
+        files = treescan.read_tree(spark, str(root))
+        got = {r["rel_path"]: bytes(r["content"]) for r in files.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert got == {f"f{i}.bin": bytes([i]) * (300_000 + i) for i in range(6)}
+    small = treescan.read_tree(spark, str(root), max_file_bytes=300_002)
+    assert sorted(r["rel_path"] for r in small.collect()) == ["f0.bin", "f1.bin", "f2.bin"]
+    rej = treescan.oversized_files(spark, str(root), 300_002)
+    assert sorted(r["rel_path"] for r in rej.collect()) == ["f3.bin", "f4.bin", "f5.bin"]
+    assert treescan._bytes("64m") == 64 << 20 and treescan._bytes("67108864b") == 67108864
