@@ -141,3 +141,13 @@ def test_repeated_paths_keep_every_item(spark):
     loaded = bucket.load_items(items, bucket.load_sources(man, 7))
     got = sorted((r["external_item_id"], r["url"], r["content"]) for r in loaded.collect())
     assert got == [(1, "d__f", "a"), (2, "d__f", "b"), (3, "e", "c")]
+
+
+def test_refresh_with_no_sources_deletes_existing(spark, tables):
+    s, i = tables
+    cols = spark.table(s).columns
+    spark.createDataFrame([(7, 101, "a", 0, None), (7, 102, "b", 0, None)], schemas.BUCKET_SOURCES).select(*cols).write.insertInto(s)
+    empty_man = spark.createDataFrame([], schemas.MANIFEST)
+    res = sync.synchronise(spark, spark.createDataFrame([], schemas.FILES), empty_man, 7, sources_table=s, items_table=i)
+    spark.catalog.refreshTable(s)
+    assert spark.table(s).count() == 0 and res.report.count() == 0
