@@ -55,15 +55,19 @@ def invalid_sources(sources: DataFrame) -> DataFrame:
     return sources.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
-def manifest(sources: DataFrame) -> DataFrame:
+def manifest(sources: DataFrame, root: str | None = None) -> DataFrame:
     """One manifest row per configured source (P20): pos, names, folder, original record.
 
-    The same source configured twice yields two rows with one folder.
+    The same source configured twice yields two rows with one folder.  With
+    ``root`` (the landing folder) a ``local_path`` column locates the folder.
     """
-    return sources.select(
+    out = sources.select(
         "pos",
         logical_name(*[F.col(c) for c in ("type", "repo_url", "base_url", "space_key")]).alias("logical_name"),
         source_dir(*[F.col(c) for c in SOURCE_FIELDS]).alias("source_dir"),
         "type",
         F.struct(*SOURCE_FIELDS).alias("original_source"),
     )
+    if root is not None:
+        out = out.withColumn("local_path", F.concat(F.lit(root.rstrip("/") + "/"), F.col("source_dir")))
+    return out

@@ -33,6 +33,8 @@ def test_catalogue_and_manifest(spark, tmp_path):
     ]
     assert m[1]["logical_name"] == "https://dummy.atlassian.net/wiki//:DUMMY"
     assert m[0]["original_source"]["repo_url"] == "https://github.com/o/r"
+    lp = catalogue.manifest(from_list, root="/land/").where("pos = 0").first()["local_path"]
+    assert lp == "/land/git_https___github.com_o_r_main"
 
 
 def test_empty_catalogue(spark):
