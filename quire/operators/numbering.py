@@ -2,7 +2,7 @@
 
 ``row_number() over (order by k)`` puts every row into one task.  Instead we
 range-partition on the (unique) order key, sort within partitions, tag each
-row with its partition and its index inside it, materialise that once in the
+row with its partition and its index inside it, checkpoint that once in the
 shared checkpoint folder, and add the row count of all earlier partitions.
 The per-partition counts are as many numbers as partitions, bounded by
 configuration rather than data, so they are fetched once and inlined.  Because the order key is
@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quire.operators.sizing import BROADCAST_MAX_ROWS
 from quire.operators.stage import materialize
-from quire.session import staging_path
 
 _PID = "__q_pid"
 _IDX = "__q_idx"
@@ -53,7 +53,6 @@ def dense_number(
     ``SMALL_TABLE_ROWS`` rows it is numbered by a single window task,
     otherwise by the two-pass plan below.
     """
-    spark = df.sparkSession
     if unique_keys:
         # Count the rows per key (combined map-side).  If every key is unique,
         # number the distinct keys only (no payload column is read for the
@@ -64,6 +63,9 @@ def dense_number(
         )
         if counted.where(F.col("__q_mult") > 1).limit(1).count() == 0:
             keys = dense_number(counted.drop("__q_mult"), order_cols, out_col, num_partitions, start, small)
+            # The key count is known (the partition totals); broadcast only below the bound.
+            if getattr(keys, "_q_rows", BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS:
+                keys = F.broadcast(keys)
             cond = [df[c].eqNullSafe(keys[c]) for c in order_cols]
             return df.join(keys, cond).select(df["*"], keys[out_col])
         return dense_number(df, order_cols + list(tiebreak or []), out_col, num_partitions, start, small)
@@ -71,9 +73,12 @@ def dense_number(
         # Land the (expected small) input once: the size check and the
         # numbering then read the same rows without recomputing them.
         df = materialize(df, "small")
-        if df.count() <= SMALL_TABLE_ROWS:
+        rows = df.count()
+        if rows <= SMALL_TABLE_ROWS:
             w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-            return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
+            out = df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
+            out._q_rows = rows
+            return out
     n = _partitions(df, num_partitions)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     tagged = (
@@ -85,11 +90,11 @@ def dense_number(
             F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33),
         )
     )
-    path = staging_path(spark, "numbering")
-    tagged.write.parquet(path)
-    staged = spark.read.parquet(path)
-    offset = _partition_offsets(staged, F.lit(1), n)
-    return staged.withColumn(out_col, (offset + F.col(_IDX) + F.lit(start)).cast("long")).drop(_PID, _IDX)
+    staged = materialize(tagged, "numbering")
+    offset, total = _partition_offsets(staged, F.lit(1), n)
+    out = staged.withColumn(out_col, (offset + F.col(_IDX) + F.lit(start)).cast("long")).drop(_PID, _IDX)
+    out._q_rows = total
+    return out
 
 
 def _partition_offsets(staged: DataFrame, value, n: int):
@@ -106,7 +111,7 @@ def _partition_offsets(staged: DataFrame, value, n: int):
     for pid in range(n):
         offsets.append(run)
         run += int(totals.get(pid) or 0)
-    return F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1)
+    return F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1), run
 
 
 def rank_within(
@@ -150,7 +155,6 @@ def prefix_sum(
     """
     from pyspark import TaskContext
 
-    spark = df.sparkSession
     n = _partitions(df, num_partitions)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     from pyspark.sql import types as T
@@ -172,8 +176,6 @@ def prefix_sum(
             yield pdf
 
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    path = staging_path(spark, "prefix")
-    ranged.mapInPandas(running, schema).write.parquet(path)
-    staged = spark.read.parquet(path)
-    offset = _partition_offsets(staged, F.col(value_col), n)
+    staged = materialize(ranged.mapInPandas(running, schema), "prefix")
+    offset, _ = _partition_offsets(staged, F.col(value_col), n)
     return staged.withColumn(out_col, (offset + F.col("__q_run")).cast("long")).drop(_PID, "__q_run")

@@ -55,8 +55,8 @@ def readme_files(files: DataFrame, manifest: DataFrame) -> tuple[DataFrame, Data
     readmes = files.where(F.col("rel_path") == README_SOURCE_NAME).select(
         "source_dir", lossy_utf8("content").alias("source_text")
     )
-    sources = _sources(manifest)
-    items = sources.join(readmes, "source_dir").select(
+    sources = bounded_broadcast(_sources(manifest))
+    items = readmes.join(sources, "source_dir").select(
         "pos",
         "source_name",
         "source_dir",

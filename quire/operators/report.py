@@ -17,13 +17,19 @@ REPORT_PART_ITEMS = 10_000
 
 def items_per_source(bucket_sources: DataFrame, bucket_items: DataFrame) -> DataFrame:
     """A1 + J3: source_id, source_name, n_items (0 for an empty source)."""
-    counts = bucket_items.groupBy("external_source_id").agg(F.count(F.lit(1)).alias("n_items"))
+    from quire.operators.sizing import bounded_broadcast
+    from quire.operators.stage import materialize
+
+    # One row per source that has items: landed once, then broadcast behind the bound.
+    counts = materialize(
+        bucket_items.groupBy("external_source_id").agg(F.count(F.lit(1)).alias("n_items")), "counts"
+    )
     return (
         bucket_sources.select(
             F.col("external_source_id").cast("long").alias("source_id"),
             F.col("external_source_name").alias("source_name"),
         )
-        .join(counts.withColumnRenamed("external_source_id", "source_id"), "source_id", "left")
+        .join(bounded_broadcast(counts.withColumnRenamed("external_source_id", "source_id")), "source_id", "left")
         .select("source_id", "source_name", F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"))
     )
 

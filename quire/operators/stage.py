@@ -1,19 +1,26 @@
-"""Materialise an intermediate result in the shared checkpoint folder.
+"""Materialise an intermediate result: a reliable checkpoint in the shared folder.
 
 Used where a result is read more than once (a decision, then the data) or
-must stay fixed across retries; it also cuts the lineage, so a lost
-executor does not force recomputing everything upstream.
+must stay fixed across retries.  ``checkpoint()`` writes to the session's
+``spark.checkpoint.dir`` and cuts the lineage, so a lost executor does not
+force recomputing everything upstream.  The checkpoint folders this process
+writes are tracked and removed by :func:`quire.session.cleanup_staging`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from quire.session import staging_path
+from quire.session import ensure_checkpoint_dir, track_staged
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    spark = df.sparkSession
-    path = staging_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+def materialize(df: DataFrame, label: str = "") -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    done = df.checkpoint(eager=True)
+    try:
+        path = done._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if path.isDefined():
+            track_staged(path.get())
+    except Exception:  # tracking is best effort; the folder is in the checkpoint dir anyway
+        pass
+    return done

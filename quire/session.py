@@ -71,6 +71,11 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def track_staged(path: str) -> None:
+    """Register a folder written by this process for :func:`cleanup_staging`."""
+    _STAGED.append(path)
+
+
 def cleanup_staging(spark: SparkSession | None = None) -> int:
     """Delete the staging folders this process created; returns how many.
 
