@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.operators.sizing import BROADCAST_MAX_ROWS
-from quire.operators.stage import materialize
+from quire.operators.stage import land, materialize
 
 _PID = "__q_pid"
 _IDX = "__q_idx"
@@ -62,13 +62,17 @@ def dense_number(
             df.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("__q_mult")), "keys"
         )
         if counted.where(F.col("__q_mult") > 1).limit(1).count() == 0:
-            keys = dense_number(counted.drop("__q_mult"), order_cols, out_col, num_partitions, start, small)
+            distinct = counted.drop("__q_mult")
+            if small:
+                keys = dense_number(distinct, order_cols, out_col, num_partitions, start, small=True)
+            else:
+                keys = _number_rows(distinct, order_cols, out_col, num_partitions, start, heavy=False)
             # The key count is known (the partition totals); broadcast only below the bound.
             if getattr(keys, "_q_rows", BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS:
                 keys = F.broadcast(keys)
             cond = [df[c].eqNullSafe(keys[c]) for c in order_cols]
             return df.join(keys, cond).select(df["*"], keys[out_col])
-        return dense_number(df, order_cols + list(tiebreak or []), out_col, num_partitions, start, small)
+        return _number_rows(df, order_cols + list(tiebreak or []), out_col, num_partitions, start, heavy=True)
     if small:
         # Land the (expected small) input once: the size check and the
         # numbering then read the same rows without recomputing them.
@@ -79,6 +83,18 @@ def dense_number(
             out = df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
             out._q_rows = rows
             return out
+    return _number_rows(df, order_cols, out_col, num_partitions, start, heavy=True)
+
+
+def _number_rows(
+    df: DataFrame,
+    order_cols: list[str],
+    out_col: str,
+    num_partitions: int | None,
+    start: int,
+    heavy: bool = False,
+) -> DataFrame:
+    """The two-pass plan; rows that may carry payload (``heavy``) are staged as parquet, keys as a checkpoint."""
     n = _partitions(df, num_partitions)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     tagged = (
@@ -90,7 +106,7 @@ def dense_number(
             F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33),
         )
     )
-    staged = materialize(tagged, "numbering")
+    staged = land(tagged, "numbering") if heavy else materialize(tagged, "numbering")
     offset, total = _partition_offsets(staged, F.lit(1), n)
     out = staged.withColumn(out_col, (offset + F.col(_IDX) + F.lit(start)).cast("long")).drop(_PID, _IDX)
     out._q_rows = total

@@ -1,17 +1,23 @@
-"""Materialise an intermediate result: a reliable checkpoint in the shared folder.
+"""Materialise intermediate results in the shared checkpoint folder.
 
 Used where a result is read more than once (a decision, then the data) or
-must stay fixed across retries.  ``checkpoint()`` writes to the session's
-``spark.checkpoint.dir`` and cuts the lineage, so a lost executor does not
-force recomputing everything upstream.  The checkpoint folders this process
-writes are tracked and removed by :func:`quire.session.cleanup_staging`.
+must stay fixed across retries; both forms cut the lineage, so a lost
+executor does not force recomputing everything upstream.
+
+* :func:`materialize` — ``checkpoint()`` for key-sized results (ids, stop
+  points, counts, catalogues): cheapest to write and read back.
+* :func:`land` — a parquet table for results that carry contents (pages,
+  items): columnar and compressed, so large payloads stay cheap.
+
+Both write under the session's ``spark.checkpoint.dir``; the folders this
+process writes are tracked and removed by :func:`quire.session.cleanup_staging`.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from quire.session import ensure_checkpoint_dir, track_staged
+from quire.session import ensure_checkpoint_dir, staging_path, track_staged
 
 
 def materialize(df: DataFrame, label: str = "") -> DataFrame:
@@ -24,3 +30,10 @@ def materialize(df: DataFrame, label: str = "") -> DataFrame:
     except Exception:  # tracking is best effort; the folder is in the checkpoint dir anyway
         pass
     return done
+
+
+def land(df: DataFrame, label: str) -> DataFrame:
+    spark = df.sparkSession
+    path = staging_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

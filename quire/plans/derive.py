@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.naming import git_dir_name, logical_name, source_dir, wiki_dir_name
 from quire.operators.numbering import dense_number, rank_within
-from quire.operators.stage import materialize
+from quire.operators.stage import land, materialize
 
 # Fixed values of the derivation (mirrored in the SQL).
 GIT_HOST = "https://git.example.com/"
@@ -198,7 +198,7 @@ def page_batches(pages: DataFrame, batch_size: int) -> DataFrame:
         F.transform("lst", lambda x: x["page"]).alias("results"),
     )
     # Landed once as parquet, like real landed responses.
-    return materialize(landed, "batches")
+    return land(landed, "batches")
 
 
 def page_spaces(pages: DataFrame) -> DataFrame:

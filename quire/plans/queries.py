@@ -22,7 +22,7 @@ from quire.functions.naming import READMETOPDF_KINDS, FLATTEN_KINDS
 from quire.functions.text import html_to_markdown, lossy_utf8
 from quire.operators import audit, bucket, process, report, wiki
 from quire.plans import derive
-from quire.operators.stage import materialize
+from quire.operators.stage import land
 from quire.plans.derive import table
 
 # Query parameters (mirrored in the SQL).
@@ -198,7 +198,7 @@ def _labelled_load(spark, sf, backend_state_from_labels=False):
     state = F.when(F.col("toxic") == 1, F.lit("Failed")) if backend_state_from_labels else None
     loaded = bucket.load_items(items, srcs, backend_state=state, keep=("doc_id", "quality", "toxic"))
     # The loaded bucket, as the store would hold it: later steps read it, not its lineage.
-    return manifest, srcs, materialize(loaded, "bucket")
+    return manifest, srcs, land(loaded, "bucket")
 
 
 def q_state_gate(spark, sf) -> DataFrame:
@@ -253,11 +253,11 @@ def q_refresh_replace(spark, sf) -> DataFrame:
     docs, files, manifest = _doc_inputs(spark, sf)
     flat, _ = process.flatten_files(files, manifest)
     s7 = bucket.load_sources(manifest, BUCKET_ID)
-    i7 = materialize(bucket.load_items(flat, s7), "bucket")
+    i7 = land(bucket.load_items(flat, s7), "bucket")
     n_src = s7.count()
     n_items = i7.count()
     s8 = bucket.load_sources(manifest, OTHER_BUCKET_ID, id_base=n_src)
-    i8 = materialize(bucket.load_items(flat, s8, id_base=n_items), "bucket")
+    i8 = land(bucket.load_items(flat, s8, id_base=n_items), "bucket")
     old = i7.unionByName(i8)
     # Refresh bucket 7 with the README processor; new ids follow the largest in the table.
     readme, _ = process.readme_files(files, manifest)
@@ -274,7 +274,7 @@ def q_items_per_source(spark, sf) -> DataFrame:
 
 def q_sync_report(spark, sf) -> DataFrame:
     _, items, srcs = _doc_load(spark, sf)
-    loaded = materialize(bucket.load_items(items, srcs), "bucket")
+    loaded = land(bucket.load_items(items, srcs), "bucket")
     return report.report_rows(bucket.source_table(srcs), loaded)
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quire import schemas
 from quire.operators import bucket, process, report
 from quire.plans import derive
-from quire.operators.stage import materialize
+from quire.operators.stage import land
 
 
 @dataclass
@@ -46,7 +46,7 @@ def _overwrite_bucket(spark: SparkSession, table: str, df: DataFrame, bucket_id:
     """
     cols = [c for c in spark.table(table).columns if c != "bucket_id"]
     view = f"quire_stage_{uuid.uuid4().hex}"
-    materialize(df.select(*cols), label).createOrReplaceTempView(view)
+    land(df.select(*cols), label).createOrReplaceTempView(view)
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (bucket_id = {int(bucket_id)}) "
         f"SELECT {', '.join(cols)} FROM {view}"
@@ -85,7 +85,7 @@ def synchronise(
     loaded_sources = bucket.load_sources(manifest, bucket_id, id_base=src_base)
     loaded_items = bucket.load_items(items, loaded_sources, id_base=item_base, backend_state=backend_state)
     # Stage the new content once, so the gate, the write and the report all see the same ids.
-    new_items = materialize(loaded_items, "items")
+    new_items = land(loaded_items, "items")
     new_sources = bucket.source_table(loaded_sources)
     bucket.check_gate(new_items)
     _overwrite_bucket(spark, sources_table, new_sources, bucket_id, "sources")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import schemas
-from quire.operators.stage import materialize
+from quire.operators.stage import land
 
 SNAPSHOT_COLUMNS = ("rel_path", "length", "content", "source_dir")
 
@@ -29,7 +29,7 @@ def replace_snapshots(spark: SparkSession, table: str, files: DataFrame, refresh
     ``refreshed`` has one ``source_dir`` column (configuration-sized).
     """
     ensure_snapshot_table(spark, table)
-    staged = materialize(files.select(*SNAPSHOT_COLUMNS), "snapshot")
+    staged = land(files.select(*SNAPSHOT_COLUMNS), "snapshot")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:

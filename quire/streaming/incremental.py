@@ -23,7 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire import schemas
 from quire.operators import bucket, process
-from quire.operators.stage import materialize
+from quire.operators.stage import land, materialize
 from quire.plans.sync import _next_id, _overwrite_bucket, ensure_bucket_tables
 
 
@@ -48,7 +48,7 @@ def refresh_sources(
     src_base = _next_id(spark, sources_table, "external_source_id")
     item_base = _next_id(spark, items_table, "external_item_id")
     new_sources = materialize(bucket.load_sources(man, bucket_id, id_base=src_base), "stream-sources")
-    new_items = materialize(bucket.load_items(items, new_sources, id_base=item_base), "stream-items")
+    new_items = land(bucket.load_items(items, new_sources, id_base=item_base), "stream-items")
     bucket.check_gate(new_items)
     names = new_sources.select("external_source_name").distinct()
     old_sources = spark.table(sources_table).where(F.col("bucket_id") == bucket_id)
