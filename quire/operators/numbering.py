@@ -48,10 +48,9 @@ def dense_number(
     still dense) order.  ``unique_keys=True`` expects them to: then only the
     key columns go through the numbering, after a check that falls back to
     numbering whole rows (ordered by ``order_cols + tiebreak``) when a key
-    repeats.  ``small=True`` is a hint for configuration-
-    sized tables (source catalogues): if the table indeed has at most
-    ``SMALL_TABLE_ROWS`` rows it is numbered by a single window task,
-    otherwise by the two-pass plan below.
+    repeats.  ``small=True`` is a hint for configuration-sized tables
+    (source catalogues): if the table indeed has at most ``SMALL_TABLE_ROWS``
+    rows it is numbered by a single window task, otherwise by the two-pass plan.
     """
     if unique_keys:
         # Count the rows per key (combined map-side).  If every key is unique,
@@ -63,27 +62,31 @@ def dense_number(
         )
         if counted.where(F.col("__q_mult") > 1).limit(1).count() == 0:
             distinct = counted.drop("__q_mult")
-            if small:
-                keys = dense_number(distinct, order_cols, out_col, num_partitions, start, small=True)
-            else:
-                keys = _number_rows(distinct, order_cols, out_col, num_partitions, start, heavy=False)
-            # The key count is known (the partition totals); broadcast only below the bound.
-            if getattr(keys, "_q_rows", BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS:
+            numbered = _number_small(distinct, order_cols, out_col, start) if small else None
+            keys, rows = numbered or _number_rows(distinct, order_cols, out_col, num_partitions, start, heavy=False)
+            # The key count is known; broadcast the ids only below the bound.
+            if rows <= BROADCAST_MAX_ROWS:
                 keys = F.broadcast(keys)
             cond = [df[c].eqNullSafe(keys[c]) for c in order_cols]
             return df.join(keys, cond).select(df["*"], keys[out_col])
-        return _number_rows(df, order_cols + list(tiebreak or []), out_col, num_partitions, start, heavy=True)
-    if small:
-        # Land the (expected small) input once: the size check and the
-        # numbering then read the same rows without recomputing them.
-        df = materialize(df, "small")
-        rows = df.count()
-        if rows <= SMALL_TABLE_ROWS:
-            w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-            out = df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-            out._q_rows = rows
-            return out
-    return _number_rows(df, order_cols, out_col, num_partitions, start, heavy=True)
+        order_cols = order_cols + list(tiebreak or [])
+        return _number_rows(df, order_cols, out_col, num_partitions, start, heavy=True)[0]
+    numbered = _number_small(df, order_cols, out_col, start) if small else None
+    return (numbered or _number_rows(df, order_cols, out_col, num_partitions, start, heavy=True))[0]
+
+
+def _number_small(df: DataFrame, order_cols: list[str], out_col: str, start: int):
+    """(numbered, rows) by one window task if ``df`` has at most ``SMALL_TABLE_ROWS`` rows, else None.
+
+    The input is landed once: the size check and the numbering read the
+    same rows without recomputing them.
+    """
+    staged = materialize(df, "small")
+    rows = staged.count()
+    if rows > SMALL_TABLE_ROWS:
+        return None
+    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    return staged.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long")), rows
 
 
 def _number_rows(
@@ -93,8 +96,9 @@ def _number_rows(
     num_partitions: int | None,
     start: int,
     heavy: bool = False,
-) -> DataFrame:
-    """The two-pass plan; rows that may carry payload (``heavy``) are staged as parquet, keys as a checkpoint."""
+) -> tuple[DataFrame, int]:
+    """(numbered, rows) by the two-pass plan; rows that may carry payload
+    (``heavy``) are staged as parquet, keys as a checkpoint."""
     n = _partitions(df, num_partitions)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     tagged = (
@@ -108,9 +112,7 @@ def _number_rows(
     )
     staged = land(tagged, "numbering") if heavy else materialize(tagged, "numbering")
     offset, total = _partition_offsets(staged, F.lit(1), n)
-    out = staged.withColumn(out_col, (offset + F.col(_IDX) + F.lit(start)).cast("long")).drop(_PID, _IDX)
-    out._q_rows = total
-    return out
+    return staged.withColumn(out_col, (offset + F.col(_IDX) + F.lit(start)).cast("long")).drop(_PID, _IDX), total
 
 
 def _partition_offsets(staged: DataFrame, value, n: int):
