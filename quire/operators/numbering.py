@@ -60,10 +60,13 @@ def dense_number(
         counted = materialize(
             df.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("__q_mult")), "keys"
         )
-        if counted.where(F.col("__q_mult") > 1).limit(1).count() == 0:
-            distinct = counted.drop("__q_mult")
-            numbered = _number_small(distinct, order_cols, out_col, start) if small else None
-            keys, rows = numbered or _number_rows(distinct, order_cols, out_col, num_partitions, start, heavy=False)
+        stats = counted.agg(F.max("__q_mult").alias("m"), F.count(F.lit(1)).alias("n")).first()
+        if (stats["m"] or 0) <= 1:
+            distinct, rows = counted.drop("__q_mult"), int(stats["n"])
+            if rows <= SMALL_TABLE_ROWS:  # few keys: one window task over the landed keys
+                keys = _window_number(distinct, order_cols, out_col, start)
+            else:
+                keys, rows = _number_rows(distinct, order_cols, out_col, num_partitions, start, heavy=False)
             # The key count is known; broadcast the ids only below the bound.
             if rows <= BROADCAST_MAX_ROWS:
                 keys = F.broadcast(keys)
@@ -85,8 +88,13 @@ def _number_small(df: DataFrame, order_cols: list[str], out_col: str, start: int
     rows = staged.count()
     if rows > SMALL_TABLE_ROWS:
         return None
+    return _window_number(staged, order_cols, out_col, start), rows
+
+
+def _window_number(df: DataFrame, order_cols: list[str], out_col: str, start: int) -> DataFrame:
+    """Single-task numbering; only called on landed tables of at most ``SMALL_TABLE_ROWS`` rows."""
     w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    return staged.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long")), rows
+    return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
 
 
 def _number_rows(
