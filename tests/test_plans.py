@@ -41,3 +41,23 @@ def test_last_write_wins_combines_map_side(spark):
 def test_scan_prunes_columns(spark):
     p = plan(Q.q_html_to_markdown(spark, SF_SMALL))
     assert "ReadSchema: struct<page_id:bigint,html:string>" in p
+
+
+def test_page_cap_is_a_filter_not_a_window(spark):
+    p = plan(Q.q_page_cap(spark, SF_SMALL))
+    # the cap is folded to a filter on the page's position; no Window operator anywhere
+    assert "Window [" not in p and "WindowGroupLimit" not in p
+    assert f"< {Q.PAGE_CAP})" in p
+
+
+def test_item_load_broadcasts_sources(spark):
+    from quire.operators import bucket, process
+    from quire.plans import derive
+
+    docs = derive.table(spark, SF_SMALL, "documents")
+    manifest = derive.manifest_of(derive.doc_catalogue(docs))
+    items, _ = process.flatten_files(derive.doc_files(docs), manifest)
+    srcs = bucket.load_sources(manifest, 7)
+    attached = items.join(__import__("quire.operators.sizing", fromlist=["x"]).bounded_broadcast(
+        srcs.select("pos", "external_source_id")), "pos")
+    assert "BroadcastHashJoin" in plan(attached)
