@@ -3,9 +3,10 @@
 Spark's ``binaryFile`` source drops every name starting with ``.`` or ``_``
 (``.gitignore``, ``__init__.py``)
 so the listing is a Python data source (format ``treescan``).  The driver
-lists folders (never files) of the top ``splitDepth`` levels of each source;
+lists folders (never files) of the top levels of each source — at least
+``splitDepth``, and deeper while few subtrees are open (``targetUnits``);
 every folder there becomes a unit whose own files one task lists, and every
-folder at that depth a unit whose whole subtree one task walks.  Units are
+folder at the last level a unit whose whole subtree one task walks.  Units are
 dealt round-robin into at most ``maxSplits`` input partitions.  Folders named
 ``.git`` or ``target`` are not entered (F1); only regular files are taken,
 links are followed, broken links skipped (F2); a link back to a folder on
@@ -91,26 +92,38 @@ class _TreeReader(DataSourceReader):
         self.sources = [s for s in wanted.split(",") if s] if wanted else None
         self.max_splits = int(options.get("maxSplits", "64"))
         self.split_depth = max(1, int(options.get("splitDepth", "2")))
+        self.target_units = int(options.get("targetUnits", str(4 * self.max_splits)))
+        self.max_depth = max(self.split_depth, int(options.get("maxSplitDepth", "12")))
 
     def partitions(self):
-        """Units from the top ``splitDepth`` folder levels (folders only; files are listed by tasks)."""
+        """Units from the top folder levels (folders only; files are listed by tasks).
+
+        The driver descends at least ``splitDepth`` levels, and further, level
+        by level, while fewer than ``targetUnits`` subtrees are open (up to
+        ``maxSplitDepth``): a tree whose files hang below one long chain of
+        folders is split where it branches, not at its top.
+        """
         units = []
         sources = self.sources
         if sources is None:
             sources = sorted(e for e in os.listdir(self.root) if _is_dir(os.path.join(self.root, e)))
+        frontier = []
         for src in sources:
             base = os.path.join(self.root, src)
-            if not _is_dir(base):
-                continue
-            frontier = [((), base, frozenset([_inode(base)]))]
-            for _ in range(self.split_depth):
-                nxt = []
-                for parts, folder, anc in frontier:
-                    units.append(_Unit(self.root, src, parts, False, anc))
-                    for name, full in _subdirs(folder, anc):
-                        nxt.append((parts + (name,), full, anc | {_inode(full)}))
-                frontier = nxt
-            units.extend(_Unit(self.root, src, parts, True, anc) for parts, _, anc in frontier)
+            if _is_dir(base):
+                frontier.append((src, (), base, frozenset([_inode(base)])))
+        depth = 0
+        while frontier and (
+            depth < self.split_depth or (len(frontier) < self.target_units and depth < self.max_depth)
+        ):
+            nxt = []
+            for src, parts, folder, anc in frontier:
+                units.append(_Unit(self.root, src, parts, False, anc))
+                for name, full in _subdirs(folder, anc):
+                    nxt.append((src, parts + (name,), full, anc | {_inode(full)}))
+            frontier = nxt
+            depth += 1
+        units.extend(_Unit(self.root, src, parts, True, anc) for src, parts, _, anc in frontier)
         n = max(1, min(self.max_splits, len(units)))
         return [_Split(units[i::n]) for i in range(n)]
 

@@ -83,3 +83,19 @@ def test_large_files_chunked_and_size_bound(spark, tmp_path):
     rej = treescan.oversized_files(spark, str(root), 300_002)
     assert sorted(r["rel_path"] for r in rej.collect()) == ["f3.bin", "f4.bin", "f5.bin"]
     assert treescan._bytes("64m") == 64 << 20 and treescan._bytes("67108864b") == 67108864
+
+
+def test_deep_chain_is_split_where_it_branches(spark, tmp_path):
+    chain = tmp_path / "repo" / "src" / "main" / "java" / "com" / "acme"
+    for pkg in range(6):
+        for f in range(3):
+            p = chain / f"pkg{pkg}" / f"F{f}.java"
+            p.parent.mkdir(parents=True, exist_ok=True)
+            p.write_bytes(b"class F {}")
+    reader = treescan._TreeReader({"path": str(tmp_path), "maxSplits": "4", "targetUnits": "6"})
+    deep = [u for split in reader.partitions() for u in split.units if u.deep]
+    assert len(deep) == 6 and all(u.parts[-1].startswith("pkg") for u in deep)
+    shallow_only = treescan._TreeReader({"path": str(tmp_path), "maxSplits": "4", "targetUnits": "1"})
+    assert len([u for s in shallow_only.partitions() for u in s.units if u.deep]) == 1
+    listing = treescan.read_tree(spark, str(tmp_path), with_content=False)
+    assert listing.count() == 18
