@@ -41,7 +41,7 @@ def parse_page_limit(value: str | None) -> int | None:
 
 
 def _batch_view(batches: DataFrame, batch_size: int) -> DataFrame:
-    ok_status = F.col("status").between(200, 299)
+    ok_status = F.coalesce(F.col("status").between(200, 299), F.lit(False))  # no status: failed
     return batches.select(
         "source_dir",
         "start",

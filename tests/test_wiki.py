@@ -125,3 +125,8 @@ def test_failed_space_raises(spark):
 def test_undecodable_space_body(spark):
     df = spark.createDataFrame([("s", None, 200, None)], schemas.LANDED_RESPONSES)
     assert [r["body"] for r in landed.space_documents(df).collect()] == ["<Failed to decode response body>"]
+
+
+def test_batch_without_status_counts_as_failed(spark):
+    titles, _ = kept_titles(spark, [(0, 4, 200, True), (4, 4, None, True), (8, 4, 200, True)], 4)
+    assert titles == ["p0", "p1", "p2", "p3"]
