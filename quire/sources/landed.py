@@ -73,7 +73,8 @@ class SpaceFetchError(RuntimeError):
 
 def check_spaces(spaces: DataFrame) -> None:
     """A space document with a non-2xx status fails the run, showing its body."""
-    bad = spaces.where(~F.col("status").between(200, 299)).limit(1).collect()
+    ok = F.coalesce(F.col("status").between(200, 299), F.lit(False))  # no status: failed
+    bad = spaces.where(~ok).limit(1).collect()
     if bad:
         r = bad[0]
         raise SpaceFetchError(f"space {r['source_dir']} returned status {r['status']}: {r['body']}")

@@ -130,3 +130,9 @@ def test_undecodable_space_body(spark):
 def test_batch_without_status_counts_as_failed(spark):
     titles, _ = kept_titles(spark, [(0, 4, 200, True), (4, 4, None, True), (8, 4, 200, True)], 4)
     assert titles == ["p0", "p1", "p2", "p3"]
+
+
+def test_space_without_status_fails(spark):
+    df = spark.createDataFrame([("s", None, None, "{}")], schemas.LANDED_RESPONSES)
+    with pytest.raises(landed.SpaceFetchError):
+        landed.check_spaces(landed.space_documents(df))
