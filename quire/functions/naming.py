@@ -93,8 +93,9 @@ def flat_name(rel_path, max_bytes: int = FLAT_NAME_MAX_BYTES) -> Column:
     base = F.substring_index(path, "/", -1)
     full = F.replace(path, F.lit("/"), F.lit(FLAT_SEPARATOR))
     fits = F.octet_length(full) <= max_bytes
-    ascii_only = F.octet_length(path) == F.length(path)
     mark = "\u0000\u0000"
+    # ASCII and free of NUL (a table input could hold one; a file system cannot).
+    ascii_only = (F.octet_length(path) == F.length(path)) & ~F.contains(path, F.lit("\u0000"))
     marked = F.replace(path, F.lit("/"), F.lit(mark))
     # A mark followed by at most max_bytes characters lies inside the last
     # max_bytes + 2 characters; the first such mark starts the answer.

@@ -106,3 +106,29 @@ def test_processor_kind(spark):
              "readmetopdf", "", None]
     got = one(spark, naming.processor_kind("k"), [(k,) for k in kinds], "k string")
     assert got == ["ReadmeToPDF"] * 3 + ["FlattenFiles"] * 6
+
+
+def test_flat_name_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    tokens = list("ab_.-é\u0000\n日") + ["x" * 30, "__"]
+    seg = st.lists(st.sampled_from(tokens), min_size=1, max_size=8).map("".join)
+    paths = st.lists(seg, min_size=1, max_size=30).map("/".join)
+    seen = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(paths)
+    def collect(p):
+        seen.append(p)
+
+    collect()
+    got = one(spark, naming.flat_name("p"), [(p,) for p in seen], "p string")
+    assert got == [models.flat_name(p) for p in seen]
+
+
+def test_flat_name_nul_in_a_name_takes_the_exact_path(spark):
+    # A table input may carry NUL, which the ASCII fast path uses as its separator mark.
+    paths = ["x" * 100 + "/" + "y" * 40 + "\u0000\u0000" + "z" * 50 + "/w.txt", "a\u0000/" + "b" * 190]
+    got = one(spark, naming.flat_name("p"), [(p,) for p in paths], "p string")
+    assert got == [models.flat_name(p) for p in paths]
