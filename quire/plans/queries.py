@@ -256,8 +256,10 @@ def q_refresh_replace(spark, sf) -> DataFrame:
     i7 = land(bucket.load_items(flat, s7), "bucket")
     n_src = s7.count()
     n_items = i7.count()
-    s8 = bucket.load_sources(manifest, OTHER_BUCKET_ID, id_base=n_src)
-    i8 = land(bucket.load_items(flat, s8, id_base=n_items), "bucket")
+    # Bucket 8 holds the same items, created after bucket 7's: same order, ids shifted.
+    i8 = i7.withColumn("bucket_id", F.lit(OTHER_BUCKET_ID).cast("long")).withColumn(
+        "external_source_id", F.col("external_source_id") + F.lit(n_src)
+    ).withColumn("external_item_id", F.col("external_item_id") + F.lit(n_items))
     old = i7.unionByName(i8)
     # Refresh bucket 7 with the README processor; new ids follow the largest in the table.
     readme, _ = process.readme_files(files, manifest)
