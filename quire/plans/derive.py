@@ -85,6 +85,11 @@ def doc_files(documents: DataFrame, with_doc_id: bool = False) -> DataFrame:
 
 def doc_catalogue(documents: DataFrame) -> DataFrame:
     """Source catalogue (S1 shape + source_dir, pos): repositories and empty spaces."""
+    return numbered_catalogue(doc_sources(documents))
+
+
+def doc_sources(documents: DataFrame) -> DataFrame:
+    """Unnumbered catalogue rows of :func:`doc_catalogue`."""
     null = F.lit(None).cast("string")
     repos = documents.select("source").distinct().select(
         F.lit("git").alias("type"),
@@ -100,10 +105,11 @@ def doc_catalogue(documents: DataFrame) -> DataFrame:
         F.concat(F.lit(DOC_WIKI_HOST), F.col("lang"), F.lit("/")).alias("base_url"),
         F.upper("lang").alias("space_key"),
     )
-    return _numbered_catalogue(repos.unionByName(spaces))
+    return repos.unionByName(spaces)
 
 
-def _numbered_catalogue(cat: DataFrame) -> DataFrame:
+def numbered_catalogue(cat: DataFrame) -> DataFrame:
+    """Catalogue rows + ``source_dir``, ``logical_name`` and ``pos`` in folder-name order."""
     cat = cat.withColumn(
         "source_dir", source_dir("type", "repo_url", "reference", "base_url", "space_key")
     ).withColumn("logical_name", logical_name("type", "repo_url", "base_url", "space_key"))
@@ -162,6 +168,12 @@ def wiki_pages(pages: DataFrame) -> DataFrame:
 
 
 def page_catalogue(pages: DataFrame) -> DataFrame:
+    """Catalogue of one wiki space per url host (numbered)."""
+    return numbered_catalogue(page_sources(pages))
+
+
+def page_sources(pages: DataFrame) -> DataFrame:
+    """Unnumbered catalogue rows of :func:`page_catalogue`."""
     null = F.lit(None).cast("string")
     spaces = pages.select(url_host().alias("host")).distinct().select(
         F.lit("confluence").alias("type"),
@@ -170,7 +182,7 @@ def page_catalogue(pages: DataFrame) -> DataFrame:
         F.concat(F.lit("https://"), F.col("host"), F.lit("/wiki")).alias("base_url"),
         F.lit(PAGE_SPACE_KEY).alias("space_key"),
     )
-    return _numbered_catalogue(spaces)
+    return spaces
 
 
 def page_batches(pages: DataFrame, batch_size: int) -> DataFrame:

@@ -283,13 +283,8 @@ def q_sync_report(spark, sf) -> DataFrame:
 def q_mixed_sources(spark, sf) -> DataFrame:
     docs = table(spark, sf, "documents")
     pages = table(spark, sf, "pages")
-    repos = derive.doc_catalogue(docs).where(F.col("type") == "git").drop("pos")
-    spaces = derive.page_catalogue(pages).drop("pos")
-    cat = derive._numbered_catalogue(
-        repos.select("type", "repo_url", "reference", "base_url", "space_key").unionByName(
-            spaces.select("type", "repo_url", "reference", "base_url", "space_key")
-        )
-    )
+    repos = derive.doc_sources(docs).where(F.col("type") == "git")
+    cat = derive.numbered_catalogue(repos.unionByName(derive.page_sources(pages)))
     wfiles, _ = wiki.wiki_files(derive.page_batches(pages, WIKI_BATCH), derive.page_spaces(pages), WIKI_BATCH)
     files = derive.doc_files(docs).unionByName(wfiles)
     items, _ = process.flatten_files(files, derive.manifest_of(cat))
