@@ -62,8 +62,8 @@ def load_items(
 ) -> DataFrame:
     """Create one item per processed item.
 
-    Item ids are dense in (source id, filename, rel_path, text) order, after
-    ``id_base``.  ``backend_state`` is an optional column with the state a
+    Item ids are dense in (source id, filename, rel_path, content hash) order,
+    after ``id_base``.  ``backend_state`` is an optional column with the state a
     backend reported; unset means every item is ``Submitted``.  ``keep``
     names extra item columns carried to the output.
     """
@@ -81,17 +81,18 @@ def load_items(
         lossy_utf8("content").alias("content"),
         state.alias("processing_state"),
         *keep,
-    )
+    ).withColumn("content_hash", F.sha2("content", 256))
     # (source, rel_path) is a key of a file tree, so normally only keys are
     # numbered; a table input repeating a path falls back to whole rows, the
-    # item text breaking ties so ids stay deterministic.
+    # content hash breaking ties (a fixed-size key: sort keys are sampled on
+    # the driver, so the text itself must not be one).
     numbered = dense_number(
         attached,
         ["external_source_id", "url", "rel_path"],
         "external_item_id",
         start=id_base + 1,
         unique_keys=True,
-        tiebreak=["content"],
+        tiebreak=["content_hash"],
     )
     return numbered.select(
         "bucket_id",
@@ -99,7 +100,7 @@ def load_items(
         "external_item_id",
         "url",
         "content",
-        F.sha2("content", 256).alias("content_hash"),
+        "content_hash",
         "processing_state",
         F.lit(CREATED_STATE).alias("state"),
         F.lit(as_of).cast("string").alias("updated_datetime"),

@@ -48,7 +48,8 @@ def dense_number(
     still dense) order.  ``unique_keys=True`` expects them to: then only the
     key columns go through the numbering, after a check that falls back to
     numbering whole rows (ordered by ``order_cols + tiebreak``) when a key
-    repeats.  ``small=True`` is a hint for configuration-sized tables
+    repeats.  Order and tie-break columns should be of bounded size: range
+    partitioning samples them onto the driver.  ``small=True`` is a hint for configuration-sized tables
     (source catalogues): if the table indeed has at most ``SMALL_TABLE_ROWS``
     rows it is numbered by a single window task, otherwise by the two-pass plan.
     """

@@ -81,7 +81,7 @@ srcs AS (
   SELECT pos, row_number() OVER (ORDER BY pos) AS source_id, logical_name AS source_name FROM doc_cat
 ),
 loaded AS (
-  SELECT s.source_id, row_number() OVER (ORDER BY s.source_id, i.filename, i.rel_path, i.content) AS item_id,
+  SELECT s.source_id, row_number() OVER (ORDER BY s.source_id, i.filename, i.rel_path, sha256(i.content)) AS item_id,
          i.filename, i.rel_path, i.content, i.doc_id
   FROM doc_items i JOIN srcs s USING (pos)
 )"""
