@@ -124,3 +124,14 @@ def test_sync_landed_end_to_end(spark, tmp_path):
     assert res.n_sources == 2 and res.n_items == 4
     landed_paths = sorted((r["source_dir"], r["rel_path"]) for r in spark.table(snap).collect())
     assert (git_dir, "src/lib.rs") in landed_paths and (wiki_dir, "space.json") in landed_paths
+
+
+def test_sync_landed_rejects_invalid_catalogue(spark):
+    import pytest
+
+    from quire.plans import sync
+
+    sources = catalogue.sources_frame(spark, [{"type": "svn", "repo_url": "x"}])
+    with pytest.raises(ValueError, match="unknown_type"):
+        sync.sync_landed(spark, sources, 7, sources_table="never_created_s", items_table="never_created_i")
+    assert not spark.catalog.tableExists("never_created_s")
