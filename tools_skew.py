@@ -63,6 +63,9 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 6
     spark = local_session(8, 16)
+    # Show the raw shuffle distribution: with coalescing on, AQE packs a tiny
+    # stage into one task by size (right for small data, but it hides the split).
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.sparkContext.setJobGroup("skew", "skew check")
     docs = skewed_documents(derive.table(spark, sf, "documents"), copies)
     pages = skewed_pages(derive.table(spark, sf, "pages"), copies)
