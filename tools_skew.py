@@ -2,8 +2,9 @@
 
 Builds skewed inputs from the given tables (documents replicated with fresh
 ids; a third of them moved into source ``src0``; pages replicated with a third
-on one host), runs the main plans, and prints, per stage, the largest share
-of shuffled records any one task read.
+on one host), runs the main plans with AQE partition coalescing off (so tiny stages are
+not packed into one task), and prints, per stage, the largest share of
+shuffled records any one task read.
 
 Usage: python tools_skew.py [sf_dir] [copies]
 """
