@@ -377,3 +377,25 @@ SELECT source_dir, rel_path, CAST(strlen(arg_max(content, doc_id)) AS BIGINT) AS
 FROM doc_files
 WHERE NOT list_has_any(string_split(rel_path, '/')[1:len(string_split(rel_path, '/')) - 1], ['.git', 'target'])
 GROUP BY source_dir, rel_path"""
+
+ORACLE["snapshot_replace"] = w(DOC_FILES, PREV_DOCS) + f""",
+prev AS (
+  SELECT {GIT_DIR.format(s='source')} AS source_dir,
+         CASE doc_id % 11 WHEN 0 THEN '.git/' WHEN 1 THEN 'a/target/' WHEN 2 THEN 'targets/'
+                          WHEN 3 THEN '.github/' ELSE 'src/' END
+         || repeat('seg' || CAST(doc_id % 7 AS VARCHAR) || '/', CAST(doc_id % 60 AS INTEGER))
+         || CASE WHEN doc_id % 13 = 0 THEN 'target' ELSE 'doc_' || CAST(doc_id AS VARCHAR) || '.txt' END AS rel_path,
+         text AS content
+  FROM prev_docs
+  UNION ALL
+  SELECT DISTINCT {GIT_DIR.format(s='source')}, 'CHANGELOG.md', 'changes of ' || source FROM documents
+),
+refreshed AS (
+  SELECT DISTINCT f.source_dir FROM doc_files f JOIN labels b ON b.doc_id = f.doc_id
+  WHERE b.toxic = 1 AND b.quality = 0
+)
+SELECT source_dir, rel_path, sha256(content) AS content_hash FROM prev
+WHERE source_dir NOT IN (SELECT source_dir FROM refreshed)
+UNION ALL
+SELECT source_dir, rel_path, sha256(content) FROM doc_files
+WHERE source_dir IN (SELECT source_dir FROM refreshed)"""

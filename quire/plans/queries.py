@@ -299,6 +299,20 @@ def q_mixed_sources(spark, sf) -> DataFrame:
 # ------------------------------------------------------------------- audit
 
 
+def q_snapshot_replace(spark, sf) -> DataFrame:
+    from quire.sources import snapshot
+
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels")
+    previous = derive.previous_doc_files(docs, labels)
+    current = derive.doc_files(docs, with_doc_id=True)
+    # Re-snapshot the repositories holding a document labelled both low-quality and toxic.
+    flagged = labels.where((F.col("toxic") == 1) & (F.col("quality") == 0)).select("doc_id")
+    refreshed = current.join(flagged, "doc_id", "left_semi").select("source_dir").distinct()
+    result = snapshot.replaced(previous, current.drop("doc_id"), refreshed)
+    return result.select("source_dir", "rel_path", F.sha2(F.col("content"), 256).alias("content_hash"))
+
+
 def q_dedup_exact(spark, sf) -> DataFrame:
     _, items, srcs = _doc_load(spark, sf)
     loaded = bucket.load_items(items, srcs)
@@ -365,6 +379,7 @@ QUERIES: dict[str, Query] = {
     "mixed_sources": q_mixed_sources,
     "flat_name_collisions": q_flat_name_collisions,
     "snapshot_diff": q_snapshot_diff,
+    "snapshot_replace": q_snapshot_replace,
     "dedup_exact": q_dedup_exact,
     "checksum_audit": q_checksum_audit,
     "lossy_text": q_lossy_text,
