@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import ranked, table
+from quire.llm.common import land, ranked, table
 from quire.llm.textwords import slices
 from quire.llm.wordtokens import encoder
 
@@ -133,7 +133,8 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Da
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
-    return pack(token_pieces(docs, tokenizer, capacity), capacity)
+    # Landed first: range boundaries are sampled from the rows, which must not tokenize every text twice.
+    return pack(land(token_pieces(docs, tokenizer, capacity), "token-pieces"), capacity)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
