@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +13,7 @@ from quire.operators.stage import land
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,3 +32,17 @@ def ranked(df: DataFrame, keys: list[Column | str], label: str) -> DataFrame:
 def crc_mod(doc_id: str, n: int) -> Column:
     """crc32 of the id's text, modulo n (null ids give null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % n
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once per application, so that a cluster needs no installed copy."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quire_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="quire-ship-")) / "quire.zip"  # the driver serves it to executors
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._quire_shipped = True

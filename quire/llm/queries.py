@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.mixing import OP2_SQL, op2_source_mixing
 from quire.llm.packing import op1_best_fit_packing
+from quire.llm.tokenfiles import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_source_mixing": op2_source_mixing,
+    "op7_token_files": op7_token_files,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL}
