@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.mixing import OP2_SQL, op2_source_mixing
 from quire.llm.packing import op1_best_fit_packing
+from quire.llm.repetition import op5_quality_rules
 from quire.llm.tokenfiles import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_source_mixing": op2_source_mixing,
+    "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
 }
 
