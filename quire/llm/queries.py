@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.llm.mixing import OP2_SQL, op2_source_mixing
 from quire.llm.packing import op1_best_fit_packing
 from quire.llm.repetition import op5_quality_rules
+from quire.llm.simhash import op10_simhash
 from quire.llm.tokenfiles import op7_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL}
