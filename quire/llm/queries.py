@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.kneserney import op9_kneser_ney
 from quire.llm.mixing import OP2_SQL, op2_source_mixing
 from quire.llm.packing import op1_best_fit_packing
 from quire.llm.repetition import op5_quality_rules
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mixing": op2_source_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
+    "op9_kneser_ney": op9_kneser_ney,
     "op10_simhash": op10_simhash,
 }
 
