@@ -12,12 +12,14 @@ from quire.llm.packing import op1_best_fit_packing
 from quire.llm.repetition import op5_quality_rules
 from quire.llm.simhash import op10_simhash
 from quire.llm.tokenfiles import op7_token_files
+from quire.llm.vectors import op8_embedding_neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_source_mixing": op2_source_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_token_files": op7_token_files,
+    "op8_embedding_neardup": op8_embedding_neardup,
     "op9_kneser_ney": op9_kneser_ney,
     "op10_simhash": op10_simhash,
 }
