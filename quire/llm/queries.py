@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.kneserney import op9_kneser_ney
+from quire.llm.language import op6_language_id
 from quire.llm.mixing import OP2_SQL, op2_source_mixing
 from quire.llm.packing import op1_best_fit_packing
+from quire.llm.quality import op3_quality_classifier
 from quire.llm.repetition import op5_quality_rules
 from quire.llm.simhash import op10_simhash
 from quire.llm.tokenfiles import op7_token_files
@@ -17,7 +19,9 @@ from quire.llm.vectors import op8_embedding_neardup
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_source_mixing": op2_source_mixing,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language_id": op6_language_id,
     "op7_token_files": op7_token_files,
     "op8_embedding_neardup": op8_embedding_neardup,
     "op9_kneser_ney": op9_kneser_ney,
