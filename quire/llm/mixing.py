@@ -80,6 +80,18 @@ def mix(docs: DataFrame, size: str = "size", key: str = "doc_id", weights: tuple
     return out.withColumn("taken", taken.cast("long")).drop("_s", "_p", "_g", "_order", "_part", "_pos", "_base", "_in", "budget")
 
 
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """Documents with all their columns, each as often as the mix takes it (a part counts from half a document on)."""
+    rows = land(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-input")
+    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
+    sizes = rows.select("__row", "source", key.alias("key"), words_in("text").alias("size"))
+    taken = mix(land(sizes, "mix-sizes"), "size", "key", weights, max_epochs)
+    copies = F.expr("taken div size + int(2 * (taken % size) >= size)")
+    wanted = taken.where("taken > 0").select("__row", copies.alias("__copies")).where("__copies > 0")
+    out = rows.join(wanted, "__row")
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", words_in("text").alias("size"))
     return mix(land(docs, "sizes")).select("doc_id", "size", "source_size", "target", "taken")

@@ -121,10 +121,20 @@ class Ensemble(NamedTuple):
         return 1 / (1 + F.exp(-z))
 
 
-def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Ensemble:
-    """Fit to rows with ``stat_`` columns, doc_id and ``label`` (0 or 1)."""
-    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).drop("doc_id")
-    chosen = land(chosen, "fit-rows").coalesce(4)
+def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id, label and statistics of at most ``rows`` labelled documents, chosen by a hash of doc_id among those that may be learned from."""
+    may = F.coalesce(crc_mod("doc_id", 3) != 1, F.lit(False))
+    truth = labels.where("quality IN (0, 1)").where(may).select(F.col("doc_id").alias("__id"), F.col("quality").alias("__label"))
+    chosen = land(truth.orderBy(F.xxhash64("__id"), "__id", "__label").limit(rows), "fit-labels")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))  # ``rows`` rows at most
+    stats = with_statistics(found, ["doc_id", "__label"]).withColumnRenamed("__label", "label")
+    # Rows that repeat a doc_id don't add to the bound.
+    return stats.dropDuplicates(["doc_id", "label"])
+
+
+def fit(labelled: DataFrame) -> Ensemble:
+    """Fit to a bounded table with ``stat_`` columns and ``label`` (0 or 1)."""
+    chosen = land(labelled.coalesce(4), "fit-rows")
     seen = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(seen) < 2:
         share = next(iter(seen), None)
@@ -139,15 +149,17 @@ def fit(labelled: DataFrame, rows: int = FIT_ROWS) -> Ensemble:
     return Ensemble([(found[i], float(weights[i])) for i in np.flatnonzero(weights).tolist()], float(lasso.intercept))
 
 
-def score(docs: DataFrame, labels: DataFrame, keep: list[str], rows: int = FIT_ROWS) -> DataFrame:
-    """``keep`` columns (``doc_id`` among them) with held_out, score and predicted."""
-    stats = land(with_statistics(docs, keep), "statistics").withColumn("__held_out", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)))
-    truth = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("__id"), F.col("quality").alias("label"))
-    learn = stats.where("NOT __held_out").join(truth, F.col("doc_id") == F.col("__id"))
-    model = fit(learn.select("doc_id", "label", *(f"stat_{s}" for s in STATISTICS)), rows)
-    out = stats.withColumn("__score", model.score())
-    return out.select(*keep, F.col("__held_out").alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+def with_score(docs: DataFrame, labels: DataFrame, keep: list[str], rows: int = FIT_ROWS) -> DataFrame:
+    """``keep`` columns with ``__score``; the text is read once to score and, for the rows of the fit, once to learn."""
+    model = fit(training_rows(docs, labels, rows))
+    return with_statistics(docs, keep).select(*keep, model.score().alias("__score"))
+
+
+def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with all their columns, without those scored under 0.5."""
+    return with_score(docs, labels, docs.columns).where("__score >= 0.5").select(*docs.columns)
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    df = with_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+    return df.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))

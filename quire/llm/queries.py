@@ -13,6 +13,7 @@ from quire.llm.packing import op1_best_fit_packing
 from quire.llm.quality import op3_quality_classifier
 from quire.llm.repetition import op5_quality_rules
 from quire.llm.simhash import op10_simhash
+from quire.llm.tokencounts import op4_token_counts
 from quire.llm.tokenfiles import op7_token_files
 from quire.llm.vectors import op8_embedding_neardup
 
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_source_mixing": op2_source_mixing,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_token_files": op7_token_files,
