@@ -6,10 +6,10 @@ model; documents take the counts back and sum them.
 
 Documents are handled in blocks, the texts of one task up to ``BLOCK_BYTES``.
 A block has its own list of distinct pre-tokens, and its documents hold
-(number in that list, frequency) pairs.  Only the lists are joined to piece
-counts, by pre-token; the answers return to their block by a cogroup.  So a
-pre-token that is in every document is one row for each block, a block is
-bounded, and documents move once, as compressed numbers.
+(number in that list, frequency) pairs.  Only the lists are dealt out and
+sorted by pre-token, so that each is counted once; the answers return to their
+block by a cogroup.  So a pre-token that is in every document is one row for
+each block, a block is bounded, and documents move once, as compressed numbers.
 
 Special strings in texts are what the library makes of them: one id each, and
 the text on either side is cut on its own.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import land, table
-from quire.llm.textwords import SLICE_BYTES, Words, lanes_hash, mix, slices
+from quire.llm.textwords import SLICE_BYTES, Words, lanes_hash, mix, per_row, slices
 from quire.llm.wordtokens import byte_chars
 
 BLOCK_BYTES = 48 << 20
@@ -108,16 +108,17 @@ class Block:
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Numbers as byte planes, which compress well."""
-    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Numbers as byte planes, compressed."""
+    return pa.compress(np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), "zstd", asbytes=True)
 
 
-def _unpack(x: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def _unpack(x: pa.Buffer, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(x, 4 * n, "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
-def count_slice(c: Cutter, block: Block, col: pa.Array) -> list[tuple[int, bytes | None]]:
-    """For each text: special strings in it, and its (pre-token number, frequency) pairs, packed."""
+def count_slice(c: Cutter, block: Block, col: pa.Array) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """For each text: special strings in it, how many distinct pre-tokens; and all (pre-token number, frequency) pairs, packed."""
     specials = np.zeros(len(col), np.int64)
     owner = np.arange(len(col))
     odd = pc.fill_null(pc.match_substring_regex(col, _ODD_SPACE), False).to_numpy(zero_copy_only=False)
@@ -155,31 +156,35 @@ def count_slice(c: Cutter, block: Block, col: pa.Array) -> list[tuple[int, bytes
     number = key & 0xFFFFFFFF
     step = np.diff(number, prepend=0)
     step[cuts[:-1][np.diff(cuts) > 0]] = number[cuts[:-1][np.diff(cuts) > 0]]
-    return [(int(specials[i]), _pack(np.concatenate([step[a:b], times[a:b]]))) for i, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))]
+    return specials, np.diff(cuts), _pack(np.concatenate([step, times]))
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame:
     """``key``, n_bytes and n_tokens of every document."""
 
+    columns = ["block", "ids", "n_bytes", "specials", "held", "pairs", "number", "pretoken"]
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """For each slice of texts one row; for each block also its list, one row a pre-token."""
         c, part_id, seq = cutter(tokenizer), TaskContext.get().partitionId(), 0
         block = Block()
-        kind = None
-        names = ["block", key, "n_bytes", "specials", "pairs", "number", "pretoken"]
+        kind = pa.null()
 
         def listed() -> pa.RecordBatch:
             n = len(block.numbers)
-            none = [pa.nulls(n, t) for t in (kind, pa.int64(), pa.int64(), pa.binary())]
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, part_id << 24 | seq)), *none, pa.array(np.arange(n)), pa.array(list(block.numbers), pa.string())], names)
+            none = [pa.nulls(n, t) for t in (pa.list_(kind), *[pa.list_(pa.int64())] * 3, pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, part_id << 24 | seq)), *none, pa.array(np.arange(n)), pa.array(list(block.numbers), pa.string())], columns)
 
         for batch in batches:
             kind = batch.schema.field(key).type
             for part in slices(batch, "__text", SLICE_BYTES):
                 text = part.column("__text")
                 size = pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())
-                got = count_slice(c, block, pc.fill_null(text, ""))
-                n = part.num_rows
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part_id << 24 | seq)), part.column(key), size, pa.array([x for x, _ in got], pa.int64()), pa.array([x for _, x in got], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())], names)
+                specials, held, pairs = count_slice(c, block, pc.fill_null(text, ""))
+                one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part_id << 24 | seq]), one(part.column(key)), one(size), one(pa.array(specials)), one(pa.array(held)), pa.array([pairs], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string())], columns
+                )
                 block.size += int(pc.sum(size).as_py() or 0)
                 if block.size >= BLOCK_BYTES:
                     yield listed()
@@ -187,27 +192,44 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFr
         if block.numbers:
             yield listed()
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by pre-token: its pieces are counted where its run begins."""
+        c, last, n = cutter(tokenizer), None, 0
+        for batch in batches:
+            runs = pc.dictionary_encode(batch.column("pretoken"))
+            pieces = []
+            for x in runs.dictionary.to_pylist():
+                n = n if x == last else c.pieces(x)
+                last = x
+                pieces.append(n)
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("number"), pa.array(pieces, pa.int32()).take(runs.indices)], ["of_block", "number", "pieces"])
+
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.zeros(right.num_rows, np.int64)
         known[right["number"].to_numpy()] = right["pieces"].to_numpy()
-        total = []
-        for extra, pairs in zip(left["specials"].to_pylist(), left["pairs"].combine_chunks(), strict=True):
-            x = _unpack(pairs.as_buffer())
-            n = len(x) // 2
-            total.append(extra + int(known[np.cumsum(x[:n])] @ x[n:]))
-        return pa.table({key: left[key], "n_bytes": left["n_bytes"], "n_tokens": pa.array(total, pa.int64())})
-
-    @F.pandas_udf("int")
-    def pieces(pretoken):  # noqa: ANN001, ANN202
-        return pretoken.map(cutter(tokenizer).pieces)
+        ids, n_bytes, total = [], [], []
+        for row in range(left.num_rows):
+            specials, held = (left[x][row].values.to_numpy() for x in ("specials", "held"))
+            cuts = np.concatenate([[0], np.cumsum(held)])
+            x = _unpack(left["pairs"][row].as_buffer(), 2 * int(cuts[-1]))
+            step, times = x[: cuts[-1]], x[cuts[-1] :]
+            # Numbers are stored as steps within each document.
+            number = np.cumsum(step)
+            before = np.concatenate([[0], number])[cuts[:-1]]
+            number -= np.repeat(before, held)
+            total.append(per_row(known[number] * times, cuts) + specials)
+            ids.append(left["ids"][row].values)
+            n_bytes.append(left["n_bytes"][row].values)
+        if not ids:
+            return pa.table({key: pa.array([], left.schema.field("ids").type.value_type), "n_bytes": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64())})
+        return pa.table({key: pa.concat_arrays(ids), "n_bytes": pa.concat_arrays(n_bytes), "n_tokens": np.concatenate(total)})
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = docs.select(key, F.col("text").alias("__text")).mapInArrow(blocks, f"block long, `{key}` {kind}, n_bytes long, specials long, pairs binary, number long, pretoken string")
-    rows = land(rows, "pretokens")
-    lists = rows.where("pretoken IS NOT NULL").select("block", "number", "pretoken")
-    distinct = lists.select("pretoken").distinct().withColumn("pieces", pieces("pretoken"))
-    answers = lists.join(distinct, "pretoken").select(F.col("block").alias("of_block"), "number", "pieces")
-    texts = rows.where("pairs IS NOT NULL").select("block", key, "n_bytes", "specials", "pairs")
+    schema = f"block long, ids array<{kind}>, n_bytes array<long>, specials array<long>, held array<long>, pairs binary, number long, pretoken string"
+    rows = land(docs.select(key, F.col("text").alias("__text")).mapInArrow(blocks, schema), "pretokens")
+    lists = rows.where("pretoken IS NOT NULL").select("pretoken", "block", "number")
+    answers = lists.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(counted, "of_block long, number long, pieces int")
+    texts = rows.where("pairs IS NOT NULL").select("block", "ids", "n_bytes", "specials", "held", "pairs")
     return texts.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(summed, f"`{key}` {kind}, n_bytes long, n_tokens long")
 
 
