@@ -31,11 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import land, table
+from quire.llm.common import table
 from quire.llm.textwords import SLICE_BYTES, Words, lanes_hash, mix, per_row, slices
 from quire.llm.wordtokens import byte_chars
+from quire.session import staging_path
 
 BLOCK_BYTES = 48 << 20
+#: Bits of a block's number within its task, and of a pre-token's within its block (fewer than a block has bytes, unless one text is larger).
+BLOCK_BITS, NUMBER_BITS = 16, 27
 LIMIT = 1024
 
 # Where every character is one of these, the cut below equals the file's Unicode pattern.
@@ -173,7 +176,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFr
         def listed() -> pa.RecordBatch:
             n = len(block.numbers)
             none = [pa.nulls(n, t) for t in (pa.list_(kind), *[pa.list_(pa.int64())] * 3, pa.binary())]
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, part_id << 24 | seq)), *none, pa.array(np.arange(n)), pa.array(list(block.numbers), pa.string())], columns)
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, part_id << BLOCK_BITS | seq)), *none, pa.array(np.arange(n)), pa.array(list(block.numbers), pa.string())], columns)
 
         for batch in batches:
             kind = batch.schema.field(key).type
@@ -183,7 +186,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFr
                 specials, held, pairs = count_slice(c, block, pc.fill_null(text, ""))
                 one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part_id << 24 | seq]), one(part.column(key)), one(size), one(pa.array(specials)), one(pa.array(held)), pa.array([pairs], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string())], columns
+                    [pa.array([part_id << BLOCK_BITS | seq]), one(part.column(key)), one(size), one(pa.array(specials)), one(pa.array(held)), pa.array([pairs], pa.binary()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.string())], columns
                 )
                 block.size += int(pc.sum(size).as_py() or 0)
                 if block.size >= BLOCK_BYTES:
@@ -196,13 +199,14 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFr
         """Rows sorted by pre-token: its pieces are counted where its run begins."""
         c, last, n = cutter(tokenizer), None, 0
         for batch in batches:
+            at = batch.column("at").to_numpy()
             runs = pc.dictionary_encode(batch.column("pretoken"))
             pieces = []
             for x in runs.dictionary.to_pylist():
                 n = n if x == last else c.pieces(x)
                 last = x
                 pieces.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("number"), pa.array(pieces, pa.int32()).take(runs.indices)], ["of_block", "number", "pieces"])
+            yield pa.RecordBatch.from_arrays([pa.array(at >> NUMBER_BITS), pa.array(at & ((1 << NUMBER_BITS) - 1)), pa.array(pieces, pa.int32()).take(runs.indices)], ["of_block", "number", "pieces"])
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.zeros(right.num_rows, np.int64)
@@ -226,8 +230,12 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFr
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"block long, ids array<{kind}>, n_bytes array<long>, specials array<long>, held array<long>, pairs binary, number long, pretoken string"
-    rows = land(docs.select(key, F.col("text").alias("__text")).mapInArrow(blocks, schema), "pretokens")
-    lists = rows.where("pretoken IS NOT NULL").select("pretoken", "block", "number")
+    rows = docs.select(key, F.col("text").alias("__text")).mapInArrow(blocks, schema)
+    path = staging_path(docs.sparkSession, "pretokens")
+    rows.write.option("compression", "zstd").parquet(path)
+    rows = docs.sparkSession.read.schema(rows.schema).parquet(path)
+    at = F.shiftleft("block", NUMBER_BITS).bitwiseOR(F.col("number"))
+    lists = rows.where("pretoken IS NOT NULL").select("pretoken", at.alias("at"))
     answers = lists.repartition("pretoken").sortWithinPartitions("pretoken").mapInArrow(counted, "of_block long, number long, pieces int")
     texts = rows.where("pairs IS NOT NULL").select("block", "ids", "n_bytes", "specials", "held", "pairs")
     return texts.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(summed, f"`{key}` {kind}, n_bytes long, n_tokens long")

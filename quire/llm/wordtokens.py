@@ -17,7 +17,7 @@ import pyarrow as pa
 from quire.llm.textwords import Words, mix
 
 #: Distinct words a worker remembers before it starts afresh (bounds its memory).
-CACHE_WORDS = 600_000
+CACHE_WORDS = 350_000
 _SLOTS = 1 << 20
 
 # Lower-case Latin letters for which the pattern below equals the file's Unicode pattern.
