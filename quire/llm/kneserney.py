@@ -182,13 +182,13 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
-                got = score_rows(model, part.column("text"))
+            for part in slices(batch, "__text"):
+                got = score_rows(model, part.column("__text"))
                 out = [pa.array(got["n_tokens"], pa.int64()), pa.array(got["n_known"], pa.int64()), pa.array(np.full(part.num_rows, model.n_tokens)), pa.array(got["base_score"]), pa.array(got["score"])]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *out], [*keep, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    out = docs.select(*keep, "text").mapInArrow(rows, f"{kinds}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = docs.select(*keep, F.col("text").alias("__text")).mapInArrow(rows, f"{kinds}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 

@@ -121,8 +121,8 @@ def predict(docs: DataFrame, model: Filter | None, keep: list[str]) -> DataFrame
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = model_of.value
         for batch in batches:
-            for part in slices(batch):
-                text = part.column("text")
+            for part in slices(batch, "__text"):
+                text = part.column("__text")
                 letter = pc.fill_null(pc.match_substring_regex(text, r"\pL"), False).to_numpy(zero_copy_only=False)
                 names, score = held.score(text) if held else (["und"] * part.num_rows, np.zeros(part.num_rows))
                 names = [x if ok else "und" for x, ok in zip(names, letter.tolist(), strict=True)]
@@ -130,7 +130,7 @@ def predict(docs: DataFrame, model: Filter | None, keep: list[str]) -> DataFrame
 
     model_of = docs.sparkSession.sparkContext.broadcast(model)  # bounded, see above
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, "text").mapInArrow(rows, f"{kinds}, lang_pred string, score double")
+    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(rows, f"{kinds}, lang_pred string, score double")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
