@@ -10,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Items per report row.  A source with more items gets several rows
-# (part 0, 1, ...), so no single group has to hold a whole source.
-REPORT_PART_ITEMS = 10_000
-
 
 def items_per_source(bucket_sources: DataFrame, bucket_items: DataFrame) -> DataFrame:
     """A1 + J3: source_id, source_name, n_items (0 for an empty source)."""
@@ -58,17 +54,21 @@ def report_rows(bucket_sources: DataFrame, bucket_items: DataFrame) -> DataFrame
     return full.unionByName(empty)
 
 
-def sync_report(
-    bucket_sources: DataFrame, bucket_items: DataFrame, part_items: int = REPORT_PART_ITEMS
-) -> DataFrame:
+def sync_report(bucket_sources: DataFrame, bucket_items: DataFrame, part_items: int | None = None) -> DataFrame:
     """Nested report (A2): source_id, source_name, part, items[item_id, item_name] sorted by id.
 
-    Item ids of a source are consecutive, so ``part`` cuts them into
-    bounded runs; an empty source has one row with an empty list.
+    One row for each source; an empty source has an empty list.  Where a
+    source's list may be too large for a row, ``part_items`` cuts it: parts
+    count from 0 within the source, by the distance from its first item's id
+    (a source's ids are consecutive).
     """
     rows = report_rows(bucket_sources, bucket_items)
     has_item = F.col("item_id").isNotNull()
-    part = F.when(has_item, F.floor((F.col("item_id") - 1) / part_items)).otherwise(F.lit(0)).cast("long")
+    part = F.lit(0).cast("long")
+    if part_items is not None:
+        first = bucket_items.groupBy(F.col("external_source_id").cast("long").alias("source_id")).agg(F.min("external_item_id").alias("first_id"))
+        rows = rows.join(first, "source_id", "left")
+        part = F.when(has_item, F.floor((F.col("item_id") - F.col("first_id")) / part_items)).otherwise(F.lit(0)).cast("long")
     entry = F.when(has_item, F.struct(F.col("item_id"), F.col("item_name")))
     return (
         rows.groupBy("source_id", "source_name", part.alias("part"))

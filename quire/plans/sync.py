@@ -9,6 +9,8 @@ exactly that bucket and never touches another one).
 
 from __future__ import annotations
 
+import os
+
 import uuid
 from dataclasses import dataclass
 
@@ -128,6 +130,10 @@ def sync_landed(
     ``snapshot_table`` the files are first landed there, each configured
     source replacing its own partition (K1, K2), and read back from it, so
     the many small files are read once.
+
+    A configured source without landed data fails a strict sync before any
+    table is written; otherwise it is rejected as ``snapshot_missing`` and its
+    snapshot partition stays.
     """
     from quire.operators import wiki
     from quire.sources import catalogue, landed, treescan
@@ -136,15 +142,13 @@ def sync_landed(
     if bad:
         raise ValueError(f"invalid source at position {bad[0]['pos']}: {bad[0]['reason']}")
     man = catalogue.manifest(sources)
-    parts = []
-    git_dirs = [r["source_dir"] for r in man.where(F.col("type") == "git").select("source_dir").distinct().collect()]
-    if tree_root is not None and git_dirs:  # configuration-sized list of folders
-        import os
-
-        present = [d for d in git_dirs if os.path.isdir(os.path.join(tree_root, d))]
-        if present:
-            parts.append(treescan.read_tree(spark, tree_root, sources=present).drop("modified"))
-    rejects = []
+    parts, rejects = [], []
+    dirs = {kind_: [r["source_dir"] for r in man.where(F.col("type") == kind_).select("source_dir").distinct().collect()] for kind_ in catalogue.SOURCE_TYPES}
+    git_dirs = dirs["git"]  # configuration-sized list of folders
+    present = [d for d in git_dirs if tree_root is not None and os.path.isdir(os.path.join(tree_root, d))]
+    if present:
+        parts.append(treescan.read_tree(spark, tree_root, sources=present).drop("modified"))
+    absent = [d for d in git_dirs if d not in present]
     if wiki_responses is not None:
         resp = landed.read_responses(spark, wiki_responses)
         spaces = landed.space_documents(resp)
@@ -152,6 +156,16 @@ def sync_landed(
         wfiles, wrej = wiki.wiki_files(landed.content_batches(resp), spaces, page_limit=page_limit)
         parts.append(wfiles)
         rejects.append(wrej)
+        landed_dirs = {r["source_dir"] for r in resp.select("source_dir").distinct().collect()}
+        absent += [d for d in dirs["confluence"] if d not in landed_dirs]
+    else:
+        absent += dirs["confluence"]
+    if absent:  # a source without landed data must not pass for an empty one
+        if strict:
+            raise RuntimeError(f"snapshot_missing: no landed data for {', '.join(sorted(absent))}")
+        missing = spark.createDataFrame([(d, "snapshot_missing") for d in absent], "source_dir string, reason string")
+        rejects.append(missing)
+        man = man.where(~F.col("source_dir").isin(*absent))
     files = spark.createDataFrame([], schemas.FILES)
     for p in parts:
         files = files.unionByName(p)
@@ -166,5 +180,5 @@ def sync_landed(
         spark, files, man.drop("original_source"), bucket_id, kind, sources_table, items_table, strict
     )
     for r in rejects:
-        result.rejects = result.rejects.unionByName(r)
+        result.rejects = result.rejects.unionByName(r, allowMissingColumns=True)
     return result

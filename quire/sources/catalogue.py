@@ -30,13 +30,18 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
     """Catalogue from JSON files, each holding one array of source records.
 
     The array position is the configured order; files are ordered by path.
+    A file that isn't one JSON array of records fails the read: read as no
+    sources, it would empty the bucket.
     """
     item = ", ".join(f"{f} string" for f in SOURCE_FIELDS)
-    docs = spark.read.text(path, wholetext=True).select(
-        F.input_file_name().alias("file"),
-        F.from_json("value", f"array<struct<{item}>>").alias("arr"),
-    )
-    exploded = docs.select("file", F.posexplode("arr").alias("i", "s"))
+    value = F.col("content").cast("string")
+    array = F.when(value.rlike(r"(?s)^\s*\[.*\]\s*$"), F.from_json(value, f"array<struct<{item}>>"))
+    docs = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"), array.alias("arr"))
+    if docs.count() < len(docs.inputFiles()):  # scans skip empty files; catalogues are few and small
+        raise ValueError(f"malformed source catalogue: an empty file in {path}")
+    broken = F.raise_error(F.concat(F.lit("malformed source catalogue: "), "file"))
+    records = F.when(F.col("arr").isNull() | F.exists("arr", lambda s: s.isNull()), broken).otherwise(F.col("arr"))
+    exploded = docs.select("file", F.posexplode(records).alias("i", "s"))
     from quire.operators.numbering import dense_number
 
     numbered = dense_number(exploded, ["file", "i"], "pos", start=0, small=True)

@@ -26,10 +26,13 @@ def ensure_snapshot_table(spark: SparkSession, table: str) -> None:
 def replace_snapshots(spark: SparkSession, table: str, files: DataFrame, refreshed: DataFrame) -> None:
     """Make ``table`` hold exactly ``files`` for every source folder in ``refreshed``.
 
-    ``refreshed`` has one ``source_dir`` column (configuration-sized).
+    ``refreshed`` has one ``source_dir`` column (configuration-sized); files
+    of other folders are left out, and those folders stay as they are.
     """
     ensure_snapshot_table(spark, table)
-    staged = land(files.select(*SNAPSHOT_COLUMNS), "snapshot")
+    # Dynamic overwrite replaces every folder it is given, so it is given the refreshed ones only.
+    own = files.join(refreshed.select("source_dir").distinct(), "source_dir", "left_semi")
+    staged = land(own.select(*SNAPSHOT_COLUMNS), "snapshot")
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:

@@ -18,6 +18,7 @@ one huge subfolder does not put all of its bytes into one task.
 
 from __future__ import annotations
 
+import json
 import os
 import stat
 
@@ -89,7 +90,7 @@ class _TreeReader(DataSourceReader):
     def __init__(self, options: dict):
         self.root = options["path"]
         wanted = options.get("sources")
-        self.sources = [s for s in wanted.split(",") if s] if wanted else None
+        self.sources = json.loads(wanted) if wanted else None
         self.max_splits = int(options.get("maxSplits", "64"))
         self.split_depth = max(1, int(options.get("splitDepth", "2")))
         self.target_units = int(options.get("targetUnits", str(4 * self.max_splits)))
@@ -186,7 +187,7 @@ def list_tree(
         .option("splitDepth", str(split_depth))
     )
     if sources is not None:
-        reader = reader.option("sources", ",".join(sources))
+        reader = reader.option("sources", json.dumps(sources))
     return reader.load()
 
 
