@@ -33,9 +33,7 @@ def load_sources(
     Keeps ``pos`` so items can be attached; :func:`source_table` drops it.
     """
     _check_bucket_id(bucket_id)
-    numbered = dense_number(
-        manifest.select("pos", "logical_name"), ["pos"], "sid", start=id_base + 1, small=True
-    )
+    numbered = dense_number(manifest.select("pos", "logical_name"), ["pos"], "sid", start=id_base + 1)
     created = numbered.select(
         F.lit(bucket_id).cast("int").alias("bucket_id"),
         F.col("sid").cast("int").alias("external_source_id"),
@@ -59,13 +57,16 @@ def load_items(
     backend_state=None,
     as_of: str | None = None,
     keep: tuple[str, ...] = (),
+    with_content: bool = True,
 ) -> DataFrame:
     """Create one item per processed item.
 
     Item ids are dense in (source id, filename, rel_path, content hash) order,
     after ``id_base``.  ``backend_state`` is an optional column with the state a
     backend reported; unset means every item is ``Submitted``.  ``keep``
-    names extra item columns carried to the output.
+    names extra item columns carried to the output.  ``with_content=False``
+    numbers the same items without their contents, for uses that only need
+    ids and hashes.
     """
     src = loaded_sources.select(
         "pos",
@@ -82,24 +83,19 @@ def load_items(
         state.alias("processing_state"),
         *keep,
     ).withColumn("content_hash", F.sha2("content", 256))
-    # (source, rel_path) is a key of a file tree, so normally only keys are
-    # numbered; a table input repeating a path falls back to whole rows, the
-    # content hash breaking ties (a fixed-size key: sort keys are sampled on
-    # the driver, so the text itself must not be one).
-    numbered = dense_number(
-        attached,
-        ["external_source_id", "url", "rel_path"],
-        "external_item_id",
-        start=id_base + 1,
-        unique_keys=True,
-        tiebreak=["content_hash"],
-    )
+    if not with_content:
+        attached = attached.drop("content")
+    # One range shuffle of the items; their place in it is their id.  The content
+    # hash breaks ties of a table input that repeats a path (a fixed-size key:
+    # sort keys are sampled on the driver, so the text itself must not be one).
+    order = ["external_source_id", "url", "rel_path", "content_hash"]
+    numbered = dense_number(attached, order, "external_item_id", start=id_base + 1)
     return numbered.select(
         "bucket_id",
         "external_source_id",
         "external_item_id",
         "url",
-        "content",
+        *(["content"] if with_content else []),
         "content_hash",
         "processing_state",
         F.lit(CREATED_STATE).alias("state"),

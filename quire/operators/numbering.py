@@ -1,13 +1,12 @@
 """Dense, deterministic numbering without a single-partition window.
 
 ``row_number() over (order by k)`` puts every row into one task.  Instead we
-range-partition on the (unique) order key, sort within partitions, tag each
-row with its partition and its index inside it, checkpoint that once in the
-shared checkpoint folder, and add the row count of all earlier partitions.
-The per-partition counts are as many numbers as partitions, bounded by
-configuration rather than data, so they are fetched once and inlined.  Because the order key is
-unique the ids do not depend on how the rows were partitioned, so a retried
-or re-planned job assigns the same ids.
+range-partition on the order key, sort within partitions, tag each row with
+its partition and its index inside it, land that once in the shared
+checkpoint folder, and add the row count of all earlier partitions.  There is
+one plan at every size, whether keys repeat or not.  Where the order key
+identifies a row, ids do not depend on how rows were partitioned, so a
+retried or re-planned job assigns the same ids.
 """
 
 from __future__ import annotations
@@ -15,21 +14,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.operators.sizing import BROADCAST_MAX_ROWS
+from quire.operators.sizing import bounded_broadcast
 from quire.operators.stage import land, materialize
 
 _PID = "__q_pid"
 _IDX = "__q_idx"
+_BEFORE = "__q_before"
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _ranged(df: DataFrame, order_cols: list[str], num_partitions: int | None, label: str) -> DataFrame:
+    """Rows in ``order_cols`` order, landed with their range partition and their index in it."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    index = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    tagged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumns({_PID: F.spark_partition_id(), _IDX: index})
+    return land(tagged, label)
+
 
+def _with_offsets(staged: DataFrame, value) -> DataFrame:
+    """Add the total of ``value`` over all earlier range partitions.
 
-# A table of at most this many rows may be numbered by one task.
-SMALL_TABLE_ROWS = 100_000
+    The totals are one row per partition, a number set by configuration, so
+    one window task and a broadcast are bounded.
+    """
+    totals = staged.groupBy(_PID).agg(F.sum(value).alias("__q_total"))
+    earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__q_total").over(earlier), F.lit(0)).cast("long")
+    return staged.join(F.broadcast(totals.select(_PID, before.alias(_BEFORE))), _PID)
 
 
 def dense_number(
@@ -38,107 +49,17 @@ def dense_number(
     out_col: str,
     num_partitions: int | None = None,
     start: int = 1,
-    small: bool = False,
-    unique_keys: bool = False,
-    tiebreak: list[str] | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = position of the row in ``order_cols`` order (from ``start``).
 
     ``order_cols`` should identify a row, else ties get an arbitrary (but
-    still dense) order.  ``unique_keys=True`` expects them to: then only the
-    key columns go through the numbering, after a check that falls back to
-    numbering whole rows (ordered by ``order_cols + tiebreak``) when a key
-    repeats.  Order and tie-break columns should be of bounded size: range
-    partitioning samples them onto the driver.  ``small=True`` is a hint for configuration-sized tables
-    (source catalogues): if the table indeed has at most ``SMALL_TABLE_ROWS``
-    rows it is numbered by a single window task, otherwise by the two-pass plan.
-    """
-    if unique_keys:
-        # Count the rows per key (combined map-side).  If every key is unique,
-        # number the distinct keys only (no payload column is read for the
-        # range sampling or staged) and attach the ids with one null-safe
-        # join; otherwise number the whole rows, ties broken by ``tiebreak``.
-        counted = materialize(
-            df.groupBy(*order_cols).agg(F.count(F.lit(1)).alias("__q_mult")), "keys"
-        )
-        stats = counted.agg(F.max("__q_mult").alias("m"), F.count(F.lit(1)).alias("n")).first()
-        if (stats["m"] or 0) <= 1:
-            distinct, rows = counted.drop("__q_mult"), int(stats["n"])
-            if rows <= SMALL_TABLE_ROWS:  # few keys: one window task over the landed keys
-                keys = _window_number(distinct, order_cols, out_col, start)
-            else:
-                keys, rows = _number_rows(distinct, order_cols, out_col, num_partitions, start, heavy=False)
-            # The key count is known; broadcast the ids only below the bound.
-            if rows <= BROADCAST_MAX_ROWS:
-                keys = F.broadcast(keys)
-            cond = [df[c].eqNullSafe(keys[c]) for c in order_cols]
-            return df.join(keys, cond).select(df["*"], keys[out_col])
-        order_cols = order_cols + list(tiebreak or [])
-        return _number_rows(df, order_cols, out_col, num_partitions, start, heavy=True)[0]
-    numbered = _number_small(df, order_cols, out_col, start) if small else None
-    return (numbered or _number_rows(df, order_cols, out_col, num_partitions, start, heavy=True))[0]
-
-
-def _number_small(df: DataFrame, order_cols: list[str], out_col: str, start: int):
-    """(numbered, rows) by one window task if ``df`` has at most ``SMALL_TABLE_ROWS`` rows, else None.
-
-    The input is landed once: the size check and the numbering read the
-    same rows without recomputing them.
-    """
-    staged = materialize(df, "small")
-    rows = staged.count()
-    if rows > SMALL_TABLE_ROWS:
-        return None
-    return _window_number(staged, order_cols, out_col, start), rows
-
-
-def _window_number(df: DataFrame, order_cols: list[str], out_col: str, start: int) -> DataFrame:
-    """Single-task numbering; only called on landed tables of at most ``SMALL_TABLE_ROWS`` rows."""
-    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    return df.withColumn(out_col, (F.row_number().over(w) + F.lit(start - 1)).cast("long"))
-
-
-def _number_rows(
-    df: DataFrame,
-    order_cols: list[str],
-    out_col: str,
-    num_partitions: int | None,
-    start: int,
-    heavy: bool = False,
-) -> tuple[DataFrame, int]:
-    """(numbered, rows) by the two-pass plan; rows that may carry payload
-    (``heavy``) are staged as parquet, keys as a checkpoint."""
-    n = _partitions(df, num_partitions)
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    tagged = (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(
-            _IDX,
-            F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33),
-        )
-    )
-    staged = land(tagged, "numbering") if heavy else materialize(tagged, "numbering")
-    offset, total = _partition_offsets(staged, F.lit(1), n)
-    return staged.withColumn(out_col, (offset + F.col(_IDX) + F.lit(start)).cast("long")).drop(_PID, _IDX), total
-
-
-def _partition_offsets(staged: DataFrame, value, n: int):
-    """Column: total of ``value`` over all range partitions before the row's own.
-
-    The totals are one number per partition (bounded by configuration, not
-    by data), fetched once and inlined as a literal array, so the numbered
-    table is a plain projection of the staged one.
+    still dense) order.  They should be of bounded size: range partitioning
+    samples them onto the driver.  Rows are shuffled and written once, with
+    all their columns.
     """
-    totals = dict(
-        staged.groupBy(_PID).agg(F.sum(value).alias("t")).select(_PID, "t").collect()
-    )
-    offsets, run = [], 0
-    for pid in range(n):
-        offsets.append(run)
-        run += int(totals.get(pid) or 0)
-    return F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col(_PID) + 1), run
+    numbered = _with_offsets(_ranged(df, order_cols, num_partitions, "numbering"), F.lit(1))
+    position = (F.col(_BEFORE) + F.col(_IDX) + F.lit(start)).cast("long")
+    return numbered.select(*df.columns, position.alias(out_col))
 
 
 def rank_within(
@@ -156,10 +77,8 @@ def rank_within(
     each group comes from a partial aggregation (map-side combined, so a hot
     group costs one row per map task) and is subtracted.
     """
-    numbered = dense_number(df, group_cols + order_cols, "__q_g", num_partitions, unique_keys=True)
-    firsts = numbered.groupBy(*group_cols).agg(F.min("__q_g").alias("__q_first"))
-    from quire.operators.sizing import bounded_broadcast
-
+    numbered = dense_number(df, group_cols + order_cols, "__q_g", num_partitions)
+    firsts = materialize(numbered.groupBy(*group_cols).agg(F.min("__q_g").alias("__q_first")), "firsts")
     return (
         numbered.join(bounded_broadcast(firsts), group_cols)
         .withColumn(out_col, (F.col("__q_g") - F.col("__q_first") + F.lit(start)).cast("long"))
@@ -176,33 +95,10 @@ def prefix_sum(
 ) -> DataFrame:
     """Add ``out_col`` = sum of ``value_col`` over all rows before this one in ``order_cols`` order.
 
-    Same two passes as :func:`dense_number`; the running sum inside one
-    range partition is computed by a pandas iterator over that partition,
-    which sees its rows in sorted order.
+    Same two passes as :func:`dense_number`; the running sum is a window
+    within one range partition.
     """
-    from pyspark import TaskContext
-
-    n = _partitions(df, num_partitions)
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    from pyspark.sql import types as T
-
-    schema = T.StructType(
-        list(df.schema.fields)
-        + [T.StructField(_PID, T.IntegerType()), T.StructField("__q_run", T.LongType())]
-    )
-
-    def running(batches):
-        pid = TaskContext.get().partitionId()
-        carried = 0
-        for pdf in batches:
-            vals = pdf[value_col].fillna(0).astype("int64")
-            csum = vals.cumsum()
-            pdf[_PID] = pid
-            pdf["__q_run"] = carried + csum - vals
-            carried += int(vals.sum())
-            yield pdf
-
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    staged = materialize(ranged.mapInPandas(running, schema), "prefix")
-    offset, _ = _partition_offsets(staged, F.col(value_col), n)
-    return staged.withColumn(out_col, (offset + F.col("__q_run")).cast("long")).drop(_PID, "__q_run")
+    numbered = _with_offsets(_ranged(df, order_cols, num_partitions, "prefix"), F.col(value_col))
+    earlier = Window.partitionBy(_PID).orderBy(_IDX).rowsBetween(Window.unboundedPreceding, -1)
+    run = F.coalesce(F.sum(value_col).over(earlier), F.lit(0))
+    return numbered.select(*df.columns, (F.coalesce(F.col(_BEFORE), F.lit(0)) + run).cast("long").alias(out_col))

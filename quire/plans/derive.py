@@ -113,7 +113,7 @@ def numbered_catalogue(cat: DataFrame) -> DataFrame:
     cat = cat.withColumn(
         "source_dir", source_dir("type", "repo_url", "reference", "base_url", "space_key")
     ).withColumn("logical_name", logical_name("type", "repo_url", "base_url", "space_key"))
-    numbered = dense_number(cat, ["source_dir"], "pos", small=True).withColumn("pos", F.col("pos").cast("int"))
+    numbered = dense_number(cat, ["source_dir"], "pos").withColumn("pos", F.col("pos").cast("int"))
     return materialize(numbered, "catalogue")
 
 

@@ -22,6 +22,7 @@ from quire.functions.naming import READMETOPDF_KINDS, FLATTEN_KINDS
 from quire.functions.text import html_to_markdown, lossy_utf8
 from quire.operators import audit, bucket, process, report, wiki
 from quire.plans import derive
+from quire.operators.sizing import bounded_broadcast
 from quire.operators.stage import land
 from quire.plans.derive import table
 
@@ -186,17 +187,15 @@ def q_bucket_items_load(spark, sf) -> DataFrame:
     return bucket.load_items(items, srcs)
 
 
-def _labelled_load(spark, sf, backend_state_from_labels=False):
+def _labelled_load(spark, sf, backend_state_from_labels=False, with_content=False):
     """Documents loaded into bucket 7, items carrying ``doc_id`` and the document's labels."""
-    from quire.operators.sizing import bounded_broadcast
-
     _, files, manifest = _doc_inputs(spark, sf, with_doc_id=True)
     labels = bounded_broadcast(table(spark, sf, "labels").select("doc_id", "quality", "toxic"))
     items, _ = process.flatten_files(files, manifest, keep=("doc_id",))
     items = items.join(labels, "doc_id", "left")
     srcs = bucket.load_sources(manifest, BUCKET_ID)
     state = F.when(F.col("toxic") == 1, F.lit("Failed")) if backend_state_from_labels else None
-    loaded = bucket.load_items(items, srcs, backend_state=state, keep=("doc_id", "quality", "toxic"))
+    loaded = bucket.load_items(items, srcs, backend_state=state, keep=("doc_id", "quality", "toxic"), with_content=with_content)
     # The loaded bucket, as the store would hold it: later steps read it, not its lineage.
     return manifest, srcs, land(loaded, "bucket")
 
@@ -253,7 +252,7 @@ def q_refresh_replace(spark, sf) -> DataFrame:
     docs, files, manifest = _doc_inputs(spark, sf)
     flat, _ = process.flatten_files(files, manifest)
     s7 = bucket.load_sources(manifest, BUCKET_ID)
-    i7 = land(bucket.load_items(flat, s7), "bucket")
+    i7 = land(bucket.load_items(flat, s7, with_content=False), "bucket")
     n_src = s7.count()
     n_items = i7.count()
     # Bucket 8 holds the same items, created after bucket 7's: same order, ids shifted.
@@ -264,19 +263,21 @@ def q_refresh_replace(spark, sf) -> DataFrame:
     # Refresh bucket 7 with the README processor; new ids follow the largest in the table.
     readme, _ = process.readme_files(files, manifest)
     s7n = bucket.load_sources(manifest, BUCKET_ID, id_base=2 * n_src)
-    i7n = bucket.load_items(readme.drop("source_text"), s7n, id_base=2 * n_items)
+    i7n = bucket.load_items(readme.drop("source_text"), s7n, id_base=2 * n_items, with_content=False)
     new = bucket.replace_bucket(old, i7n, BUCKET_ID)
     return new.select("bucket_id", "external_source_id", "external_item_id", "url", "content_hash")
 
 
 def q_items_per_source(spark, sf) -> DataFrame:
     _, items, srcs = _doc_load(spark, sf)
-    return report.items_per_source(bucket.source_table(srcs), bucket.load_items(items, srcs))
+    # Counting needs no item ids.
+    of_source = items.select("pos").join(bounded_broadcast(srcs.select("pos", "external_source_id")), "pos")
+    return report.items_per_source(bucket.source_table(srcs), of_source)
 
 
 def q_sync_report(spark, sf) -> DataFrame:
     _, items, srcs = _doc_load(spark, sf)
-    loaded = land(bucket.load_items(items, srcs), "bucket")
+    loaded = land(bucket.load_items(items, srcs, with_content=False), "bucket")
     return report.report_rows(bucket.source_table(srcs), loaded)
 
 
@@ -315,7 +316,7 @@ def q_snapshot_replace(spark, sf) -> DataFrame:
 
 def q_dedup_exact(spark, sf) -> DataFrame:
     _, items, srcs = _doc_load(spark, sf)
-    loaded = bucket.load_items(items, srcs)
+    loaded = bucket.load_items(items, srcs, with_content=False)
     return audit.dedup_exact(loaded).select("content_hash", "external_source_id", "external_item_id")
 
 
@@ -328,7 +329,7 @@ def q_snapshot_diff(spark, sf) -> DataFrame:
 
 
 def q_checksum_audit(spark, sf) -> DataFrame:
-    _, _, loaded = _labelled_load(spark, sf)
+    _, _, loaded = _labelled_load(spark, sf, with_content=True)
     # The stored copy of low-quality documents was altered after the load.
     altered = F.coalesce(F.col("quality") == 0, F.lit(False))
     stored = loaded.withColumn("content", F.when(altered, F.concat("content", F.lit(" "))).otherwise(F.col("content")))

@@ -105,7 +105,7 @@ def sync_report_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = derive.manifest_of(derive.doc_catalogue(docs))
     items, _ = process.flatten_files(derive.doc_files(docs), manifest)
     srcs = bucket.load_sources(manifest, 7)
-    loaded = bucket.load_items(items, srcs)
+    loaded = bucket.load_items(items, srcs, with_content=False)
     return report.sync_report(bucket.source_table(srcs), loaded).orderBy("source_id", "part")
 
 

@@ -44,7 +44,7 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
     exploded = docs.select("file", F.posexplode(records).alias("i", "s"))
     from quire.operators.numbering import dense_number
 
-    numbered = dense_number(exploded, ["file", "i"], "pos", start=0, small=True)
+    numbered = dense_number(exploded, ["file", "i"], "pos", start=0)
     return numbered.select(F.col("pos").cast("int").alias("pos"), *[F.col(f"s.{f}").alias(f) for f in SOURCE_FIELDS])
 
 

@@ -40,10 +40,10 @@ def test_prefix_sum(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_unique_keys_falls_back_on_repeated_keys(spark):
+def test_repeated_keys_stay_dense(spark):
     rows = [("a", 1, "z"), ("a", 1, "y"), ("a", 2, "x"), ("b", 0, "w")]
     df = spark.createDataFrame(rows, "g string, k int, payload string")
-    got = dense_number(df, ["g", "k"], "id", unique_keys=True, tiebreak=["payload"])
+    got = dense_number(df, ["g", "k", "payload"], "id")
     assert sorted((r["payload"], r["id"]) for r in got.collect()) == [("w", 4), ("x", 3), ("y", 1), ("z", 2)]
-    uniq = dense_number(df.where("payload <> 'z'"), ["g", "k"], "id", unique_keys=True)
+    uniq = dense_number(df.where("payload <> 'z'"), ["g", "k"], "id")
     assert sorted((r["payload"], r["id"]) for r in uniq.collect()) == [("w", 3), ("x", 2), ("y", 1)]
