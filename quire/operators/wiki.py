@@ -8,7 +8,8 @@ is ever processed by a single task:
 * paging stop (F5) is a per-source minimum over batch rows, plus one
   anti-join that finds the first missing batch;
 * page cap (F6) is a filter on the page's ordinal in its source;
-* last write wins (W1) is a map-side combined ``max_by`` per (source, stem).
+* last write wins (W1) is a map-side combined ``max`` per (source, stem), and
+  an anti-join that leaves out the overwritten pages.
 """
 
 from __future__ import annotations
@@ -22,14 +23,12 @@ from quire.functions.naming import page_hierarchy, page_stem
 from quire.functions.text import html_to_markdown
 from quire.operators.numbering import prefix_sum
 from quire.operators.sizing import bounded_broadcast
-from quire.operators.stage import materialize
+from quire.operators.stage import land, materialize
 
 # Batch size of the paged listing, page file suffix, space document name.
 API_BATCH_SIZE = 100
 PAGE_SUFFIX = ".md"
 SPACE_DOCUMENT = "space.json"
-# Longest file name a typical file system accepts; longer page names are rejected.
-MAX_FILE_NAME_BYTES = 255
 
 
 def parse_page_limit(value: str | None) -> int | None:
@@ -49,17 +48,7 @@ def _batch_view(batches: DataFrame, batch_size: int) -> DataFrame:
         F.size(F.coalesce(F.col("results"), F.array())).alias("n"),
         (~(ok_status & F.coalesce(F.col("parsed"), F.lit(False)))).alias("failed"),
         "results",
-    ).where((F.col("start") >= 0) & (F.col("start") % batch_size == 0))
-
-
-def batch_keys(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
-    """One small row per batch: (source_dir, k, start, n, failed), materialised.
-
-    Every decision of the paging rules is taken on this table; the page
-    contents are read again only to emit the kept pages.
-    """
-    keys = _batch_view(batches, batch_size).select("source_dir", "k", "start", "n", "failed")
-    return materialize(keys, "batch-keys")
+    )
 
 
 def stop_points(keys: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
@@ -83,33 +72,53 @@ def _keep():
 
 
 class _Paging:
-    """Keys, stop points and the oversize flag of one batch table, computed once."""
+    """One batch table, landed, with its small key table and stop points.
+
+    Every decision of the paging rules is taken on the keys; the page
+    contents are read again only to emit the kept pages.  A response landed
+    more than once (a retry) counts once: the first that did not fail, else
+    the first.
+    """
 
-    def __init__(self, batches: DataFrame, batch_size: int):
-        self.batches = batches
+    def __init__(self, batches: DataFrame, batch_size: int, page_limit: int | None = None):
         self.batch_size = batch_size
-        self.keys = batch_keys(batches, batch_size)
+        self.page_limit = page_limit
+        view = _batch_view(batches, batch_size).withColumn("_row", F.monotonically_increasing_id())
+        self.batches = land(view, "responses")
+        aligned = (F.col("start") >= 0) & (F.col("start") % batch_size == 0)
+        self.strays = self.batches.where(~aligned).select("source_dir", "start")
+        every = self.batches.where(aligned).select("source_dir", "k", "start", "n", "failed", "_row")
+        chosen = F.min_by(F.struct("start", "n", "failed", "_row"), F.struct("failed", "_row"))
+        self.keys = materialize(
+            every.groupBy("source_dir", "k").agg(chosen.alias("b"), F.count(F.lit(1)).alias("copies")).select("source_dir", "k", "b.*", "copies"),
+            "batch-keys",
+        )
+        repeated = self.keys.where("copies > 1").select("source_dir", "k", F.col("_row").alias("_chosen"))
+        losers = every.join(bounded_broadcast(repeated), ["source_dir", "k"]).where("_row <> _chosen").select("_row")
+        self.losers = bounded_broadcast(materialize(losers, "retries"))
         self.stops = bounded_broadcast(materialize(stop_points(self.keys, batch_size), "stops"))
         self.oversized = self.keys.where(F.col("n") > batch_size).limit(1).count() > 0
 
     def kept(self) -> DataFrame:
-        b = _batch_view(self.batches, self.batch_size)
+        b = self.batches.where((F.col("start") >= 0) & (F.col("start") % self.batch_size == 0))
+        if self.page_limit is not None:  # a batch's pages never come before its start
+            b = b.where(F.col("start") < F.lit(self.page_limit))
+        b = b.join(self.losers, "_row", "left_anti").drop("_row")
         return b.join(self.stops, "source_dir").where(_keep()).drop("stop_k")
 
-    def failed(self) -> DataFrame:
-        return (
-            self.keys.join(self.stops, "source_dir")
-            .where((F.col("k") == F.col("stop_k")) & F.col("failed"))
-            .select(
-                "source_dir",
-                F.lit(None).cast("string").alias("rel_path"),
-                F.lit("page_batch_failed").alias("reason"),
-                F.concat(F.lit("start="), F.col("start").cast("string")).alias("detail"),
-            )
-        )
+    def rejects(self) -> DataFrame:
+        """Responses that gave no pages: the failed one that ended paging before the cap, and misplaced ones."""
+        at = F.concat(F.lit("start="), F.col("start").cast("string")).alias("detail")
+        row = lambda reason: ("source_dir", F.lit(None).cast("string").alias("rel_path"), F.lit(reason).alias("reason"), at)
+        staged = self.keys.join(self.stops, "source_dir")
+        ended = staged.where((F.col("k") == F.col("stop_k")) & F.col("failed"))
+        if self.page_limit is not None:
+            listed = staged.where(F.col("k") < F.col("stop_k")).groupBy("source_dir").agg(F.sum("n").alias("listed"))
+            ended = ended.join(listed, "source_dir", "left").where(F.coalesce("listed", F.lit(0)) < F.lit(self.page_limit))
+        return ended.select(*row("page_batch_failed")).unionByName(self.strays.select(*row("page_batch_misplaced")))
 
     def pages(self) -> DataFrame:
-        return pages_of(self.kept(), self.batch_size, self.oversized)
+        return cap_pages(pages_of(self.kept(), self.batch_size, self.oversized), self.page_limit)
 
 
 def kept_batches(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
@@ -117,14 +126,14 @@ def kept_batches(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFr
     return _Paging(batches, batch_size).kept()
 
 
-def failed_batches(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
-    """The failed batch that ended paging of a source, as reject rows."""
-    return _Paging(batches, batch_size).failed()
+def rejected_batches(batches: DataFrame, batch_size: int = API_BATCH_SIZE, page_limit: int | None = None) -> DataFrame:
+    """Reject rows of the responses that gave no pages."""
+    return _Paging(batches, batch_size, page_limit).rejects()
 
 
-def listed_pages(batches: DataFrame, batch_size: int = API_BATCH_SIZE) -> DataFrame:
-    """Pages of the kept batches with their ordinals (S5 + F5)."""
-    return _Paging(batches, batch_size).pages()
+def listed_pages(batches: DataFrame, batch_size: int = API_BATCH_SIZE, page_limit: int | None = None) -> DataFrame:
+    """Pages of the kept batches with their ordinals (S5 + F5), up to the cap."""
+    return _Paging(batches, batch_size, page_limit).pages()
 
 
 def pages_of(kept: DataFrame, batch_size: int = API_BATCH_SIZE, oversized: bool | None = None) -> DataFrame:
@@ -187,25 +196,14 @@ def page_files(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def last_write_wins(files: DataFrame, key: str = "rel_path", order: str = "ordinal") -> DataFrame:
     """Keep, per (source_dir, key), the row latest in listing order.
 
-    ``max_by`` is combined map-side, so a hot name sends one row per map
-    task through the shuffle instead of all its rows.
+    (source_dir, ``order``) identifies a row.  Only names are aggregated; the
+    rows they overwrite are then left out, so contents are not shuffled.
     """
-    others = [c for c in files.columns if c not in ("source_dir", key)]
-    winner = F.max_by(F.struct(*others), F.col(order)).alias("w")
-    return files.groupBy("source_dir", key).agg(winner).select("source_dir", key, "w.*")
-
-
-def writable(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split page files into those a file system accepts and reject rows (K2)."""
-    bad = (F.octet_length("rel_path") > MAX_FILE_NAME_BYTES) | F.col("rel_path").contains("\u0000")
-    ok = files.where(~bad)
-    rejects = files.where(bad).select(
-        "source_dir",
-        "rel_path",
-        F.lit("file_name_rejected").alias("reason"),
-        F.concat(F.lit("bytes="), F.octet_length("rel_path").cast("string")).alias("detail"),
-    )
-    return ok, rejects
+    names = files.select("source_dir", key, order)
+    last = names.groupBy("source_dir", key).agg(F.max(order).alias("_last"), F.count(F.lit(1)).alias("_n"))
+    repeated = bounded_broadcast(materialize(last.where("_n > 1").drop("_n"), "repeated-names"))
+    over = names.join(repeated, ["source_dir", key]).where(F.col(order) < F.col("_last")).select("source_dir", order)
+    return files.join(bounded_broadcast(materialize(over, "overwritten")), ["source_dir", order], "left_anti").select(files.columns)
 
 
 def wiki_files(
@@ -216,14 +214,13 @@ def wiki_files(
 ) -> tuple[DataFrame, DataFrame]:
     """Landed wiki exports to ``files`` rows and rejects: stop, cap, name, overwrite.
 
+    Names keep any length: a table, unlike a file system, has no limit on them.
     ``spaces`` holds one ``(source_dir, body)`` row per space document; it
     becomes the item ``space.json`` of that source (U2).
     """
-    paging = _Paging(batches, batch_size)
-    pages = cap_pages(paging.pages(), page_limit)
-    named = last_write_wins(page_files(pages))
-    ok, bad_names = writable(named)
-    files = ok.select(
+    paging = _Paging(batches, batch_size, page_limit)
+    named = last_write_wins(page_files(paging.pages()))
+    files = named.select(
         "source_dir",
         "rel_path",
         F.octet_length("markdown").cast("long").alias("length"),
@@ -238,5 +235,4 @@ def wiki_files(
                 F.col("body").cast("binary").alias("content"),
             )
         )
-    rejects = bad_names.unionByName(paging.failed())
-    return files, rejects
+    return files, paging.rejects()

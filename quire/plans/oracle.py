@@ -165,7 +165,7 @@ wiki_files AS (
   SELECT source_dir, rel_path, CAST(strlen(markdown) AS BIGINT) AS length, markdown AS content,
          CAST(NULL AS BIGINT) AS doc_id
   FROM (SELECT *, row_number() OVER (PARTITION BY source_dir, rel_path ORDER BY ordinal DESC) AS rn FROM wiki_named)
-  WHERE rn = 1 AND strlen(rel_path) <= 255 AND NOT contains(rel_path, chr(0))
+  WHERE rn = 1
   UNION ALL
   SELECT source_dir, 'space.json', CAST(strlen(body) AS BIGINT), body, NULL FROM spaces
 )"""

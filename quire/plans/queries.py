@@ -132,9 +132,9 @@ def q_page_stems(spark, sf) -> DataFrame:
     return p.select("page_id", "source_dir", stem.alias("stem"), F.concat(stem, F.lit(".md")).alias("filename"))
 
 
-def _kept_pages(spark, sf, batch=WIKI_BATCH):
+def _kept_pages(spark, sf, batch=WIKI_BATCH, page_limit=None):
     batches = derive.page_batches(table(spark, sf, "pages"), batch)
-    return wiki.listed_pages(batches, batch)
+    return wiki.listed_pages(batches, batch, page_limit)
 
 
 def q_paging_stop(spark, sf) -> DataFrame:
@@ -143,7 +143,7 @@ def q_paging_stop(spark, sf) -> DataFrame:
 
 
 def q_page_cap(spark, sf) -> DataFrame:
-    pages = wiki.cap_pages(_kept_pages(spark, sf), PAGE_CAP)
+    pages = _kept_pages(spark, sf, page_limit=PAGE_CAP)
     return pages.select("source_dir", _long("start").alias("start"), _long("pos").alias("pos"), F.col("id").alias("page_id"))
 
 

@@ -17,6 +17,8 @@ from quire import schemas
 
 # Fixed value: the space document text when the response body could not be decoded.
 UNDECODABLE_BODY = "<Failed to decode response body>"
+# Fixed value: texts below this size always fit a variant.
+VARIANT_BYTES = 16 * 1024 * 1024
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
@@ -41,12 +43,16 @@ def _page(r: Column) -> Column:
 def content_batches(responses: DataFrame) -> DataFrame:
     """Listing responses -> ``schemas.CONTENT_BATCHES``.
 
-    ``parsed`` is false when the body is not JSON; ``results`` missing or not
+    ``parsed`` is false when the body is not JSON (a listing past the size
+    of a variant is judged by its typed reading); ``results`` missing or not
     an array gives an empty batch (not a failed one).
     """
     listing = responses.where(F.col("start").isNotNull())
-    parsed = F.try_parse_json(F.col("body")).isNotNull()
-    results = F.from_json(F.col("body"), "struct<results: array<variant>>")["results"]
+    strict = {"columnNameOfCorruptRecord": "_bad", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    typed = F.from_json(F.col("body"), "struct<results: array<variant>, _bad: string>", strict)
+    results = typed["results"]
+    long = F.octet_length("body") >= VARIANT_BYTES
+    parsed = F.try_parse_json(F.col("body")).isNotNull() | F.coalesce(long & typed["_bad"].isNull(), F.lit(False))
     return listing.select(
         "source_dir",
         "start",

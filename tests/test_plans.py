@@ -33,9 +33,9 @@ def test_paging_stop_has_no_window_per_source(spark):
     assert "Window" not in p.split("FileScan")[0] or "source_dir" not in p.split("Window")[1].split("\n")[0]
 
 
-def test_last_write_wins_combines_map_side(spark):
+def test_last_write_wins_shuffles_no_contents(spark):
     p = plan(Q.q_last_write_wins(spark, SF_SMALL))
-    assert "partial_max_by" in p
+    assert "SortAggregate" not in p and "Exchange hashpartitioning" not in p.split("Union")[1].split("HashAggregate")[0]
 
 
 def test_scan_prunes_columns(spark):

@@ -37,7 +37,7 @@ def test_stop_before_failed_batch(spark):
     assert titles == ["p0", "p1", "p2", "p3"]
     titles, _ = kept_titles(spark, [(0, 4, 200, True), (4, 4, 200, False)], 4)
     assert titles == ["p0", "p1", "p2", "p3"]
-    rej = wiki.failed_batches(batches_df(spark, specs), 4).collect()
+    rej = wiki.rejected_batches(batches_df(spark, specs), 4).collect()
     assert [(r["reason"], r["detail"]) for r in rej] == [("page_batch_failed", "start=4")]
 
 
@@ -84,11 +84,38 @@ def test_last_write_wins_and_names(spark):
     assert rejects.count() == 0
 
 
-def test_long_page_name_rejected(spark):
+def test_long_page_name_keeps_its_body(spark):
     rows = [("s", 0, 200, True, [page("x" * 300), page("ok")])]
     files, rejects = wiki.wiki_files(spark.createDataFrame(rows, schemas.CONTENT_BATCHES), batch_size=100)
-    assert [r["rel_path"] for r in files.collect()] == ["ok.md"]
-    assert [r["reason"] for r in rejects.collect()] == ["file_name_rejected"]
+    assert sorted((r["rel_path"], bytes(r["content"])) for r in files.collect()) == [("ok.md", b"\n\nx\n"), ("x" * 300 + ".md", b"\n\nx\n")]
+    assert rejects.count() == 0
+
+
+def test_misplaced_batch_is_rejected_not_dropped(spark):
+    rej = wiki.rejected_batches(batches_df(spark, [(0, 2, 200, True), (3, 2, 200, True), (-2, 1, 200, True)]), 2).collect()
+    assert sorted((r["reason"], r["detail"]) for r in rej) == [("page_batch_misplaced", "start=-2"), ("page_batch_misplaced", "start=3")]
+
+
+def test_retried_response_counts_once(spark):
+    specs = [(0, 2, 200, True), (2, 2, 503, True), (2, 2, 200, True), (2, 2, 200, True), (4, 1, 200, True)]
+    titles, pages = kept_titles(spark, specs, 2)
+    assert titles == ["p0", "p1", "p2", "p3", "p4"]
+    assert sorted(r["ordinal"] for r in pages.collect()) == [0, 1, 2, 3, 4]
+    assert wiki.rejected_batches(batches_df(spark, specs), 2).count() == 0
+
+
+@pytest.mark.parametrize("limit,n", [(2, 0), (3, 1), (None, 1)])
+def test_failure_past_the_cap_is_no_reject(spark, limit, n):
+    specs = [(0, 2, 200, True), (2, 2, 500, True)]
+    assert wiki.rejected_batches(batches_df(spark, specs), 2, limit).count() == n
+
+
+def test_listing_past_the_variant_size(spark):
+    body = F.concat(F.lit('{"results":[{"title":"big","body":{"storage":{"value":"'), F.repeat(F.lit("x"), 2**20), F.lit('"}}}'),
+                    F.repeat(F.concat(F.lit(',{"title":"p","pad":"'), F.repeat(F.lit("y"), 2**20), F.lit('"}')), 135), F.lit("]}"))
+    row = spark.range(1).select(F.lit("s").alias("source_dir"), F.lit(0).alias("start"), F.lit(200).alias("status"), body.alias("body"))
+    got = landed.content_batches(row).select("parsed", F.size("results").alias("n")).first()
+    assert (got["parsed"], got["n"]) == (True, 136)
 
 
 def test_landed_json_strict_titles(spark, tmp_path):
