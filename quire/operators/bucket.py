@@ -30,10 +30,12 @@ def load_sources(
 ) -> DataFrame:
     """Create one source per manifest row (K3); ids follow ``pos`` and start after ``id_base``.
 
-    Keeps ``pos`` so items can be attached; :func:`source_table` drops it.
+    Keeps ``pos`` so items can be attached, and the folder, if the manifest has
+    it; :func:`source_table` drops both.
     """
     _check_bucket_id(bucket_id)
-    numbered = dense_number(manifest.select("pos", "logical_name"), ["pos"], "sid", start=id_base + 1)
+    named = manifest.select("pos", "logical_name", *(c for c in ("source_dir",) if c in manifest.columns))
+    numbered = dense_number(named, ["pos"], "sid", start=id_base + 1)
     created = numbered.select(
         F.lit(bucket_id).cast("int").alias("bucket_id"),
         F.col("sid").cast("int").alias("external_source_id"),
@@ -41,13 +43,18 @@ def load_sources(
         F.lit(updated_by).cast("int").alias("updated_by"),
         F.lit(as_of).cast("string").alias("updated_datetime"),
         "pos",
+        *(c for c in ("source_dir",) if c in manifest.columns),
     )
     # Configuration-sized; landed once so ids and size checks never recompute it.
     return materialize(created, "sources")
 
 
 def source_table(loaded_sources: DataFrame) -> DataFrame:
-    return loaded_sources.drop("pos")
+    return loaded_sources.drop("pos", "source_dir")
+
+
+def folder_table(loaded_sources: DataFrame) -> DataFrame:
+    return loaded_sources.select("bucket_id", "external_source_id", "source_dir")
 
 
 def load_items(

@@ -31,24 +31,33 @@ class SyncResult:
     n_items: int
 
 
+def folders_table(sources_table: str) -> str:
+    """The table beside ``sources_table`` that holds each source's folder."""
+    return f"{sources_table}_folders"
+
+
 def ensure_bucket_tables(spark: SparkSession, sources_table: str, items_table: str) -> None:
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {sources_table} ({schemas.BUCKET_SOURCES}) USING parquet PARTITIONED BY (bucket_id)"
     )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {folders_table(sources_table)} ({schemas.BUCKET_FOLDERS}) USING parquet PARTITIONED BY (bucket_id)"
+    )
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {items_table} ({schemas.BUCKET_ITEMS}) USING parquet PARTITIONED BY (bucket_id)"
     )
 
 
-def _overwrite_bucket(spark: SparkSession, table: str, df: DataFrame, bucket_id: int, label: str) -> None:
-    """Replace one bucket partition with ``df`` (static overwrite, staged first).
+def _overwrite_bucket(spark: SparkSession, table: str, df: DataFrame, bucket_id: int, label: str | None = None) -> None:
+    """Replace one bucket partition with ``df`` (static overwrite).
 
-    Staging breaks the read-and-overwrite cycle when ``df`` was derived from
-    ``table`` itself, and keeps ids fixed if a task is retried.
+    With ``label`` the rows are staged first, which breaks the
+    read-and-overwrite cycle when ``df`` was derived from ``table`` itself.
     """
     cols = [c for c in spark.table(table).columns if c != "bucket_id"]
     view = f"quire_stage_{uuid.uuid4().hex}"
-    land(df.select(*cols), label).createOrReplaceTempView(view)
+    rows = df.select(*cols)
+    (land(rows, label) if label else rows).createOrReplaceTempView(view)
     spark.sql(
         f"INSERT OVERWRITE TABLE {table} PARTITION (bucket_id = {int(bucket_id)}) "
         f"SELECT {', '.join(cols)} FROM {view}"
@@ -86,12 +95,11 @@ def synchronise(
     item_base = _next_id(spark, items_table, "external_item_id")
     loaded_sources = bucket.load_sources(manifest, bucket_id, id_base=src_base)
     loaded_items = bucket.load_items(items, loaded_sources, id_base=item_base, backend_state=backend_state)
-    # Stage the new content once, so the gate, the write and the report all see the same ids.
-    new_items = land(loaded_items, "items")
-    new_sources = bucket.source_table(loaded_sources)
-    bucket.check_gate(new_items)
-    _overwrite_bucket(spark, sources_table, new_sources, bucket_id, "sources")
-    _overwrite_bucket(spark, items_table, new_items, bucket_id, "items")
+    # Numbering landed the items, so the gate and the write see the same ids.
+    bucket.check_gate(loaded_items)
+    _overwrite_bucket(spark, folders_table(sources_table), bucket.folder_table(loaded_sources), bucket_id)
+    _overwrite_bucket(spark, sources_table, bucket.source_table(loaded_sources), bucket_id)
+    _overwrite_bucket(spark, items_table, loaded_items, bucket_id)
     srcs = bucket.list_sources(spark.table(sources_table), bucket_id)
     its = spark.table(items_table).where(F.col("bucket_id") == bucket_id)
     # Report rows follow the configured order (source ids follow ``pos``).

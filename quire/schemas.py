@@ -26,6 +26,9 @@ BUCKET_SOURCES = (
     "updated_by int, updated_datetime string"
 )
 
+# The folder each created source was read from; display names don't tell references apart.
+BUCKET_FOLDERS = "bucket_id int, external_source_id int, source_dir string"
+
 BUCKET_ITEMS = (
     "bucket_id bigint, external_source_id bigint, external_item_id bigint, url string, "
     "content string, content_hash string, processing_state string, state string, "

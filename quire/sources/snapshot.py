@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire import schemas
-from quire.operators.stage import land
+from quire.session import staging_path
 
 SNAPSHOT_COLUMNS = ("rel_path", "length", "content", "source_dir")
 
@@ -31,14 +31,16 @@ def replace_snapshots(spark: SparkSession, table: str, files: DataFrame, refresh
     """
     ensure_snapshot_table(spark, table)
     # Dynamic overwrite replaces every folder it is given, so it is given the refreshed ones only.
-    own = files.join(refreshed.select("source_dir").distinct(), "source_dir", "left_semi")
-    staged = land(own.select(*SNAPSHOT_COLUMNS), "snapshot")
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    own = files.select(*SNAPSHOT_COLUMNS).join(refreshed.select("source_dir").distinct(), "source_dir", "left_semi")
+    path = staging_path(spark, "snapshot")
+    own.select(*SNAPSHOT_COLUMNS).write.parquet(path)
+    # A session of its own for this write: the overwrite mode of the caller's is shared with other threads.
+    writer = spark.newSession()
+    writer.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    writer.read.schema(own.select(*SNAPSHOT_COLUMNS).schema).parquet(path).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+    staged = spark.read.schema(own.select(*SNAPSHOT_COLUMNS).schema).parquet(path)
     emptied = refreshed.select("source_dir").distinct().join(
         staged.select("source_dir").distinct(), "source_dir", "left_anti"
     )

@@ -1,13 +1,21 @@
 """Incremental sync: each micro-batch of landed snapshot files refreshes its sources.
 
 The reference only knows a full refresh of the whole bucket; its notes name
-incremental updates as the next step.  Here a landing folder receives
-parquet ``files`` rows (``schemas.FILES``), each commit holding complete
-snapshots of one or more source folders.  For every micro-batch the sources
-present in it are replaced in the bucket: their old items are dropped and
-their new items loaded (same processors, same gate), other sources keep
-their items.  State lives in the bucket tables and the stream checkpoint, so
-a restarted query resumes after the last committed micro-batch.
+incremental updates as the next step.  Here a landing folder receives commits,
+folders of parquet ``files`` rows (``schemas.FILES``) whose names ascend, each
+holding complete snapshots of one or more source folders.  For every
+micro-batch the sources present in it are replaced in the bucket: their old
+items are dropped and their new items loaded (same processors, same gate),
+other sources keep their items.
+
+A micro-batch may see only some files of a commit, so it only tells which
+commits have news; their folders are read whole, and the last micro-batch of a
+commit leaves the bucket with all of it.  Sources are matched by folder: two
+references of one repository share their display name.  Items are written
+before sources, and items of sources that aren't in the source table are
+dropped, so a replay after a crash between the writes ends in the same state.
+Buckets must have been filled by this module or ``plans.sync``, which record
+each source's folder.
 
 Cost note: the bucket's partition is rewritten per micro-batch (staged,
 then a static partition overwrite), i.e. a micro-batch costs what one full
@@ -23,8 +31,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire import schemas
 from quire.operators import bucket, process
-from quire.operators.stage import land, materialize
-from quire.plans.sync import _next_id, _overwrite_bucket, ensure_bucket_tables
+from quire.operators.sizing import bounded_broadcast
+from quire.operators.stage import materialize
+from quire.plans.sync import _next_id, _overwrite_bucket, ensure_bucket_tables, folders_table
+
+# The folder of a file path.
+_FOLDER = r"^(.*)/[^/]*$"
 
 
 def refresh_sources(
@@ -47,23 +59,38 @@ def refresh_sources(
     items, _ = process.process(files, man, kind)
     src_base = _next_id(spark, sources_table, "external_source_id")
     item_base = _next_id(spark, items_table, "external_item_id")
-    new_sources = materialize(bucket.load_sources(man, bucket_id, id_base=src_base), "stream-sources")
-    new_items = land(bucket.load_items(items, new_sources, id_base=item_base), "stream-items")
+    new_sources = bucket.load_sources(man, bucket_id, id_base=src_base)
+    new_items = bucket.load_items(items, new_sources, id_base=item_base)
     bucket.check_gate(new_items)
-    names = new_sources.select("external_source_name").distinct()
-    old_sources = spark.table(sources_table).where(F.col("bucket_id") == bucket_id)
-    # Fixed before the first write: the lazy plan would otherwise re-read the rewritten table.
-    replaced = materialize(
-        old_sources.join(names, "external_source_name", "left_semi").select("external_source_id"),
-        "stream-replaced",
-    )
-    kept_sources, kept_items = bucket.delete_sources(
-        old_sources, spark.table(items_table).where(F.col("bucket_id") == bucket_id), replaced
-    )
-    _overwrite_bucket(
-        spark, sources_table, kept_sources.unionByName(bucket.source_table(new_sources)), bucket_id, "s-sources"
-    )
+    own = lambda table: spark.table(table).where(F.col("bucket_id") == bucket_id)
+    folders = own(folders_table(sources_table))
+    # Fixed before the first write: the lazy plan would otherwise re-read the rewritten tables.
+    replaced = materialize(folders.join(present, "source_dir", "left_semi").select("external_source_id"), "stream-replaced")
+    kept_sources = materialize(own(sources_table).join(replaced, "external_source_id", "left_anti"), "stream-kept")
+    kept_ids = kept_sources.select("external_source_id")
+    # Folders of the replaced sources stay until the next refresh: while the source table still has them, a replay must find them.
+    known_folders = materialize(folders.join(own(sources_table), "external_source_id", "left_semi"), "stream-folders")
+    # Items of no kept source are replaced ones, or were left by a refresh that stopped before its sources.
+    kept_items = own(items_table).join(bounded_broadcast(kept_ids), "external_source_id", "left_semi")
     _overwrite_bucket(spark, items_table, kept_items.unionByName(new_items), bucket_id, "s-items")
+    _overwrite_bucket(spark, folders_table(sources_table), known_folders.unionByName(bucket.folder_table(new_sources)), bucket_id, "s-folders")
+    _overwrite_bucket(spark, sources_table, kept_sources.unionByName(bucket.source_table(new_sources)), bucket_id, "s-sources")
+
+
+def refresh_commits(
+    spark: SparkSession,
+    commits: list[str],
+    manifest: DataFrame,
+    bucket_id: int,
+    sources_table: str,
+    items_table: str,
+    kind: str = "FlattenFiles",
+) -> None:
+    """Refresh from whole commit folders; a source in several takes the last."""
+    rows = spark.read.schema(schemas.FILES).parquet(*commits).withColumn("_commit", F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1))
+    last = materialize(rows.groupBy("source_dir").agg(F.max("_commit").alias("_commit")), "stream-commits")
+    files = rows.join(bounded_broadcast(last), ["source_dir", "_commit"], "left_semi").drop("_commit")
+    refresh_sources(spark, files, manifest, bucket_id, sources_table, items_table, kind)
 
 
 def start(
@@ -78,11 +105,14 @@ def start(
     available_now: bool = False,
     interval: str = "10 minutes",
 ) -> StreamingQuery:
-    """Start the incremental sync over ``landing_dir``."""
+    """Start the incremental sync over the commit folders that ``landing_dir`` (a glob) matches."""
     stream = spark.readStream.schema(schemas.FILES).parquet(landing_dir)
+    stream = stream.select(F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1).alias("commit"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        refresh_sources(batch.sparkSession, batch, manifest, bucket_id, sources_table, items_table, kind)
+        commits = [r["commit"] for r in batch.distinct().collect()]  # folder names, as many as the trigger took
+        if commits:
+            refresh_commits(batch.sparkSession, commits, manifest, bucket_id, sources_table, items_table, kind)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -87,6 +87,62 @@ def test_incremental_stream(spark, tmp_path):
     spark.sql(f"DROP TABLE {i}")
 
 
+def _tables(spark, tmp_path):
+    tag = uuid.uuid4().hex[:8]
+    return f"ss_{tag}", f"si_{tag}"
+
+
+def test_refresh_keeps_the_other_reference(spark, tmp_path):
+    s, i = _tables(spark, tmp_path)
+    # One repository at two references: one display name, two folders.
+    man = spark.createDataFrame([(1, "repo", "r_main", "git"), (2, "repo", "r_v1", "git")], schemas.MANIFEST)
+    incremental.refresh_sources(spark, files_df(spark, {"r_main": {"m.txt": b"1"}, "r_v1": {"v.txt": b"1"}}), man, 7, s, i)
+    incremental.refresh_sources(spark, files_df(spark, {"r_main": {"m.txt": b"2"}}), man, 7, s, i)
+    assert sorted((r["url"], r["content"]) for r in spark.table(i).collect()) == [("m.txt", "2"), ("v.txt", "1")]
+    assert spark.table(s).count() == 2
+
+
+def test_replay_after_a_crash_between_the_writes(spark, tmp_path, monkeypatch):
+    s, i = _tables(spark, tmp_path)
+    man = spark.createDataFrame([(1, "repo", "r", "git"), (2, "other", "o", "git")], schemas.MANIFEST)
+    incremental.refresh_sources(spark, files_df(spark, {"r": {"old.txt": b"1"}, "o": {"o.txt": b"1"}}), man, 7, s, i)
+    new = files_df(spark, {"r": {"new.txt": b"2"}})
+    real, done = incremental._overwrite_bucket, []
+
+    def stops(spark, table, *rest):
+        if len(done) == crash_after:
+            raise RuntimeError("lost driver")
+        done.append(table)
+        real(spark, table, *rest)
+
+    for crash_after in (1, 2):
+        done.clear()
+        with monkeypatch.context() as m:
+            m.setattr(incremental, "_overwrite_bucket", stops)
+            try:
+                incremental.refresh_sources(spark, new, man, 7, s, i)
+            except RuntimeError as e:
+                assert "lost driver" in str(e)
+        incremental.refresh_sources(spark, new, man, 7, s, i)
+        ids = {r["external_source_id"] for r in spark.table(s).collect()}
+        items = spark.table(i).collect()
+        assert sorted(r["url"] for r in items) == ["new.txt", "o.txt"]
+        assert {r["external_source_id"] for r in items} == ids and len(ids) == 2
+
+
+def test_commit_seen_in_two_micro_batches(spark, tmp_path):
+    s, i = _tables(spark, tmp_path)
+    man = spark.createDataFrame([(1, "repo", "r", "git")], schemas.MANIFEST)
+    landing = tmp_path / "landing"
+    run = lambda: incremental.start(spark, f"{landing}/*", man, 7, str(tmp_path / "ck"), s, i, available_now=True).awaitTermination(120)
+    files_df(spark, {"r": {"a.txt": b"1"}}).coalesce(1).write.parquet(str(landing / "0001"))
+    run()
+    files_df(spark, {"r": {"b.txt": b"2"}}).coalesce(1).write.mode("append").parquet(str(landing / "0001"))
+    run()
+    spark.catalog.refreshTable(i)
+    assert sorted(r["url"] for r in spark.table(i).collect()) == ["a.txt", "b.txt"]
+
+
 def test_sync_landed_end_to_end(spark, tmp_path):
     import os
 
