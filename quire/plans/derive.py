@@ -213,6 +213,33 @@ def page_batches(pages: DataFrame, batch_size: int) -> DataFrame:
     return land(landed, "batches")
 
 
+def whole_listing(pages: DataFrame, batch_size: int) -> DataFrame:
+    """One row per page of listings in which no page is missing and no response failed: source_dir, start, p, page.
+
+    Pages of ``?page=`` urls came without a body.
+    """
+    ranked = rank_within(wiki_pages(pages), ["source_dir"], ["page_id"], "p")
+    body = F.when(~F.col("url").contains("?page="), F.struct(F.struct(F.col("body").alias("value")).alias("storage")))
+    page = F.struct("title", body.alias("body"), "ancestors", F.col("page_id").alias("id"), "url")
+    return ranked.select("source_dir", (F.floor(F.col("p") / batch_size) * batch_size).cast("int").alias("start"), "p", page.alias("page"))
+
+
+def whole_batches(pages: DataFrame, batch_size: int) -> DataFrame:
+    """:func:`whole_listing` as parsed responses, the pages with their ``id`` and ``url``."""
+    listed = F.sort_array(F.collect_list(F.struct("p", "page")))
+    grouped = whole_listing(pages, batch_size).groupBy("source_dir", "start").agg(listed.alias("lst"))
+    return grouped.select(
+        "source_dir", "start", F.lit(200).alias("status"), F.lit(True).alias("parsed"), F.transform("lst", lambda x: x["page"]).alias("results")
+    )
+
+
+def whole_responses(pages: DataFrame, batch_size: int) -> DataFrame:
+    """The same listings and the space documents as landed text (``schemas.LANDED_RESPONSES``); unset fields are missing from it."""
+    listing = whole_batches(pages, batch_size).select("source_dir", "start", "status", F.to_json(F.struct("results")).alias("body"))
+    spaces = page_spaces(pages).select("source_dir", F.lit(None).cast("int").alias("start"), F.lit(200).alias("status"), "body")
+    return listing.unionByName(spaces)
+
+
 def page_spaces(pages: DataFrame) -> DataFrame:
     """One landed space document per space (becomes ``space.json``)."""
     hosts = pages.select(url_host().alias("host"), page_source_dir().alias("source_dir")).distinct()

@@ -149,6 +149,14 @@ kept_pages AS (
 )"""
 
 
+WHOLE_PAGES = f"""
+kept_pages AS (
+  SELECT page_id, source_dir, title, anc, lang, CASE WHEN contains(url, '?page=') THEN '' ELSE body END AS body,
+         (p // {WIKI_BATCH}) * {WIKI_BATCH} AS start, p % {WIKI_BATCH} AS pos
+  FROM (SELECT *, row_number() OVER (PARTITION BY source_dir ORDER BY page_id) - 1 AS p FROM wiki_pages)
+)"""
+
+
 SPACES = f"""
 spaces AS (
   SELECT DISTINCT {PAGE_DIR.format(h=HOST)} AS source_dir,
@@ -233,7 +241,7 @@ ORACLE["page_cap"] = w(WIKI_PAGES, kept_pages_cte(WIKI_BATCH)) + f"""
 SELECT source_dir, CAST(start AS BIGINT) AS start, CAST(pos AS BIGINT) AS pos, page_id FROM kept_pages
 WHERE start + pos < {PAGE_CAP}"""
 
-ORACLE["last_write_wins"] = w(WIKI_PAGES, kept_pages_cte(WIKI_BATCH), SPACES) + f"""
+ORACLE["last_write_wins"] = w(WIKI_PAGES, WHOLE_PAGES, SPACES) + f"""
 SELECT source_dir, rel_path, page_id, CAST(strlen(md) AS BIGINT) AS n_bytes FROM (
   SELECT source_dir, {stem("[lang]")} || '.md' AS rel_path, page_id, {markdown('body')} AS md,
          row_number() OVER (PARTITION BY source_dir, {stem("[lang]")} ORDER BY start + pos DESC) AS rn
@@ -331,7 +339,7 @@ all_files AS (
 )"""
 
 ORACLE["mixed_sources"] = w(
-    DOC_FILES, DOC_CAT, PAGE_CAT, WIKI_PAGES, kept_pages_cte(WIKI_BATCH), SPACES, WIKI_FILES, MIXED_CAT,
+    DOC_FILES, DOC_CAT, PAGE_CAT, WIKI_PAGES, WHOLE_PAGES, SPACES, WIKI_FILES, MIXED_CAT,
     flat_items_cte("all_files", "mixed_cat", "mixed_items"),
 ) + """
 SELECT CAST(pos AS BIGINT) AS pos, source_name, filename, CAST(strlen(content) AS BIGINT) AS n_bytes FROM mixed_items"""
@@ -372,8 +380,14 @@ SELECT CAST(l.source_id AS BIGINT) AS external_source_id, CAST(l.item_id AS BIGI
        l.filename AS url, coalesce(b.quality, 1) <> 0 AS ok
 FROM loaded l LEFT JOIN labels b ON b.doc_id = l.doc_id"""
 
+ORACLE["lossy_text"] = """
+SELECT doc_id, t AS text, CAST(length(t) - length(replace(t, chr(65533), '')) AS BIGINT) AS n_replaced
+FROM (SELECT doc_id, substring(text, 1, length(text) // 2) || chr(65533) || substring(text, length(text) // 2 + 1)
+             || chr(65533) AS t FROM documents)"""
+
 ORACLE["tree_scan"] = w(DOC_FILES) + """
-SELECT source_dir, rel_path, CAST(strlen(arg_max(content, doc_id)) AS BIGINT) AS length
+SELECT source_dir, rel_path, CAST(strlen(arg_max(content, doc_id)) AS BIGINT) AS length,
+       sha256(arg_max(content, doc_id)) AS content_hash
 FROM doc_files
 WHERE NOT list_has_any(string_split(rel_path, '/')[1:len(string_split(rel_path, '/')) - 1], ['.git', 'target'])
 GROUP BY source_dir, rel_path"""

@@ -6,11 +6,13 @@ The DuckDB twins of these queries are in :mod:`quire.plans.oracle`.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire import schemas
 from quire.functions.naming import (
     logical_name,
     page_hierarchy,
@@ -21,10 +23,12 @@ from quire.functions.naming import (
 from quire.functions.naming import READMETOPDF_KINDS, FLATTEN_KINDS
 from quire.functions.text import html_to_markdown, lossy_utf8
 from quire.operators import audit, bucket, process, report, wiki
-from quire.plans import derive
+from quire.plans import derive, sync
+from quire.sources import landed, snapshot, treescan
 from quire.operators.sizing import bounded_broadcast
 from quire.operators.stage import land
 from quire.plans.derive import table
+from quire.session import staging_path
 
 # Query parameters (mirrored in the SQL).
 BUCKET_ID = 7
@@ -149,7 +153,7 @@ def q_page_cap(spark, sf) -> DataFrame:
 
 def q_last_write_wins(spark, sf) -> DataFrame:
     raw = table(spark, sf, "pages")
-    pages = _kept_pages(spark, sf)
+    pages = wiki.listed_pages(derive.whole_batches(raw, WIKI_BATCH), WIKI_BATCH)
     # Name every page after the first segment of its url, so pages collide.
     lang = F.try_element_at(derive.url_segments("url"), F.lit(1))
     renamed = pages.withColumn("title", lang).withColumn("ancestors", F.array().cast("array<struct<title:string>>"))
@@ -248,24 +252,38 @@ def q_bucket_delete_item(spark, sf) -> DataFrame:
     return kept.select("external_source_id", "external_item_id", "url", "content_hash")
 
 
+class _ScratchTables:
+    """Tables under the checkpoint folder, for queries that run the table sinks."""
+
+    def __init__(self, spark):
+        self.spark, self.made = spark, []
+
+    def create(self, schema: str, partition: str, name: str | None = None) -> str:
+        name, path = name or f"quire_{uuid.uuid4().hex}", staging_path(self.spark, "table")
+        self.spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet PARTITIONED BY ({partition}) LOCATION '{path}'")
+        self.made.append((name, schema, path))
+        return name
+
+    def close(self) -> list[DataFrame]:
+        """Drop the tables and return their rows, which stay until the staging folders are cleaned."""
+        out = []
+        for name, schema, path in self.made:
+            self.spark.sql(f"DROP TABLE {name}")
+            out.append(self.spark.read.schema(schema).parquet(path))
+        return out
+
+
 def q_refresh_replace(spark, sf) -> DataFrame:
-    docs, files, manifest = _doc_inputs(spark, sf)
-    flat, _ = process.flatten_files(files, manifest)
-    s7 = bucket.load_sources(manifest, BUCKET_ID)
-    i7 = land(bucket.load_items(flat, s7, with_content=False), "bucket")
-    n_src = s7.count()
-    n_items = i7.count()
-    # Bucket 8 holds the same items, created after bucket 7's: same order, ids shifted.
-    i8 = i7.withColumn("bucket_id", F.lit(OTHER_BUCKET_ID).cast("long")).withColumn(
-        "external_source_id", F.col("external_source_id") + F.lit(n_src)
-    ).withColumn("external_item_id", F.col("external_item_id") + F.lit(n_items))
-    old = i7.unionByName(i8)
-    # Refresh bucket 7 with the README processor; new ids follow the largest in the table.
-    readme, _ = process.readme_files(files, manifest)
-    s7n = bucket.load_sources(manifest, BUCKET_ID, id_base=2 * n_src)
-    i7n = bucket.load_items(readme.drop("source_text"), s7n, id_base=2 * n_items, with_content=False)
-    new = bucket.replace_bucket(old, i7n, BUCKET_ID)
-    return new.select("bucket_id", "external_source_id", "external_item_id", "url", "content_hash")
+    """Buckets 7 and 8 filled by the full refresh, then 7 again with READMEs alone: the item table afterwards."""
+    _, files, manifest = _doc_inputs(spark, sf)
+    tables = _ScratchTables(spark)
+    sources = tables.create(schemas.BUCKET_SOURCES, "bucket_id")
+    items = tables.create(schemas.BUCKET_ITEMS, "bucket_id")
+    tables.create(schemas.BUCKET_FOLDERS, "bucket_id", sync.folders_table(sources))
+    for bucket_id, kind in ((BUCKET_ID, "FlattenFiles"), (OTHER_BUCKET_ID, "FlattenFiles"), (BUCKET_ID, "ReadmeToPDF")):
+        # Repositories without a README are rejects of the last refresh.
+        sync.synchronise(spark, files, manifest, bucket_id, kind, sources, items, strict=False)
+    return tables.close()[1].select("bucket_id", "external_source_id", "external_item_id", "url", "content_hash")
 
 
 def q_items_per_source(spark, sf) -> DataFrame:
@@ -286,7 +304,11 @@ def q_mixed_sources(spark, sf) -> DataFrame:
     pages = table(spark, sf, "pages")
     repos = derive.doc_sources(docs).where(F.col("type") == "git")
     cat = derive.numbered_catalogue(repos.unionByName(derive.page_sources(pages)))
-    wfiles, _ = wiki.wiki_files(derive.page_batches(pages, WIKI_BATCH), derive.page_spaces(pages), WIKI_BATCH)
+    # Every page of every space, through the reader of landed responses.
+    responses = derive.whole_responses(pages, WIKI_BATCH)
+    spaces = landed.space_documents(responses)
+    landed.check_spaces(spaces)
+    wfiles, _ = wiki.wiki_files(landed.content_batches(responses), spaces, WIKI_BATCH)
     files = derive.doc_files(docs).unionByName(wfiles)
     items, _ = process.flatten_files(files, derive.manifest_of(cat))
     return items.select(
@@ -301,8 +323,6 @@ def q_mixed_sources(spark, sf) -> DataFrame:
 
 
 def q_snapshot_replace(spark, sf) -> DataFrame:
-    from quire.sources import snapshot
-
     docs = table(spark, sf, "documents")
     labels = table(spark, sf, "labels")
     previous = derive.previous_doc_files(docs, labels)
@@ -310,7 +330,11 @@ def q_snapshot_replace(spark, sf) -> DataFrame:
     # Re-snapshot the repositories holding a document labelled both low-quality and toxic.
     flagged = labels.where((F.col("toxic") == 1) & (F.col("quality") == 0)).select("doc_id")
     refreshed = current.join(flagged, "doc_id", "left_semi").select("source_dir").distinct()
-    result = snapshot.replaced(previous, current.drop("doc_id"), refreshed)
+    tables = _ScratchTables(spark)
+    snapshots = tables.create(schemas.FILES, "source_dir")
+    snapshot.replace_snapshots(spark, snapshots, previous, previous.select("source_dir").distinct())
+    snapshot.replace_snapshots(spark, snapshots, current.drop("doc_id"), refreshed)
+    result = tables.close()[0]
     return result.select("source_dir", "rel_path", F.sha2(F.col("content"), 256).alias("content_hash"))
 
 
@@ -338,9 +362,11 @@ def q_checksum_audit(spark, sf) -> DataFrame:
 
 def q_lossy_text(spark, sf) -> DataFrame:
     docs = table(spark, sf, "documents")
-    raw = F.col("text").cast("binary")
-    cut = F.substring(raw, 1, F.octet_length(raw) - 1)
-    text = lossy_utf8(cut)
+    # A byte that never occurs in UTF-8 half way, and a sequence cut short at the end.
+    half = F.floor(F.length("text") / 2).cast("int")
+    left, right = F.substring(F.col("text"), F.lit(1), half), F.substring(F.col("text"), half + 1, F.length("text"))
+    raw = F.concat(left.cast("binary"), F.lit(bytearray(b"\xff")), right.cast("binary"), F.lit(bytearray(b"\xe2\x82")))
+    text = lossy_utf8(raw)
     return docs.select(
         "doc_id",
         text.alias("text"),
@@ -349,11 +375,10 @@ def q_lossy_text(spark, sf) -> DataFrame:
 
 
 def q_tree_scan(spark, sf) -> DataFrame:
-    from quire.sources import treescan
-
     docs = table(spark, sf, "documents")
     root = treescan.land_tree(derive.doc_files(docs, with_doc_id=True))
-    return treescan.read_tree(spark, root, with_content=False).select("source_dir", "rel_path", "length")
+    files = treescan.read_tree(spark, root)
+    return files.select("source_dir", "rel_path", "length", F.sha2("content", 256).alias("content_hash"))
 
 
 QUERIES: dict[str, Query] = {
