@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ from quire.llm.textwords import Words, mix
 #: Distinct words a worker remembers before it starts afresh (bounds its memory).
 CACHE_WORDS = 350_000
 _SLOTS = 1 << 20
+_BLOCK = 1 << 15
 
 # Lower-case Latin letters for which the pattern below equals the file's Unicode pattern.
 _L = "a-zß-öø-ÿ"
@@ -50,8 +52,10 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.words: dict[bytes, int] = {}  # place in the pool << 24 | length
-        self.parts: dict[str, list[int]] = {}
+        self.words: dict[bytes, int] = {}  # number of the word in place and length
+        self.place, self.length = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int64)
+        self.parts: dict[str, array] = {}
+        # The table holds words of at most 16 bytes only, so their lengths are small.
         self.t1, self.t2 = np.zeros(_SLOTS, np.uint64), np.zeros(_SLOTS, np.uint64)
         self.toff, self.tlen = np.zeros(_SLOTS, np.int64), np.zeros(_SLOTS, np.int32)
         self.pool = np.zeros(1 << 16, dtype=self.width)
@@ -65,7 +69,7 @@ class WordEncoder:
             ids = self.parts.get(part)
             if ids is None:
                 mapped = part if part.isascii() else part.encode().decode("latin-1").translate(self.chars)
-                ids = self.parts[part] = [t.id for t in self.model.tokenize(mapped)]
+                ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(mapped)])
             out += ids
         return out
 
@@ -74,9 +78,12 @@ class WordEncoder:
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), self.width)])
         self.pool[self.used : self.used + len(ids)] = ids
-        self.words[word] = at = self.used << 24 | len(ids)
+        self.words[word] = n = len(self.words)
+        if n == len(self.place):
+            self.place, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.place, self.length))
+        self.place[n], self.length[n] = self.used, len(ids)
         self.used += len(ids)
-        return at
+        return n
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a text column in one array, and the n + 1 offsets of its rows."""
@@ -90,10 +97,13 @@ class WordEncoder:
         if len(miss):
             raw, known, add = w.data.tobytes(), self.words, self._add
             at = np.empty(len(miss), np.int64)
-            for i, (a, b) in enumerate(zip(w.start[miss].tolist(), w.end[miss].tolist(), strict=True)):
-                word = raw[a:b]
-                at[i] = known.get(word) or add(word)
-            off[miss], size[miss] = at >> 24, at & 0xFFFFFF
+            for low in range(0, len(miss), _BLOCK):  # few Python numbers at once
+                some = miss[low : low + _BLOCK]
+                for i, (a, b) in enumerate(zip(w.start[some].tolist(), w.end[some].tolist(), strict=True), low):
+                    word = raw[a:b]
+                    n = known.get(word)
+                    at[i] = add(word) if n is None else n
+            off[miss], size[miss] = self.place[at], self.length[at]
             keep = whole[miss]
             m, s = miss[keep], slot[miss[keep]]
             # Each slot takes the last word written to it; all four arrays take the same one.

@@ -5,12 +5,13 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from quire.llm import packing, tokencounts, tokenfiles
+from quire.llm import packing, tokencounts, tokenfiles, wordtokens
 from quire.session import staging_path
 
 WORD, BYTE = (public_tokenizers.path(x) for x in ("word_bpe_49k.json", "byte_bpe_50k.json"))
@@ -69,6 +70,24 @@ def test_odd_white_space(spark):
         assert r.ids == [*ids_of(WORD, texts[r.doc_id]), 0]
 
 
+def test_word_of_very_many_tokens():
+    n = (1 << 24) + 5  # more than 24 bits count; a digit is a token
+    texts = ["ab " + "7" * n + " cd", "ef " + "7" * n, "gh"]
+    enc = wordtokens.WordEncoder(WORD)
+    ids, off = enc.encode(pa.array(texts))
+    seven, *short = (ids_of(WORD, t) for t in ("7", "ab", "cd", "ef", "gh"))
+    assert len(seven) == 1
+    parts = [ids[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+    ab, cd, ef, gh = short
+    assert [len(p) for p in parts] == [len(ab) + n + len(cd), len(ef) + n, len(gh)]
+    assert parts[0][: len(ab)].tolist() == ab and parts[0][len(ab) + n :].tolist() == cd
+    assert parts[1][: len(ef)].tolist() == ef and parts[2].tolist() == gh
+    assert (parts[0][len(ab) : len(ab) + n] == seven[0]).all() and (parts[1][len(ef) :] == seven[0]).all()
+    # Words met later, and met again from the cache, keep their places.
+    again, to = enc.encode(pa.array(["cd new", "gh"]))
+    assert again[: to[1]].tolist() == [*cd, *ids_of(WORD, "new")] and again[to[1] :].tolist() == gh
+
+
 def test_token_files_round_trip(spark, odd):
     path = staging_path(spark, "test-shards")
     tokenfiles.write_shards(odd, WORD, path, shard_bytes=4000)
