@@ -35,7 +35,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their place in a sequence."""
+    """Pieces of all documents with their token ids and their place in a sequence."""
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -53,15 +53,15 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
                         size.append(len(cut))
                         crc.append(zlib.crc32(cut.tobytes()))
                         if with_ids:
-                            all_ids.append(cut.astype(np.int64))
+                            all_ids.append(cut.astype(np.int32))
                 out = [part.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, size, crc))]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]
                 if with_ids:
-                    out, names = [*out, pa.array(all_ids, pa.list_(pa.int64()))], [*names, "ids"]
+                    out, names = [*out, pa.array(all_ids, pa.list_(pa.int32()))], [*names, "ids"]
                 yield pa.RecordBatch.from_arrays(out, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<long>" if with_ids else "")
+    schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     return docs.select("doc_id", "text").mapInArrow(pieces, schema)
 
 
@@ -133,11 +133,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Da
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+    """Pieces with their ``ids`` and their place in a sequence."""
     # Landed first: range boundaries are sampled from the rows, which must not tokenize every text twice.
-    return pack(land(token_pieces(docs, tokenizer, capacity), "token-pieces"), capacity)
+    pieces = land(token_pieces(docs, tokenizer, capacity, with_ids=True).withColumn("_row", F.monotonically_increasing_id()), "token-pieces")
+    # Places are planned without the ids, which meet them once, by the landed row number.
+    return pack(pieces.drop("ids"), capacity).join(pieces.select("_row", "ids"), "_row").drop("_row")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    packed = pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.drop("ids")  # ids_crc32 is their digest

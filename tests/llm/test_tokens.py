@@ -35,6 +35,14 @@ def test_pieces_and_places(odd):
     assert max(at.values()) <= 64
 
 
+def test_packed_sequences_hold_the_ids(odd):
+    texts = {r.doc_id: r.text for r in odd.collect()}
+    got = packing.pack_documents(odd, WORD, 64).collect()
+    for r in got:
+        assert r.ids == [*ids_of(WORD, texts[r.doc_id]), 0][r.start : r.start + 64] and len(r.ids) == r.length
+    assert sum(len(r.ids) for r in got) == sum(len(ids_of(WORD, r.text)) + 1 for r in odd.collect())
+
+
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 60), max_size=25))
 @settings(max_examples=150, deadline=None)
 def test_plan_is_best_fit_decreasing(histogram):
