@@ -13,6 +13,7 @@ from quire.llm.packing import op1_best_fit_packing
 from quire.llm.quality import op3_quality_classifier
 from quire.llm.repetition import op5_quality_rules
 from quire.llm.simhash import op10_simhash
+from quire.llm.suffixdedup import op12_suffix_dedup
 from quire.llm.tokencounts import op4_token_counts
 from quire.llm.tokenfiles import op7_token_files
 from quire.llm.vectors import op8_embedding_neardup
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_neardup": op8_embedding_neardup,
     "op9_kneser_ney": op9_kneser_ney,
     "op10_simhash": op10_simhash,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }
 
 ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL}
