@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.llm.kneserney import op9_kneser_ney
 from quire.llm.language import op6_language_id
 from quire.llm.mixing import OP2_SQL, op2_source_mixing
+from quire.llm.negatives import OP13_SQL, op13_hard_negatives
 from quire.llm.packing import op1_best_fit_packing
 from quire.llm.quality import op3_quality_classifier
 from quire.llm.repetition import op5_quality_rules
+from quire.llm.resampling import op11_importance_resampling
 from quire.llm.simhash import op10_simhash
 from quire.llm.suffixdedup import op12_suffix_dedup
 from quire.llm.tokencounts import op4_token_counts
@@ -29,7 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embedding_neardup": op8_embedding_neardup,
     "op9_kneser_ney": op9_kneser_ney,
     "op10_simhash": op10_simhash,
+    "op11_importance_resampling": op11_importance_resampling,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL}
+ORACLE: dict[str, str] = {"op2_source_mixing": OP2_SQL, "op13_hard_negatives": OP13_SQL}

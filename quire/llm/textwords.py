@@ -79,13 +79,13 @@ def lanes_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
 class Words:
     """The words of a text column: ``start``/``end`` byte offsets, ``row`` of each, ``first`` word of each row (n + 1)."""
 
-    def __init__(self, col: pa.Array | pa.ChunkedArray, lower: bool = False):
+    def __init__(self, col: pa.Array | pa.ChunkedArray, lower: bool = False, outside: np.ndarray = _SPACE):
         self.data, self.off = text_bytes(col)
         n = int(self.off[-1])
         if lower:
             up = (self.data >= 0x41) & (self.data <= 0x5A)
             self.data = self.data + (up.astype(np.uint8) << 5)
-        word = ~_SPACE[self.data[:n]]
+        word = ~outside[self.data[:n]]
         edge = np.zeros(n + 1, dtype=bool)
         edge[self.off] = True
         prev = np.empty(n, dtype=bool)
