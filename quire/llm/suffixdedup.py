@@ -11,13 +11,15 @@ equal strings have equal ones.
    all their strings repeat.
 2. What is left are the edges of repeats: grams with several classes.  One
    anchor of each class becomes a suffix with its bytes.  Sampled splitters
-   range-partition the suffixes by their leading tokens; each bucket sorts by
+   range-partition the suffixes by their leading bytes; each bucket sorts by
    multikey quicksort and compares neighbours.  A row's number is the last
-   sort key, so leading tokens that very many suffixes share are dealt over
-   many buckets.
-3. Buckets compare across boundaries: strings whose leading tokens are a
-   bucket's first or last leave it once each, as a 128-bit digest, and meet
-   there.  However many copies a string has, it leaves a bucket once.
+   sort key, so suffixes that very many texts share are dealt over many
+   buckets.
+3. Buckets compare across boundaries.  Equal strings are neighbours up to
+   their length, so a run of neighbours that holds neither end of its bucket
+   is complete.  The others are sorted once more, by what precedes the anchor.
+   Of the strings that are at an end there too, each bucket sends one of a
+   kind, as a 128-bit digest, to meet its equals.
 
 Classes are told apart by 128 bits (gram hash and SHA-256), digests of
 strings likewise; bytes decide within a bucket.
@@ -37,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import land, ship, table
@@ -96,9 +98,12 @@ def anchor_rows(blocks: DataFrame) -> DataFrame:
 
 def shared_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(starts that repeat as whole classes, one anchor of each class of a gram that has several)."""
-    own = F.struct("digest", "lead", "span")
-    grams = rows.groupBy("gram").agg(F.count("*").alias("n"), F.min(own).alias("low"), F.max(own).alias("high")).where("n > 1")
-    grams = grams.select(F.col("gram").alias("g"), (F.col("low") != F.col("high")).alias("several"))
+    own = ("digest", "lead", "span")
+    lows, highs = [F.min(c).alias(f"low_{c}") for c in own], [F.max(c).alias(f"high_{c}") for c in own]
+    grams = rows.groupBy("gram").agg(F.count("*").alias("n"), *lows, *highs).where("n > 1")
+    several = F.expr(" or ".join(f"low_{c} <> high_{c}" for c in own))
+    # Landed, so that the join's shuffles are its own and a gram with very many anchors can be split.
+    grams = land(grams.select(F.col("gram").alias("g"), several.alias("several")), "grams")
     kept = land(rows.join(grams, rows["gram"] == grams["g"]).drop("g"), "shared-grams")
     edges = kept.where("several")
     classes = edges.groupBy(*_CLASS).agg(F.count("*").alias("n"), F.min(F.struct("block", "p1")).alias("rep"))
@@ -108,9 +113,11 @@ def shared_classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     return starts.union(again), classes.select("rep.block", "rep.p1", "lead", "span")
 
 
-def suffix_rows(blocks: DataFrame, reps: DataFrame, length: int, gram: int) -> DataFrame:
-    """Suffixes with their bytes: two leading tokens, block, p1, lead and the bytes of all owned strings."""
-    known = min(16, gram)  # every suffix has its gram
+_SUFFIX = "block long, p1 long, lead int, low int, bytes binary"
+
+
+def suffix_rows(blocks: DataFrame, reps: DataFrame, length: int) -> DataFrame:
+    """Suffixes: block, p1, lead, low (largest and smallest distance owned), and the bytes of all owned strings."""
     wanted = reps.groupBy("block").agg(F.collect_list(F.struct("p1", "lead", "span")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,18 +128,21 @@ def suffix_rows(blocks: DataFrame, reps: DataFrame, length: int, gram: int) -> D
                 want = batch.column("wanted")[k].values
                 p1, lead, span = (want.field(c).to_numpy() for c in ("p1", "lead", "span"))
                 parts = [text[a : a + s + length] for a, s in zip(p1.tolist(), span.tolist(), strict=True)]
-                head = b"".join(x[d : d + known].ljust(16, b"\0") for x, d in zip(parts, lead.tolist(), strict=True))
-                tokens = (np.frombuffer(head, ">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64).reshape(-1, 2)
-                cols = [pa.array(tokens[:, 0]), pa.array(tokens[:, 1]), pa.array([batch.column("block")[k].as_py()] * len(parts), pa.int64()), pa.array(p1), pa.array(lead), pa.array(parts, pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, ["t1", "t2", "block", "p1", "lead", "bytes"])
+                block = pa.array([batch.column("block")[k].as_py()] * len(parts), pa.int64())
+                yield pa.RecordBatch.from_arrays([block, pa.array(p1), pa.array(lead), pa.array(lead - span), pa.array(parts, pa.binary())], ["block", "p1", "lead", "low", "bytes"])
 
     both = blocks.select("block", "texts").join(wanted, "block").select("block", "texts", "wanted")
     # Landed first: splitters are sampled from the rows.
-    return land(both.mapInArrow(cut, "t1 long, t2 long, block long, p1 long, lead int, bytes binary"), "suffixes")
+    return land(both.mapInArrow(cut, _SUFFIX), "suffixes")
 
 
-def compared(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
-    """Starts (block, p1, span) that repeat, found in buckets of the range-partitioned suffixes and across them."""
+def _compared(suffixes: DataFrame, key: Column, length: int, gram: int, by_after: bool) -> DataFrame:
+    """One round of buckets, landed: repeated starts (block, p1, span), and what is open.
+
+    Open are suffixes, with the smallest distance that is, if ordered by what
+    follows; else starts with digests, a span of 0 if the string is alone in
+    its bucket, of -1 if it is known to repeat.
+    """
 
     def bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [b for b in batches if b.num_rows]
@@ -140,36 +150,54 @@ def compared(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
             return
         rows = pa.Table.from_batches(held)
         del held
-        t1, t2, block, p1 = (rows.column(c).to_numpy() for c in ("t1", "t2", "block", "p1"))
-        lead = rows.column("lead").to_numpy().astype(np.int64)
+        block, p1 = (rows.column(c).to_numpy() for c in ("block", "p1"))
+        lead, low = (rows.column(c).to_numpy().astype(np.int64) for c in ("lead", "low"))
         flat, off = text_bytes(rows.column("bytes").cast(pa.large_binary()))
-        low, high = np.lexsort((t2, t1))[[0, -1]]
-        edge = ((t1 == t1[low]) & (t2 == t2[low])) | ((t1 == t1[high]) & (t2 == t2[high]))
-        flags, who, dist = compare_bucket(flat, off[:-1], np.diff(off), lead, length, gram, edge)
-        # Runs of flagged distances; the start at distance d is p1 + lead - d.
+        flags, open_, who, dist = compare_bucket(flat, off[:-1], np.diff(off), lead, low, length, gram, by_after)
+
+        def out(i, first, span=None, suffix=False, digest=None) -> pa.RecordBatch:
+            none = lambda t: pa.nulls(len(i), t)
+            cols = [pa.array(block[i]), pa.array(first), none(pa.int32()) if span is None else pa.array(span.astype(np.int32))]
+            if suffix:
+                cols += [pa.array(lead[i].astype(np.int32)), pa.array(open_[i].argmax(axis=1).astype(np.int32)), rows.column("bytes").combine_chunks().cast(pa.large_binary()).take(pa.array(i)).cast(pa.binary())]
+            else:
+                cols += [none(pa.int32()), none(pa.int32()), none(pa.binary())]
+            cols += [none(pa.int64()), none(pa.int64())] if digest is None else [pa.array(digest[:, 0]), pa.array(digest[:, 1])]
+            return pa.RecordBatch.from_arrays(cols, ["block", "p1", "span", "lead", "low", "bytes", "f1", "f2"])
+
+        # Runs of repeated distances; the start at distance d is p1 + lead - d.
         runs = np.diff(np.pad(flags.astype(np.int8), ((0, 0), (1, 1))), axis=1)
         i, a = np.nonzero(runs == 1)
         _, b = np.nonzero(runs == -1)
-        first = p1[i] + lead[i] - (b - 1)
-        none = pa.nulls(len(i), pa.int64())
-        names = ["block", "p1", "span", "f1", "f2"]
-        yield pa.RecordBatch.from_arrays([pa.array(block[i]), pa.array(first), pa.array((b - 1 - a).astype(np.int32)), none, none], names)
+        yield out(i, p1[i] + lead[i] - (b - 1), b - 1 - a)
+        if by_after:
+            i = np.flatnonzero(open_.any(axis=1))
+            for s in range(0, len(i), 1 << 12):
+                yield out(i[s : s + (1 << 12)], p1[i[s : s + (1 << 12)]], suffix=True)
+            return
         view = memoryview(flat)
         for s in range(0, len(who), 1 << 16):
             w, d = who[s : s + (1 << 16)], dist[s : s + (1 << 16)]
             at = off[w] + lead[w] - d
-            own = np.frombuffer(b"".join(hashlib.sha256(view[x : x + length]).digest()[:16] for x in at.tolist()), np.int64).reshape(-1, 2)
-            # A span of 0: alone in its bucket so far; of -1: known to repeat.
-            span = np.where(flags[w, d], -1, 0).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(block[w]), pa.array(p1[w] + lead[w] - d), pa.array(span), pa.array(own[:, 0]), pa.array(own[:, 1])], names)
-
-    tie = F.xxhash64("block", "p1")
-    found = suffixes.repartitionByRange("t1", "t2", tie).mapInArrow(bucket, "block long, p1 long, span int, f1 long, f2 long")
-    found = land(found, "suffix-matches")
-    open_ = found.where("f1 is not null")
+            digest = np.frombuffer(b"".join(hashlib.sha256(view[x : x + length]).digest()[:16] for x in at.tolist()), np.int64).reshape(-1, 2)
+            yield out(w, p1[w] + lead[w] - d, np.where(flags[w, d], -1, 0), digest=digest)
+
+    keyed = suffixes.select("block", "p1", "lead", "low", "bytes", key.alias("key")).repartitionByRange("key", F.xxhash64("block", "p1")).drop("key")
+    schema = "block long, p1 long, span int, lead int, low int, bytes binary, f1 long, f2 long"
+    return land(keyed.mapInArrow(bucket, schema), "suffix-matches")
+
+
+def compared(suffixes: DataFrame, length: int, gram: int) -> DataFrame:
+    """Starts (block, p1, span) that repeat, found in buckets of the range-partitioned suffixes and across them."""
+    first = _compared(suffixes, F.expr("substring(bytes, lead + 1)"), length, gram, True)
+    # A binary has no reverse: its hex digits, read backwards byte by byte, sort as one.
+    backwards = F.expr(f"unhex(array_join(reverse(regexp_extract_all(hex(substring(bytes, 1, lead + {gram})), '..', 0)), ''))")
+    second = _compared(first.where("bytes is not null"), backwards, length, gram, False)
+    open_ = second.where("f1 is not null").select("block", "p1", "span", "f1", "f2")
     twice = open_.groupBy("f1", "f2").agg(F.count("*").alias("n")).where("n > 1").select("f1", "f2")
     across = open_.where("span = 0").join(twice, ["f1", "f2"], "left_semi")
-    return found.where("f1 is null").select("block", "p1", "span").union(across.select("block", "p1", "span"))
+    out = ["block", "p1", "span"]
+    return first.where("bytes is null").select(*out).union(second.where("f1 is null").select(*out)).union(across.select(*out))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False) -> DataFrame:
@@ -179,7 +207,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
     kind = docs.schema["doc_id"].dataType.simpleString()
     blocks = text_blocks(docs, length, gram)
     starts, reps = shared_classes(anchor_rows(blocks))
-    starts = starts.union(compared(suffix_rows(blocks, reps, length, gram), length, gram))
+    starts = starts.union(compared(suffix_rows(blocks, reps, length), length, gram))
     removed = starts.groupBy("block").agg(F.collect_list(F.struct("p1", "span")).alias("removed"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

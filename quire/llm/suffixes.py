@@ -131,47 +131,47 @@ def common_prefixes(rows: np.ndarray, step: int = 1 << 12) -> np.ndarray:
     return out
 
 
-def compare_bucket(flat: np.ndarray, base: np.ndarray, size: np.ndarray, lead: np.ndarray, length: int, gram: int, edge: np.ndarray):
-    """Which strings of a bucket's anchors occur twice in it.
+def compare_bucket(flat: np.ndarray, base: np.ndarray, size: np.ndarray, lead: np.ndarray, low: np.ndarray, length: int, gram: int, by_after: bool):
+    """Which strings of a bucket's anchors occur twice in it, and which of them other buckets may hold too.
 
     Anchor i has the bytes ``flat[base : base + size]``, stands ``lead`` bytes
-    in, and owns the starts at distance ``d`` = lead + length - size .. lead.
-    Two strings are equal if their anchors agree on ``length - d`` bytes from
-    the anchor on and on ``d`` bytes before it: blocks of the order by what
-    follows, and of the order by what precedes, both cut where neighbours
-    share fewer bytes than that.
-
-    Returns a flag for each (anchor, d), and for anchors marked in ``edge``
-    one (anchor, d) of each distinct string, which other buckets may hold too.
+    in, and is asked for its strings at distance ``d`` = low .. lead.  Two
+    strings are equal if their anchors agree on ``length - d`` bytes from the
+    anchor on, and on the gram and ``d`` bytes before it, read backwards:
+    blocks of either order, cut where neighbours share less than that.
+    Buckets are ranges of the order by what follows (``by_after``) or by what
+    precedes; a block that holds neither end of its bucket is whole.
+
+    Returns flags (anchor, d) of repeated and of open strings, and one
+    (anchor, d) of each open distinct string.
     """
-    n, window = len(base), length - gram + 1
-    step, flags = np.arange(length), np.zeros((n, window), bool)
-    after, before = np.zeros((n, length), np.uint8), np.zeros((n, window - 1), np.uint8)
-    for s in range(0, n, 1 << 12):
-        e = slice(s, min(n, s + (1 << 12)))
-        at = lead[e, None] + step
-        after[e] = np.where(at < size[e, None], flat[np.minimum(base[e, None] + at, len(flat) - 1)], 0)
-        at = lead[e, None] - 1 - step[: window - 1]
-        before[e] = np.where(at >= 0, flat[np.maximum(base[e, None] + at, 0)], 0)
-    place_a, place_b = np.empty(n, np.int64), np.empty(n, np.int64)
-    order = multikey_quicksort(as_tokens(after))
-    place_a[order] = np.arange(n)
-    shared_a = common_prefixes(after[order])
-    order = multikey_quicksort(as_tokens(before))
-    place_b[order] = np.arange(n)
-    shared_b = common_prefixes(before[order])
-    nearest = lead + length - size  # smallest distance owned
+    n, window, step = len(base), length - gram + 1, np.arange(length)
+    flags, open_ = np.zeros((n, window), bool), np.zeros((n, window), bool)
+    blocks, places = [], []
+    for forward in (True, False):
+        rows = np.zeros((n, length), np.uint8)
+        for s in range(0, n, 1 << 12):
+            e = slice(s, min(n, s + (1 << 12)))
+            at = lead[e, None] + (step if forward else gram - 1 - step)
+            rows[e] = np.where((at >= 0) & (at < size[e, None]), flat[np.clip(base[e, None] + at, 0, len(flat) - 1)], 0)
+        order = multikey_quicksort(as_tokens(rows))
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        blocks.append(common_prefixes(rows[order]))
+        places.append(place)
     who, where = [], []
     for d in range(window):
-        own = np.flatnonzero((nearest <= d) & (d <= lead))
+        own = np.flatnonzero((low <= d) & (d <= lead))
         if len(own) == 0:
             continue
-        block = np.cumsum(shared_a < length - d)[place_a[own]] * n + np.cumsum(shared_b < d)[place_b[own]]
-        _, first, inverse, count = np.unique(block, return_index=True, return_inverse=True, return_counts=True)
+        after, before = np.cumsum(blocks[0] < length - d), np.cumsum(blocks[1] < gram + d)
+        own_after, own_before = after[places[0][own]], before[places[1][own]]
+        ends, mine = (after, own_after) if by_after else (before, own_before)
+        open_[own, d] = (mine == ends[0]) | (mine == ends[-1])
+        _, first, inverse, count = np.unique(own_after * (n + 1) + own_before, return_index=True, return_inverse=True, return_counts=True)
         flags[own, d] = count[inverse] > 1
-        # Equal strings have equal leading tokens, so all of a class lie at the edge or none does.
         first = own[first]
-        first = first[edge[first]]
+        first = first[open_[first, d]]
         who.append(first)
         where.append(np.full(len(first), d))
-    return flags, np.concatenate(who or [np.zeros(0, np.int64)]), np.concatenate(where or [np.zeros(0, np.int64)])
+    return flags, open_, np.concatenate(who or [np.zeros(0, np.int64)]), np.concatenate(where or [np.zeros(0, np.int64)])
