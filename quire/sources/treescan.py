@@ -1,35 +1,46 @@
 """Scan landed repository snapshots ``<root>/<source_dir>/...`` into ``files`` rows.
 
 Spark's ``binaryFile`` source drops every name starting with ``.`` or ``_``
-(``.gitignore``, ``__init__.py``)
-so the listing is a Python data source (format ``treescan``).  The driver
-lists folders (never files) of the top levels of each source — at least
-``splitDepth``, and deeper while few subtrees are open (``targetUnits``);
-every folder there becomes a unit whose own files one task lists, and every
-folder at the last level a unit whose whole subtree one task walks.  Units are
-dealt round-robin into at most ``maxSplits`` input partitions.  Folders named
-``.git`` or ``target`` are not entered (F1); only regular files are taken,
-links are followed, broken links skipped (F2); a link back to a folder on
-its own path is not entered again (loop guard), whatever the split depth.
-
-Contents are read in a second step after a hash repartition on the path, so
-one huge subfolder does not put all of its bytes into one task.
+(``.gitignore``, ``__init__.py``), so folders are listed here, by rounds over
+a *frontier* table of folders.  Each round is a Spark job: a task lists the
+folders it is dealt and those below them until it has seen ``budget`` names,
+and gives back names and the folders it did not come to, which are the next
+round's frontier.  The driver lists the root only.  Names come first; sizes
+and times are read afterwards in evenly dealt tasks, contents after that, so
+neither one flat folder nor one long chain is one task's work.
+
+Folders named ``.git`` or ``target`` are not entered (F1); only regular files
+are taken, links are followed, broken links skipped (F2); a folder that stands
+on its own path (a link back) is not entered again.
+
+Snapshots may lie in any store that :mod:`pyarrow.fs` opens: ``root`` is a
+path, a URI or a ``pyarrow.fs.FileSystem``.  Paths and ``file:`` URIs go
+through ``os``, which also takes names that aren't UTF-8 and knows links.
 """
 
 from __future__ import annotations
 
-import json
 import os
 import stat
+from collections import deque
+from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quire.functions.naming import PRUNED_DIRS
+from quire.operators.stage import land
+from quire.schemas import REJECTS
+from quire.session import staging_path
 
 LISTING_SCHEMA = "source_dir string, rel_path string, length bigint, modified timestamp, path binary"
+#: Names a listing task sees for one folder of the frontier before it hands the rest back.
+BUDGET = 4096
+_FOUND = "kind string, source_dir string, rel_path string, path binary, above array<string>"
+_FOLDER, _FILE, _UNKNOWN = "d", "f", "?"
 
 
 def _lossy(name: str) -> str:
@@ -37,224 +48,241 @@ def _lossy(name: str) -> str:
     return os.fsencode(name).decode("utf-8", "replace")
 
 
-class _Unit:
-    """A folder to list: only its own files (``deep=False``) or its whole subtree."""
+class PosixTree:
+    """A mounted folder."""
 
-    def __init__(self, root: str, source_dir: str, parts: tuple[str, ...], deep: bool, ancestors: frozenset):
+    def __init__(self, root: str):
         self.root = root
-        self.source_dir = source_dir
-        self.parts = parts  # path components below the source folder
-        self.deep = deep
-        self.ancestors = ancestors  # (dev, inode) of the folders above, for the loop guard
-
-
-class _Split(InputPartition):
-    """Several listing units read by one task."""
-
-    def __init__(self, units: list[_Unit]):
-        super().__init__(len(units))
-        self.units = units
-
-
-def _is_dir(path: str) -> bool:
-    try:
-        return stat.S_ISDIR(os.stat(path).st_mode)
-    except OSError:
-        return False
-
-
-def _is_file(path: str) -> bool:
-    try:
-        return stat.S_ISREG(os.stat(path).st_mode)
-    except OSError:
-        return False
-
-
-def _inode(path: str) -> tuple[int, int]:
-    st = os.stat(path)
-    return (st.st_dev, st.st_ino)
-
-
-def _subdirs(folder: str, ancestors: frozenset):
-    """Child folders to enter: not pruned by name, not a link back to an ancestor (F1, F2)."""
-    for name in sorted(os.listdir(folder)):
-        full = os.path.join(folder, name)
-        if name in PRUNED_DIRS or not _is_dir(full):
-            continue
-        if _inode(full) in ancestors:
-            continue
-        yield name, full
-
-
-class _TreeReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.root = options["path"]
-        wanted = options.get("sources")
-        self.sources = json.loads(wanted) if wanted else None
-        self.max_splits = int(options.get("maxSplits", "64"))
-        self.split_depth = max(1, int(options.get("splitDepth", "2")))
-        self.target_units = int(options.get("targetUnits", str(4 * self.max_splits)))
-        self.max_depth = max(self.split_depth, int(options.get("maxSplitDepth", "12")))
-
-    def partitions(self):
-        """Units from the top folder levels (folders only; files are listed by tasks).
-
-        The driver descends at least ``splitDepth`` levels, and further, level
-        by level, while fewer than ``targetUnits`` subtrees are open (up to
-        ``maxSplitDepth``): a tree whose files hang below one long chain of
-        folders is split where it branches, not at its top.
-        """
-        units = []
-        sources = self.sources
-        if sources is None:
-            sources = sorted(e for e in os.listdir(self.root) if _is_dir(os.path.join(self.root, e)))
-        frontier = []
-        for src in sources:
-            base = os.path.join(self.root, src)
-            if _is_dir(base):
-                frontier.append((src, (), base, frozenset([_inode(base)])))
-        depth = 0
-        while frontier and (
-            depth < self.split_depth or (len(frontier) < self.target_units and depth < self.max_depth)
-        ):
-            nxt = []
-            for src, parts, folder, anc in frontier:
-                units.append(_Unit(self.root, src, parts, False, anc))
-                for name, full in _subdirs(folder, anc):
-                    nxt.append((src, parts + (name,), full, anc | {_inode(full)}))
-            frontier = nxt
-            depth += 1
-        units.extend(_Unit(self.root, src, parts, True, anc) for src, parts, _, anc in frontier)
-        n = max(1, min(self.max_splits, len(units)))
-        return [_Split(units[i::n]) for i in range(n)]
-
-    def read(self, split: _Split):
-        for unit in split.units:
-            yield from self._read_unit(unit)
-
-    def _read_unit(self, unit: _Unit):
-        import datetime
-
-        top = os.path.join(unit.root, unit.source_dir, *unit.parts)
-
-        def row(rel_parts, full):
-            st = os.stat(full)
-            return (
-                unit.source_dir,
-                "/".join(_lossy(p) for p in rel_parts),
-                int(st.st_size),
-                datetime.datetime.fromtimestamp(st.st_mtime, tz=datetime.timezone.utc),
-                bytearray(os.fsencode(full)),
-            )
-
-        stack = [(top, list(unit.parts), unit.ancestors)]
-        while stack:
-            folder, parts, anc = stack.pop()
-            for name in sorted(os.listdir(folder)):
-                full = os.path.join(folder, name)
-                if _is_file(full):
-                    yield row(parts + [name], full)
-            if unit.deep:
-                for name, full in _subdirs(folder, anc):
-                    stack.append((full, parts + [name], anc | {_inode(full)}))
-
-
-class TreeScan(DataSource):
-    @classmethod
-    def name(cls):
-        return "treescan"
-
-    def schema(self):
-        return LISTING_SCHEMA
-
-    def reader(self, schema):
-        return _TreeReader(self.options)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(TreeScan)
-
-
-def list_tree(
-    spark: SparkSession, root: str, sources: list[str] | None = None, split_depth: int = 2
-) -> DataFrame:
-    register(spark)
-    splits = 2 * spark.sparkContext.defaultParallelism
-    reader = (
-        spark.read.format("treescan")
-        .option("path", root)
-        .option("maxSplits", str(splits))
-        .option("splitDepth", str(split_depth))
-    )
-    if sources is not None:
-        reader = reader.option("sources", json.dumps(sources))
-    return reader.load()
-
 
-def _content_reader(budget: int):
-    """mapInPandas body: read each listed file whole, yielding batches of at most ``budget`` bytes.
-
-    Spark bounds the batches coming in; the batches going out are bounded
-    here, so a run of large files never builds one oversized Arrow batch.
-    """
-
-    def read(batches):
-        for pdf in batches:
-            meta = pdf.drop(columns=["path"])
+    def join(self, folder: str, name: str) -> str:
+        return os.path.join(folder, name)
+
+    def names(self, folder: str) -> list[tuple[str, str]]:
+        """(name, kind) of a folder's entries, without a stat: a link's kind is unknown."""
+        with os.scandir(folder) as entries:
+            kinds = [(e.name, _UNKNOWN if e.is_symlink() else _FOLDER if e.is_dir(follow_symlinks=False) else _FILE if e.is_file(follow_symlinks=False) else _UNKNOWN) for e in entries]
+        return sorted(kinds)
+
+    def identity(self, folder: str) -> str | None:
+        st = os.stat(folder)
+        return f"{st.st_dev}:{st.st_ino}"
+
+    def info(self, path: str) -> tuple[str, int, int]:
+        """(kind, bytes, modified in microseconds), links followed; the kind is empty for anything else or gone."""
+        try:
+            st = os.stat(path)
+        except OSError:
+            return "", 0, 0
+        kind = _FILE if stat.S_ISREG(st.st_mode) else _FOLDER if stat.S_ISDIR(st.st_mode) else ""
+        return kind, st.st_size, st.st_mtime_ns // 1000
+
+    def read(self, path: str) -> bytes:
+        with open(path, "rb") as fh:
+            return fh.read()
+
+
+class ArrowTree:
+    """A folder of a ``pyarrow.fs`` file system, an object store for one (which has no links)."""
+
+    def __init__(self, fs: pafs.FileSystem, root: str = ""):
+        self.fs, self.root = fs, root.rstrip("/")
+
+    def join(self, folder: str, name: str) -> str:
+        return f"{folder}/{name}" if folder else name
+
+    def names(self, folder: str) -> list[tuple[str, str]]:
+        kinds = {pafs.FileType.Directory: _FOLDER, pafs.FileType.File: _FILE}
+        return sorted((i.base_name, kinds[i.type]) for i in self.fs.get_file_info(pafs.FileSelector(folder)) if i.type in kinds)
+
+    def identity(self, folder: str) -> str | None:
+        return None
+
+    def info(self, path: str) -> tuple[str, int, int]:
+        i = self.fs.get_file_info(path)
+        if i.type == pafs.FileType.File:
+            return _FILE, i.size, (i.mtime_ns or 0) // 1000
+        return (_FOLDER if i.type == pafs.FileType.Directory else ""), 0, 0
+
+    def read(self, path: str) -> bytes:
+        with self.fs.open_input_stream(path) as fh:
+            return fh.read()
+
+
+def tree_of(root: str | pafs.FileSystem) -> PosixTree | ArrowTree:
+    if isinstance(root, pafs.FileSystem):
+        return ArrowTree(root)
+    if "://" in root and not root.startswith("file:"):
+        return ArrowTree(*pafs.FileSystem.from_uri(root))
+    return PosixTree(_posix_root(root))
+
+
+def has_folder(root: str | pafs.FileSystem, source_dir: str) -> bool:
+    """Whether a snapshot of this source is there."""
+    tree = tree_of(root)
+    return tree.info(tree.join(tree.root, source_dir))[0] == _FOLDER
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.list_(pa.string())]
+    cols = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
+    return pa.RecordBatch.from_arrays(cols, ["kind", "source_dir", "rel_path", "path", "above"])
+
+
+def _walker(tree: PosixTree | ArrowTree, budget: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Frontier folders -> names below them, and the folders left for the next round."""
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for batch in batches:
+            for source, rel, path, above in zip(*(batch.column(c).to_pylist() for c in ("source_dir", "rel_path", "path", "above")), strict=True):
+                seen, todo = 0, deque([(rel, os.fsdecode(path), above)])
+                while todo:
+                    rel, folder, above = todo.popleft()
+                    if seen >= budget:
+                        out.append((_FOLDER, source, rel, os.fsencode(folder), above))
+                        continue
+                    own = tree.identity(folder)
+                    if own in above:  # a link back to a folder above
+                        continue
+                    below = above if own is None else [*above, own]
+                    for name, kind in tree.names(folder):
+                        seen += 1
+                        at, full = f"{rel}/{_lossy(name)}" if rel else _lossy(name), tree.join(folder, name)
+                        if kind == _FOLDER:
+                            if name not in PRUNED_DIRS:
+                                todo.append((at, full, below))
+                        else:
+                            out.append((kind, source, at, os.fsencode(full), below if kind == _UNKNOWN else None))
+                        if len(out) >= 4096:
+                            yield _batch(out)
+                            out = []
+        if out:
+            yield _batch(out)
+
+    return walk
+
+
+def _resolver(tree: PosixTree | ArrowTree) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Entries of unknown kind -> what they lead to."""
+
+    def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in zip(*(batch.column(c).to_pylist() for c in batch.schema.names), strict=True):
+                kind = tree.info(os.fsdecode(row[3]))[0]
+                if kind == _FILE or (kind == _FOLDER and row[2].rpartition("/")[2] not in PRUNED_DIRS):
+                    rows.append((kind, *row[1:]))
+            if rows:
+                yield _batch(rows)
+
+    return resolve
+
+
+def _statter(tree: PosixTree | ArrowTree) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Names of files -> listing rows; what is no regular file (any more) is left out."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            infos = [tree.info(os.fsdecode(p)) for p in batch.column("path").to_pylist()]
+            keep = [i for i, x in enumerate(infos) if x[0] == _FILE]
+            source, rel, path = (batch.column(c).take(pa.array(keep, pa.int64())) for c in ("source_dir", "rel_path", "path"))
+            cols = [source, rel, pa.array([infos[i][1] for i in keep], pa.int64()), pa.array([infos[i][2] for i in keep], pa.timestamp("us", "UTC")), path]
+            yield pa.RecordBatch.from_arrays(cols, ["source_dir", "rel_path", "length", "modified", "path"])
+
+    return look
+
+
+def _tasks(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def list_tree(spark: SparkSession, root: str | pafs.FileSystem, sources: list[str] | None = None, budget: int = BUDGET) -> DataFrame:
+    """Landed listing (:data:`LISTING_SCHEMA`) of the files below ``root``, of the given source folders or of all."""
+    tree, n = tree_of(root), _tasks(spark)
+    if sources is None:
+        sources = [name for name, kind in tree.names(tree.root) if kind != _FILE]
+    tops = [(s, tree.join(tree.root, s)) for s in sources]
+    tops = [("", s, "", bytearray(os.fsencode(p)), []) for s, p in tops if tree.info(p)[0] == _FOLDER]
+    frontier = spark.createDataFrame(tops, _FOUND)
+    written: list[str] = []
+
+    def step(rows: DataFrame, work: Callable) -> dict[str, int]:
+        """One job over evenly dealt rows; counts of what it found."""
+        path = staging_path(spark, "tree-round")
+        rows.repartition(n, F.xxhash64("path")).mapInArrow(work, _FOUND).write.parquet(path)
+        written.append(path)
+        done = spark.read.schema(_FOUND).parquet(path)
+        return {r["kind"]: r["n"] for r in done.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+
+    left = len(tops)
+    while left:
+        found = step(frontier, _walker(tree, budget))
+        latest, left = written[-1:], found.get(_FOLDER, 0)
+        if found.get(_UNKNOWN):
+            entries = spark.read.schema(_FOUND).parquet(*latest).where(F.col("kind") == _UNKNOWN)
+            left += step(entries, _resolver(tree)).get(_FOLDER, 0)
+            latest = written[-2:]
+        frontier = spark.read.schema(_FOUND).parquet(*latest).where(F.col("kind") == _FOLDER)
+    if not written:
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    files = spark.read.schema(_FOUND).parquet(*written).where(F.col("kind") == _FILE).select("source_dir", "rel_path", "path")
+    return land(files.repartition(n, F.xxhash64("path")).mapInArrow(_statter(tree), LISTING_SCHEMA), "tree-listing")
+
+
+def _content_reader(tree: PosixTree | ArrowTree, budget: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Reads each listed file whole, yielding batches of at most ``budget`` bytes (one file at least)."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = batch.select(["source_dir", "rel_path", "length", "modified"])
             start, size, data = 0, 0, []
-            for i, p in enumerate(pdf["path"]):
-                with open(bytes(p), "rb") as fh:  # an unreadable file fails the job, as in the reference
-                    blob = fh.read()
-                data.append(blob)
-                size += len(blob)
-                if size >= budget:
-                    out = meta.iloc[start : i + 1].copy()
-                    out["content"] = pd.Series(data, dtype=object, index=out.index)
-                    yield out
+            for i, path in enumerate(batch.column("path").to_pylist()):
+                data.append(tree.read(os.fsdecode(path)))  # an unreadable file fails the job, as in the reference
+                size += len(data[-1])
+                if size >= budget or i + 1 == batch.num_rows:
+                    part = keep.slice(start, len(data))
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(data, pa.binary())], [*part.schema.names, "content"])
                     start, size, data = i + 1, 0, []
-            if data:
-                out = meta.iloc[start:].copy()
-                out["content"] = pd.Series(data, dtype=object, index=out.index)
-                yield out
 
     return read
 
 
-def read_tree(
+def tree_files(
     spark: SparkSession,
-    root: str,
+    root: str | pafs.FileSystem,
     sources: list[str] | None = None,
-    with_content: bool = True,
-    num_partitions: int | None = None,
-    split_depth: int = 2,
     max_file_bytes: int | None = None,
-) -> DataFrame:
-    """``files`` rows (+ ``modified``) of every snapshot under ``root``.
+    budget: int = BUDGET,
+) -> tuple[DataFrame, DataFrame]:
+    """``files`` rows (+ ``modified``) of every snapshot under ``root``, and rejects.
 
-    With ``max_file_bytes``, larger files are not read; :func:`oversized_files`
-    reports them as ``file_too_large`` rejects.
+    One file is one row; files larger than ``max_file_bytes`` aren't read but
+    come as ``file_too_large`` rejects.
     """
-    listing = list_tree(spark, root, sources, split_depth)
-    if not with_content:
-        return listing.drop("path")
+    listing = list_tree(spark, root, sources, budget)
+    rejects = spark.createDataFrame([], REJECTS)
     if max_file_bytes is not None:
-        listing = listing.where(F.col("length") <= max_file_bytes)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    budget = _bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m"))
+        large = F.col("length") > max_file_bytes
+        detail = F.concat(F.lit("bytes="), F.col("length").cast("string"))
+        rejects = listing.where(large).select("source_dir", "rel_path", F.lit("file_too_large").alias("reason"), detail.alias("detail"))
+        listing = listing.where(~large)
+    limit = _bytes(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "64m"))
     schema = "source_dir string, rel_path string, length bigint, modified timestamp, content binary"
-    return listing.repartition(n, "source_dir", "rel_path").mapInPandas(_content_reader(budget), schema)
+    dealt = listing.repartition(_tasks(spark), "source_dir", "rel_path")
+    return dealt.mapInArrow(_content_reader(tree_of(root), limit), schema), rejects
 
 
-def oversized_files(
-    spark: SparkSession, root: str, max_file_bytes: int, sources: list[str] | None = None
+def read_tree(
+    spark: SparkSession,
+    root: str | pafs.FileSystem,
+    sources: list[str] | None = None,
+    with_content: bool = True,
+    budget: int = BUDGET,
 ) -> DataFrame:
-    """Reject rows for the files :func:`read_tree` skips under ``max_file_bytes``."""
-    return list_tree(spark, root, sources).where(F.col("length") > max_file_bytes).select(
-        "source_dir",
-        "rel_path",
-        F.lit("file_too_large").alias("reason"),
-        F.concat(F.lit("bytes="), F.col("length").cast("string")).alias("detail"),
-    )
+    """``files`` rows (+ ``modified``) of every snapshot under ``root``, of any size."""
+    if not with_content:
+        return list_tree(spark, root, sources, budget).drop("path")
+    return tree_files(spark, root, sources, budget=budget)[0]
 
 
 def _bytes(text: str) -> int:
@@ -279,8 +307,6 @@ def land_tree(files: DataFrame, order: str = "doc_id") -> str:
 
     Equal paths keep the row with the largest ``order`` value (last write wins).
     """
-    from quire.session import staging_path
-
     spark = files.sparkSession
     root = _posix_root(staging_path(spark, "tree"))
     rows = files.groupBy("source_dir", "rel_path").agg(
