@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.sizing import bounded_broadcast
+from quire.operators.stage import materialize
+
 
 def items_per_source(bucket_sources: DataFrame, bucket_items: DataFrame) -> DataFrame:
     """A1 + J3: source_id, source_name, n_items (0 for an empty source)."""
-    from quire.operators.sizing import bounded_broadcast
-    from quire.operators.stage import materialize
-
     # One row per source that has items: landed once, then broadcast behind the bound.
     counts = materialize(
         bucket_items.groupBy("external_source_id").agg(F.count(F.lit(1)).alias("n_items")), "counts"
@@ -46,31 +46,36 @@ def report_rows(bucket_sources: DataFrame, bucket_items: DataFrame) -> DataFrame
         "source_id", "source_name", F.lit(None).cast("long").alias("item_id"),
         F.lit(None).cast("string").alias("item_name"),
     )
-    from quire.operators.sizing import bounded_broadcast
-
     full = items.join(bounded_broadcast(names), "source_id").select(
         "source_id", "source_name", "item_id", "item_name"
     )
     return full.unionByName(empty)
 
 
-def sync_report(bucket_sources: DataFrame, bucket_items: DataFrame, part_items: int | None = None) -> DataFrame:
+#: Items in one row of the nested report.
+PART_ITEMS = 10_000
+
+
+def sync_report(bucket_sources: DataFrame, bucket_items: DataFrame, part_items: int = PART_ITEMS) -> DataFrame:
     """Nested report (A2): source_id, source_name, part, items[item_id, item_name] sorted by id.
 
-    One row for each source; an empty source has an empty list.  Where a
-    source's list may be too large for a row, ``part_items`` cuts it: parts
-    count from 0 within the source, by the distance from its first item's id
-    (a source's ids are consecutive).
+    A source has one row for every ``part_items`` ids from its first item's on,
+    counted from 0 (rows without items are left out); an empty source has one
+    row with an empty list.  Lists are gathered by (source, part), so no task
+    gathers a source, whatever its share of the items.
     """
-    rows = report_rows(bucket_sources, bucket_items)
-    has_item = F.col("item_id").isNotNull()
-    part = F.lit(0).cast("long")
-    if part_items is not None:
-        first = bucket_items.groupBy(F.col("external_source_id").cast("long").alias("source_id")).agg(F.min("external_item_id").alias("first_id"))
-        rows = rows.join(first, "source_id", "left")
-        part = F.when(has_item, F.floor((F.col("item_id") - F.col("first_id")) / part_items)).otherwise(F.lit(0)).cast("long")
-    entry = F.when(has_item, F.struct(F.col("item_id"), F.col("item_name")))
-    return (
-        rows.groupBy("source_id", "source_name", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(entry)).alias("items"))
+    counts = items_per_source(bucket_sources, bucket_items)
+    sid = F.col("external_source_id").cast("long").alias("source_id")
+    first = materialize(bucket_items.groupBy(sid).agg(F.min("external_item_id").alias("first_id")), "first-ids")
+    rows = bucket_items.select(sid, F.col("external_item_id").alias("item_id"), F.col("url").alias("item_name"))
+    part = F.floor((F.col("item_id") - F.col("first_id")) / part_items).cast("long").alias("part")
+    lists = (
+        rows.join(bounded_broadcast(first), "source_id")
+        .groupBy("source_id", part)
+        .agg(F.sort_array(F.collect_list(F.struct("item_id", "item_name"))).alias("items"))
     )
+    named = counts.select("source_id", "source_name")
+    full = lists.join(bounded_broadcast(named), "source_id").select("source_id", "source_name", "part", "items")
+    none = F.array().cast(lists.schema["items"].dataType).alias("items")
+    empty = counts.where("n_items = 0").select("source_id", "source_name", F.lit(0).cast("long").alias("part"), none)
+    return full.unionByName(empty)

@@ -8,7 +8,7 @@ candidate that fits, and ids are global ``row_number`` windows.
 from __future__ import annotations
 
 from quire.functions.pdf import PDF_STUB
-from quire.plans.queries import BUCKET_ID, OTHER_BUCKET_ID, PAGE_CAP, WIKI_BATCH
+from quire.plans.queries import BUCKET_ID, OTHER_BUCKET_ID, PAGE_CAP, REPORT_PART, WIKI_BATCH
 
 NL = "chr(10)"
 
@@ -325,6 +325,17 @@ SELECT CAST(s.source_id AS BIGINT) AS source_id, s.source_name, CAST(l.item_id A
        l.filename AS item_name
 FROM srcs s LEFT JOIN loaded l ON l.source_id = s.source_id"""
 
+ORACLE["sync_report_nested"] = w(DOC_FILES, DOC_CAT, DOC_ITEMS, LOADED) + f""",
+firsts AS (SELECT source_id, min(item_id) AS first_id FROM loaded GROUP BY source_id),
+parts AS (
+  SELECT l.source_id, (l.item_id - f.first_id) // {REPORT_PART} AS part,
+         list({{'item_id': CAST(l.item_id AS BIGINT), 'item_name': l.filename}} ORDER BY l.item_id) AS items
+  FROM loaded l JOIN firsts f USING (source_id) GROUP BY ALL
+)
+SELECT CAST(s.source_id AS BIGINT) AS source_id, s.source_name, CAST(coalesce(p.part, 0) AS BIGINT) AS part,
+       CAST(to_json(coalesce(p.items, [])) AS VARCHAR) AS items
+FROM srcs s LEFT JOIN parts p ON p.source_id = s.source_id"""
+
 MIXED_CAT = f"""
 mixed_cat AS (
   SELECT *, row_number() OVER (ORDER BY source_dir) AS pos FROM (
@@ -375,6 +386,42 @@ SELECT coalesce(p.source_dir, c.source_dir) AS source_dir, coalesce(p.rel_path,
             WHEN p.h <> c.h THEN 'changed' ELSE 'unchanged' END AS change
 FROM prev p FULL OUTER JOIN cur c ON p.source_dir = c.source_dir AND p.rel_path = c.rel_path"""
 
+PREV_FILES = PREV_DOCS + f""",
+prev_files AS (
+  SELECT {GIT_DIR.format(s='source')} AS source_dir,
+         CASE doc_id % 11 WHEN 0 THEN '.git/' WHEN 1 THEN 'a/target/' WHEN 2 THEN 'targets/'
+                          WHEN 3 THEN '.github/' ELSE 'src/' END
+         || repeat('seg' || CAST(doc_id % 7 AS VARCHAR) || '/', CAST(doc_id % 60 AS INTEGER))
+         || CASE WHEN doc_id % 13 = 0 THEN 'target' ELSE 'doc_' || CAST(doc_id AS VARCHAR) || '.txt' END AS rel_path,
+         text AS content, CAST(strlen(text) AS BIGINT) AS length, doc_id
+  FROM prev_docs
+  UNION ALL
+  SELECT DISTINCT {GIT_DIR.format(s='source')}, 'CHANGELOG.md', 'changes of ' || source, 0, NULL FROM documents
+)"""
+
+ORACLE["incremental_ids"] = w(DOC_FILES, DOC_CAT, DOC_ITEMS, PREV_FILES, flat_items_cte("prev_files", "doc_cat", "prev_items")) + """,
+ids AS (SELECT pos, source_dir, row_number() OVER (ORDER BY pos) AS source_id FROM doc_cat WHERE type = 'git'),
+before AS (
+  SELECT s.source_id, i.rel_path, sha256(i.content) AS h,
+         row_number() OVER (ORDER BY s.source_id, i.filename, i.rel_path, sha256(i.content)) AS item_id
+  FROM prev_items i JOIN ids s USING (pos)
+),
+before_nth AS (SELECT *, row_number() OVER (PARTITION BY source_id, rel_path, h ORDER BY item_id) AS nth FROM before),
+now AS (
+  SELECT s.source_id, s.source_dir, i.filename, i.rel_path, sha256(i.content) AS h,
+         row_number() OVER (PARTITION BY s.source_id, i.rel_path, sha256(i.content) ORDER BY i.doc_id) AS nth
+  FROM doc_items i JOIN ids s USING (pos)
+),
+met AS (SELECT n.*, b.item_id FROM now n LEFT JOIN before_nth b USING (source_id, rel_path, h, nth)),
+fresh AS (
+  SELECT *, row_number() OVER (ORDER BY source_id, filename, rel_path, h) + (SELECT count(*) FROM before) AS new_id
+  FROM met WHERE item_id IS NULL
+)
+SELECT CAST(source_id AS BIGINT) AS external_source_id, CAST(item_id AS BIGINT) AS external_item_id, source_dir, rel_path, h AS content_hash
+FROM met WHERE item_id IS NOT NULL
+UNION ALL
+SELECT CAST(source_id AS BIGINT), CAST(new_id AS BIGINT), source_dir, rel_path, h FROM fresh"""
+
 ORACLE["checksum_audit"] = w(DOC_FILES, DOC_CAT, DOC_ITEMS, LOADED) + """
 SELECT CAST(l.source_id AS BIGINT) AS external_source_id, CAST(l.item_id AS BIGINT) AS external_item_id,
        l.filename AS url, coalesce(b.quality, 1) <> 0 AS ok

@@ -23,18 +23,21 @@ from quire.functions.naming import (
 from quire.functions.naming import READMETOPDF_KINDS, FLATTEN_KINDS
 from quire.functions.text import html_to_markdown, lossy_utf8
 from quire.operators import audit, bucket, process, report, wiki
-from quire.plans import derive, sync
-from quire.sources import landed, snapshot, treescan
 from quire.operators.sizing import bounded_broadcast
 from quire.operators.stage import land
+from quire.operators.store import TableStore
+from quire.plans import derive, sync
 from quire.plans.derive import table
 from quire.session import staging_path
+from quire.sources import landed, snapshot, treescan
+from quire.streaming import incremental
 
 # Query parameters (mirrored in the SQL).
 BUCKET_ID = 7
 OTHER_BUCKET_ID = 8
 WIKI_BATCH = 2
 PAGE_CAP = 3
+REPORT_PART = 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -210,27 +213,27 @@ def q_state_gate(spark, sf) -> DataFrame:
     return bucket.gate_violations(loaded).select("external_item_id", "url", "processing_state")
 
 
-def _two_buckets(spark, sf):
-    """Documents loaded into bucket 7, page spaces into bucket 8 (ids after bucket 7's)."""
+def _two_buckets(spark, sf) -> TableStore:
+    """Documents' sources stored in bucket 7, page spaces in bucket 8 (ids after bucket 7's)."""
     _, _, manifest = _doc_inputs(spark, sf)
-    srcs = bucket.load_sources(manifest, BUCKET_ID)
-    pages = table(spark, sf, "pages")
-    pcat = derive.page_catalogue(pages)
-    n_doc_sources = srcs.count()
-    psrcs = bucket.load_sources(derive.manifest_of(pcat), OTHER_BUCKET_ID, id_base=n_doc_sources)
-    return bucket.source_table(srcs).unionByName(bucket.source_table(psrcs))
+    pages = derive.manifest_of(derive.page_catalogue(table(spark, sf, "pages")))
+    store = _scratch_store(spark)
+    no_items = spark.createDataFrame([], schemas.STORED_ITEMS)
+    for bucket_id, own in ((BUCKET_ID, manifest), (OTHER_BUCKET_ID, pages)):
+        base, last_item = store.last_ids()
+        srcs = bucket.load_sources(own, bucket_id, id_base=base)
+        store.replace(bucket_id, srcs.drop("pos"), no_items, (base + srcs.count(), last_item))
+    return store
 
 
 def q_bucket_list(spark, sf) -> DataFrame:
-    return bucket.list_sources(_two_buckets(spark, sf), OTHER_BUCKET_ID).select(
-        "bucket_id", "external_source_id", "external_source_name"
-    )
+    listed = _two_buckets(spark, sf).sources(OTHER_BUCKET_ID)
+    return listed.select("bucket_id", "external_source_id", "external_source_name")
 
 
 def q_bucket_get(spark, sf) -> DataFrame:
-    return bucket.get_source(_two_buckets(spark, sf), 3).select(
-        "bucket_id", "external_source_id", "external_source_name"
-    )
+    found = _two_buckets(spark, sf).source(BUCKET_ID, 3)
+    return found.select("bucket_id", "external_source_id", "external_source_name")
 
 
 def q_bucket_delete_source(spark, sf) -> DataFrame:
@@ -252,38 +255,33 @@ def q_bucket_delete_item(spark, sf) -> DataFrame:
     return kept.select("external_source_id", "external_item_id", "url", "content_hash")
 
 
-class _ScratchTables:
-    """Tables under the checkpoint folder, for queries that run the table sinks."""
-
-    def __init__(self, spark):
-        self.spark, self.made = spark, []
-
-    def create(self, schema: str, partition: str, name: str | None = None) -> str:
-        name, path = name or f"quire_{uuid.uuid4().hex}", staging_path(self.spark, "table")
-        self.spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet PARTITIONED BY ({partition}) LOCATION '{path}'")
-        self.made.append((name, schema, path))
-        return name
-
-    def close(self) -> list[DataFrame]:
-        """Drop the tables and return their rows, which stay until the staging folders are cleaned."""
-        out = []
-        for name, schema, path in self.made:
-            self.spark.sql(f"DROP TABLE {name}")
-            out.append(self.spark.read.schema(schema).parquet(path))
-        return out
+def _scratch_store(spark) -> TableStore:
+    """A store under the checkpoint folder, in tables of its own, which go with the session."""
+    tag = uuid.uuid4().hex
+    store = TableStore(spark, f"quire_sources_{tag}", f"quire_items_{tag}")
+    store.ensure(staging_path(spark, "bucket"))
+    return store
 
 
 def q_refresh_replace(spark, sf) -> DataFrame:
     """Buckets 7 and 8 filled by the full refresh, then 7 again with READMEs alone: the item table afterwards."""
     _, files, manifest = _doc_inputs(spark, sf)
-    tables = _ScratchTables(spark)
-    sources = tables.create(schemas.BUCKET_SOURCES, "bucket_id")
-    items = tables.create(schemas.BUCKET_ITEMS, "bucket_id")
-    tables.create(schemas.BUCKET_FOLDERS, "bucket_id", sync.folders_table(sources))
+    store = _scratch_store(spark)
     for bucket_id, kind in ((BUCKET_ID, "FlattenFiles"), (OTHER_BUCKET_ID, "FlattenFiles"), (BUCKET_ID, "ReadmeToPDF")):
         # Repositories without a README are rejects of the last refresh.
-        sync.synchronise(spark, files, manifest, bucket_id, kind, sources, items, strict=False)
-    return tables.close()[1].select("bucket_id", "external_source_id", "external_item_id", "url", "content_hash")
+        sync.synchronise(spark, files, manifest, bucket_id, kind, strict=False, store=store)
+    both = store.items(BUCKET_ID).unionByName(store.items(OTHER_BUCKET_ID))
+    return both.select("bucket_id", "external_source_id", "external_item_id", "url", "content_hash")
+
+
+def q_incremental_ids(spark, sf) -> DataFrame:
+    """The previous snapshots loaded, then the current ones by the incremental refresh: every item and its id."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    manifest = derive.manifest_of(derive.doc_catalogue(docs))
+    store = _scratch_store(spark)
+    for files in (derive.previous_doc_files(docs, labels), derive.doc_files(docs)):
+        incremental.refresh_sources(spark, files, manifest, BUCKET_ID, "", "", store=store)
+    return store.stored_items(BUCKET_ID).select("external_source_id", "external_item_id", "source_dir", "rel_path", "content_hash")
 
 
 def q_items_per_source(spark, sf) -> DataFrame:
@@ -299,6 +297,14 @@ def q_sync_report(spark, sf) -> DataFrame:
     return report.report_rows(bucket.source_table(srcs), loaded)
 
 
+def q_sync_report_nested(spark, sf) -> DataFrame:
+    """The nested report in parts of REPORT_PART ids; lists as JSON, which any client compares alike."""
+    _, items, srcs = _doc_load(spark, sf)
+    loaded = land(bucket.load_items(items, srcs, with_content=False), "bucket")
+    nested = report.sync_report(bucket.source_table(srcs), loaded, part_items=REPORT_PART)
+    return nested.select("source_id", "source_name", "part", F.to_json("items").alias("items"))
+
+
 def q_mixed_sources(spark, sf) -> DataFrame:
     docs = table(spark, sf, "documents")
     pages = table(spark, sf, "pages")
@@ -330,11 +336,11 @@ def q_snapshot_replace(spark, sf) -> DataFrame:
     # Re-snapshot the repositories holding a document labelled both low-quality and toxic.
     flagged = labels.where((F.col("toxic") == 1) & (F.col("quality") == 0)).select("doc_id")
     refreshed = current.join(flagged, "doc_id", "left_semi").select("source_dir").distinct()
-    tables = _ScratchTables(spark)
-    snapshots = tables.create(schemas.FILES, "source_dir")
-    snapshot.replace_snapshots(spark, snapshots, previous, previous.select("source_dir").distinct())
-    snapshot.replace_snapshots(spark, snapshots, current.drop("doc_id"), refreshed)
-    result = tables.close()[0]
+    name, path = f"quire_{uuid.uuid4().hex}", staging_path(spark, "table")
+    snapshot.ensure_snapshot_table(spark, name, path)
+    snapshot.replace_snapshots(spark, name, previous, previous.select("source_dir").distinct())
+    snapshot.replace_snapshots(spark, name, current.drop("doc_id"), refreshed)
+    result = snapshot.read_snapshots(spark, name)
     return result.select("source_dir", "rel_path", F.sha2(F.col("content"), 256).alias("content_hash"))
 
 
@@ -402,6 +408,8 @@ QUERIES: dict[str, Query] = {
     "refresh_replace": q_refresh_replace,
     "items_per_source": q_items_per_source,
     "sync_report": q_sync_report,
+    "sync_report_nested": q_sync_report_nested,
+    "incremental_ids": q_incremental_ids,
     "mixed_sources": q_mixed_sources,
     "flat_name_collisions": q_flat_name_collisions,
     "snapshot_diff": q_snapshot_diff,

@@ -2,16 +2,13 @@
 
 Order differs from the reference on purpose: the reference empties the
 bucket first and stops half way on an error; here items are computed and
-gated first, and only then is the bucket's partition of both tables
-replaced with a static partition overwrite (so an empty load still empties
-exactly that bucket and never touches another one).
+gated first, written as a new generation, and appear by one commit
+(:mod:`quire.operators.store`).  An empty load still empties exactly that
+bucket and never touches another one.
 """
 
 from __future__ import annotations
 
-import os
-
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +16,8 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators import bucket, process, report
+from quire.operators.store import TableStore
 from quire.plans import derive
-from quire.operators.stage import land
 
 
 @dataclass
@@ -31,47 +28,6 @@ class SyncResult:
     n_items: int
 
 
-def folders_table(sources_table: str) -> str:
-    """The table beside ``sources_table`` that holds each source's folder."""
-    return f"{sources_table}_folders"
-
-
-def ensure_bucket_tables(spark: SparkSession, sources_table: str, items_table: str) -> None:
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {sources_table} ({schemas.BUCKET_SOURCES}) USING parquet PARTITIONED BY (bucket_id)"
-    )
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {folders_table(sources_table)} ({schemas.BUCKET_FOLDERS}) USING parquet PARTITIONED BY (bucket_id)"
-    )
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {items_table} ({schemas.BUCKET_ITEMS}) USING parquet PARTITIONED BY (bucket_id)"
-    )
-
-
-def _overwrite_bucket(spark: SparkSession, table: str, df: DataFrame, bucket_id: int, label: str | None = None) -> None:
-    """Replace one bucket partition with ``df`` (static overwrite).
-
-    With ``label`` the rows are staged first, which breaks the
-    read-and-overwrite cycle when ``df`` was derived from ``table`` itself.
-    """
-    cols = [c for c in spark.table(table).columns if c != "bucket_id"]
-    view = f"quire_stage_{uuid.uuid4().hex}"
-    rows = df.select(*cols)
-    (land(rows, label) if label else rows).createOrReplaceTempView(view)
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION (bucket_id = {int(bucket_id)}) "
-        f"SELECT {', '.join(cols)} FROM {view}"
-    )
-    spark.catalog.dropTempView(view)
-    spark.catalog.refreshTable(table)
-
-
-def _next_id(spark: SparkSession, table: str, col: str) -> int:
-    spark.catalog.refreshTable(table)
-    row = spark.table(table).agg(F.max(col).alias("m")).collect()[0]
-    return int(row["m"] or 0)
-
-
 def synchronise(
     spark: SparkSession,
     files: DataFrame,
@@ -82,29 +38,32 @@ def synchronise(
     items_table: str = "bucket_items",
     strict: bool = True,
     backend_state=None,
+    store: TableStore | None = None,
 ) -> SyncResult:
-    """Gated full refresh of one bucket; returns the nested report and the rejects."""
+    """Gated full refresh of one bucket; returns the nested report and the rejects.
+
+    ``store`` is any object with the methods of
+    :class:`quire.operators.store.TableStore` that are used here.
+    """
     bucket._check_bucket_id(bucket_id)
-    ensure_bucket_tables(spark, sources_table, items_table)
+    store = store or TableStore(spark, sources_table, items_table)
+    store.ensure()
     items, rejects = process.process(files, manifest, kind)
     if strict:
         bad = rejects.limit(1).collect()
         if bad:
             raise RuntimeError(f"processing failed: {bad[0]['reason']} for {bad[0]['source_dir']}")
-    src_base = _next_id(spark, sources_table, "external_source_id")
-    item_base = _next_id(spark, items_table, "external_item_id")
+    src_base, item_base = store.last_ids()
     loaded_sources = bucket.load_sources(manifest, bucket_id, id_base=src_base)
-    loaded_items = bucket.load_items(items, loaded_sources, id_base=item_base, backend_state=backend_state)
-    # Numbering landed the items, so the gate and the write see the same ids.
-    bucket.check_gate(loaded_items)
-    _overwrite_bucket(spark, folders_table(sources_table), bucket.folder_table(loaded_sources), bucket_id)
-    _overwrite_bucket(spark, sources_table, bucket.source_table(loaded_sources), bucket_id)
-    _overwrite_bucket(spark, items_table, loaded_items, bucket_id)
-    srcs = bucket.list_sources(spark.table(sources_table), bucket_id)
-    its = spark.table(items_table).where(F.col("bucket_id") == bucket_id)
+    loaded_items = bucket.load_items(items, loaded_sources, id_base=item_base, backend_state=backend_state, keep=("source_dir", "rel_path"))
+    # Items and ids are landed, so the gate and the write see the same ones.
+    last_item = bucket.check_gate(loaded_items)
+    n_sources = loaded_sources.count()
+    store.replace(bucket_id, loaded_sources.drop("pos"), loaded_items, (src_base + n_sources, max(item_base, last_item)))
+    srcs, its = store.sources(bucket_id), store.items(bucket_id)
     # Report rows follow the configured order (source ids follow ``pos``).
     ordered = report.sync_report(srcs, its).orderBy("source_id", "part")
-    return SyncResult(ordered, rejects, srcs.count(), its.count())
+    return SyncResult(ordered, rejects, n_sources, its.count())
 
 
 def sync_report_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +112,7 @@ def sync_landed(
     parts, rejects = [], []
     dirs = {kind_: [r["source_dir"] for r in man.where(F.col("type") == kind_).select("source_dir").distinct().collect()] for kind_ in catalogue.SOURCE_TYPES}
     git_dirs = dirs["git"]  # configuration-sized list of folders
-    present = [d for d in git_dirs if tree_root is not None and os.path.isdir(os.path.join(tree_root, d))]
+    present = [d for d in git_dirs if tree_root is not None and treescan.has_folder(tree_root, d)]
     if present:
         parts.append(treescan.read_tree(spark, tree_root, sources=present).drop("modified"))
     absent = [d for d in git_dirs if d not in present]

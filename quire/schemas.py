@@ -26,15 +26,19 @@ BUCKET_SOURCES = (
     "updated_by int, updated_datetime string"
 )
 
-# The folder each created source was read from; display names don't tell references apart.
-BUCKET_FOLDERS = "bucket_id int, external_source_id int, source_dir string"
-
 BUCKET_ITEMS = (
     "bucket_id bigint, external_source_id bigint, external_item_id bigint, url string, "
     "content string, content_hash string, processing_state string, state string, "
     "updated_datetime string"
 )
 
+# The stored forms: with the folder (and path) each row was read from, and the partition it lies in.
+STORED_SOURCES = f"{BUCKET_SOURCES}, source_dir string, generation bigint"
+STORED_ITEMS = f"{BUCKET_ITEMS}, source_dir string, rel_path string, slot int, generation bigint"
+
+# One row of a commit: the generation a bucket's sources and each slot of its items lie in, and the last ids given.
+COMMITS = "bucket_id int, version bigint, sources_at bigint, slots array<bigint>, last_source_id bigint, last_item_id bigint"
+
 REPORT = (
     "source_id bigint, source_name string, part bigint, "
     "items array<struct<item_id:bigint,item_name:string>>"

@@ -17,10 +17,9 @@ from quire.session import staging_path
 SNAPSHOT_COLUMNS = ("rel_path", "length", "content", "source_dir")
 
 
-def ensure_snapshot_table(spark: SparkSession, table: str) -> None:
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({schemas.FILES}) USING parquet PARTITIONED BY (source_dir)"
-    )
+def ensure_snapshot_table(spark: SparkSession, table: str, location: str | None = None) -> None:
+    at = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schemas.FILES}) USING parquet PARTITIONED BY (source_dir){at}")
 
 
 def replace_snapshots(spark: SparkSession, table: str, files: DataFrame, refreshed: DataFrame) -> None:
@@ -56,16 +55,3 @@ def read_snapshots(spark: SparkSession, table: str, source_dirs: list[str] | Non
         df = df.where(F.col("source_dir").isin(*source_dirs))
     return df.select("source_dir", "rel_path", "length", "content")
 
-
-def replaced(old_files: DataFrame, new_files: DataFrame, refreshed: DataFrame) -> DataFrame:
-    """Snapshot content after re-snapshotting the ``refreshed`` folders (K1), as a DataFrame.
-
-    Folders being refreshed keep exactly their new files (none if the new
-    snapshot is empty); other folders keep their old files.  ``refreshed`` is
-    configuration-sized and broadcast behind the size check.
-    """
-    from quire.operators.sizing import bounded_broadcast
-
-    folders = bounded_broadcast(refreshed.select("source_dir").distinct())
-    kept = old_files.join(folders, "source_dir", "left_anti")
-    return kept.unionByName(new_files.join(folders, "source_dir", "left_semi"))

@@ -11,20 +11,18 @@ other sources keep their items.
 A micro-batch may see only some files of a commit, so it only tells which
 commits have news; their folders are read whole, and the last micro-batch of a
 commit leaves the bucket with all of it.  Sources are matched by folder: two
-references of one repository share their display name.  Items are written
-before sources, and items of sources that aren't in the source table are
-dropped, so a replay after a crash between the writes ends in the same state.
-Buckets must have been filled by this module or ``plans.sync``, which record
-each source's folder.
-
-Cost note: the bucket's partition is rewritten per micro-batch (staged,
-then a static partition overwrite), i.e. a micro-batch costs what one full
-refresh of that bucket costs.  Trigger sparsely (``availableNow`` or a long
-processing-time interval).
+references of one repository share their display name.  A known folder keeps
+its source id, an unchanged file its item id.
+
+A micro-batch writes the slots of its folders only and appears by one commit
+(:mod:`quire.operators.store`), so a replay after a crash ends in the same
+state.  What can't be loaded comes back as rejects.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -33,7 +31,7 @@ from quire import schemas
 from quire.operators import bucket, process
 from quire.operators.sizing import bounded_broadcast
 from quire.operators.stage import materialize
-from quire.plans.sync import _next_id, _overwrite_bucket, ensure_bucket_tables, folders_table
+from quire.operators.store import TableStore, slot_of
 
 # The folder of a file path.
 _FOLDER = r"^(.*)/[^/]*$"
@@ -47,34 +45,35 @@ def refresh_sources(
     sources_table: str,
     items_table: str,
     kind: str = "FlattenFiles",
-) -> None:
-    """Replace, inside one bucket, the sources whose folders appear in ``files``."""
+    store: TableStore | None = None,
+) -> DataFrame:
+    """Replace, inside one bucket, the sources whose folders appear in ``files``; returns the rejects.
+
+    Folders that the manifest doesn't have are ``unknown_source`` rejects.
+    """
     bucket._check_bucket_id(bucket_id)
-    ensure_bucket_tables(spark, sources_table, items_table)
-    present = files.select("source_dir").distinct()
-    man = manifest.join(present, "source_dir", "left_semi")
-    man = materialize(man, "stream-manifest")
+    store = store or TableStore(spark, sources_table, items_table)
+    store.ensure()
+    present = materialize(files.select("source_dir").distinct(), "stream-folders")
+    man = materialize(manifest.join(present, "source_dir", "left_semi"), "stream-manifest")
+    none = F.lit(None).cast("string")
+    unknown = present.join(man, "source_dir", "left_anti").select("source_dir", none.alias("rel_path"), F.lit("unknown_source").alias("reason"), none.alias("detail"))
     if man.limit(1).count() == 0:
-        return
-    items, _ = process.process(files, man, kind)
-    src_base = _next_id(spark, sources_table, "external_source_id")
-    item_base = _next_id(spark, items_table, "external_item_id")
-    new_sources = bucket.load_sources(man, bucket_id, id_base=src_base)
-    new_items = bucket.load_items(items, new_sources, id_base=item_base)
-    bucket.check_gate(new_items)
-    own = lambda table: spark.table(table).where(F.col("bucket_id") == bucket_id)
-    folders = own(folders_table(sources_table))
-    # Fixed before the first write: the lazy plan would otherwise re-read the rewritten tables.
-    replaced = materialize(folders.join(present, "source_dir", "left_semi").select("external_source_id"), "stream-replaced")
-    kept_sources = materialize(own(sources_table).join(replaced, "external_source_id", "left_anti"), "stream-kept")
-    kept_ids = kept_sources.select("external_source_id")
-    # Folders of the replaced sources stay until the next refresh: while the source table still has them, a replay must find them.
-    known_folders = materialize(folders.join(own(sources_table), "external_source_id", "left_semi"), "stream-folders")
-    # Items of no kept source are replaced ones, or were left by a refresh that stopped before its sources.
-    kept_items = own(items_table).join(bounded_broadcast(kept_ids), "external_source_id", "left_semi")
-    _overwrite_bucket(spark, items_table, kept_items.unionByName(new_items), bucket_id, "s-items")
-    _overwrite_bucket(spark, folders_table(sources_table), known_folders.unionByName(bucket.folder_table(new_sources)), bucket_id, "s-folders")
-    _overwrite_bucket(spark, sources_table, kept_sources.unionByName(bucket.source_table(new_sources)), bucket_id, "s-sources")
+        return unknown
+    known = man.select("source_dir").distinct()
+    items, rejects = process.process(files, man, kind)
+    src_base, item_base = store.last_ids()
+    before = materialize(store.stored_sources(bucket_id).drop("generation"), "stream-sources")
+    ours = before.join(known, "source_dir", "left_semi")
+    sources = bucket.load_sources(man, bucket_id, id_base=src_base, previous=ours)
+    slots = [r["slot"] for r in known.select(slot_of("source_dir").alias("slot")).distinct().collect()]
+    old_items = store.stored_items(bucket_id, slots).join(bounded_broadcast(known), "source_dir", "left_semi")
+    new_items = bucket.load_items(items, sources, id_base=item_base, keep=("source_dir", "rel_path"), previous=old_items)
+    last_item = bucket.check_gate(new_items)
+    whole = before.join(known, "source_dir", "left_anti").unionByName(sources.drop("pos"))
+    last_source = sources.agg(F.max("external_source_id").alias("m")).collect()[0]["m"]
+    store.replace_folders(bucket_id, known, whole, new_items, (max(src_base, last_source), max(item_base, last_item)))
+    return rejects.unionByName(unknown)
 
 
 def refresh_commits(
@@ -85,12 +84,21 @@ def refresh_commits(
     sources_table: str,
     items_table: str,
     kind: str = "FlattenFiles",
-) -> None:
-    """Refresh from whole commit folders; a source in several takes the last."""
+) -> DataFrame:
+    """Refresh from whole commit folders; a source in several takes the last.  Returns the rejects."""
     rows = spark.read.schema(schemas.FILES).parquet(*commits).withColumn("_commit", F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1))
     last = materialize(rows.groupBy("source_dir").agg(F.max("_commit").alias("_commit")), "stream-commits")
     files = rows.join(bounded_broadcast(last), ["source_dir", "_commit"], "left_semi").drop("_commit")
-    refresh_sources(spark, files, manifest, bucket_id, sources_table, items_table, kind)
+    return refresh_sources(spark, files, manifest, bucket_id, sources_table, items_table, kind)
+
+
+def _keep_rejects(spark: SparkSession, table: str, rejects: DataFrame, batch_id: int) -> None:
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({schemas.REJECTS}, batch_id bigint) USING parquet PARTITIONED BY (batch_id)")
+    names = ", ".join(c for c in spark.table(table).columns if c != "batch_id")
+    view = f"rejects_{uuid.uuid4().hex}"
+    rejects.createOrReplaceTempView(view)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch_id = {int(batch_id)}) SELECT {names} FROM {view}")
+    spark.catalog.dropTempView(view)
 
 
 def start(
@@ -104,15 +112,23 @@ def start(
     kind: str = "FlattenFiles",
     available_now: bool = False,
     interval: str = "10 minutes",
+    rejects_table: str | None = None,
 ) -> StreamingQuery:
-    """Start the incremental sync over the commit folders that ``landing_dir`` (a glob) matches."""
+    """Start the incremental sync over the commit folders that ``landing_dir`` (a glob) matches.
+
+    With ``rejects_table`` the rejects of each micro-batch are kept there, in
+    a partition of its own that a replay replaces.
+    """
     stream = spark.readStream.schema(schemas.FILES).parquet(landing_dir)
     stream = stream.select(F.regexp_extract(F.col("_metadata.file_path"), _FOLDER, 1).alias("commit"))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         commits = [r["commit"] for r in batch.distinct().collect()]  # folder names, as many as the trigger took
-        if commits:
-            refresh_commits(batch.sparkSession, commits, manifest, bucket_id, sources_table, items_table, kind)
+        if not commits:
+            return
+        rejects = refresh_commits(batch.sparkSession, commits, manifest, bucket_id, sources_table, items_table, kind)
+        if rejects_table is not None:
+            _keep_rejects(rejects.sparkSession, rejects_table, rejects, batch_id)
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators import bucket, report
+from quire.operators.store import TableStore
 from quire.plans import sync
 from tests.test_process import files_df, manifest_df
 
@@ -12,12 +13,18 @@ from tests.test_process import files_df, manifest_df
 @pytest.fixture()
 def tables(spark, tmp_path):
     tag = uuid.uuid4().hex[:8]
-    s, i = f"bs_{tag}", f"bi_{tag}"
-    spark.sql(f"CREATE TABLE {s} ({schemas.BUCKET_SOURCES}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/s'")
-    spark.sql(f"CREATE TABLE {i} ({schemas.BUCKET_ITEMS}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/i'")
-    yield s, i
-    spark.sql(f"DROP TABLE IF EXISTS {s}")
-    spark.sql(f"DROP TABLE IF EXISTS {i}")
+    store = TableStore(spark, f"bs_{tag}", f"bi_{tag}")
+    store.ensure(str(tmp_path))
+    yield store.sources_table, store.items_table
+    for t in (store.sources_table, store.items_table, store.commits_table):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def seed(spark, tables, bucket_id, *sources):
+    """Put sources (id, name) without items into a bucket."""
+    rows = [(bucket_id, i, n, 0, None, n) for i, n in sources]
+    df = spark.createDataFrame(rows, schemas.BUCKET_SOURCES + ", source_dir string")
+    TableStore(spark, *tables).replace(bucket_id, df, spark.createDataFrame([], schemas.STORED_ITEMS), (max(i for i, _ in sources), 0))
 
 
 def run(spark, tree, dirs, tables, bucket_id=7, **kw):
@@ -44,10 +51,8 @@ def test_two_sources_two_report_rows_and_empty_source(spark, tables):
 
 def test_refresh_replaces_old_sources_only_in_its_bucket(spark, tables):
     s, i = tables
-    spark.createDataFrame([(7, 9001, "old", 0, None)], schemas.BUCKET_SOURCES).select(
-        *[c for c in spark.table(s).columns]).write.insertInto(s)
-    spark.createDataFrame([(8, 42, "other", 0, None)], schemas.BUCKET_SOURCES).select(
-        *[c for c in spark.table(s).columns]).write.insertInto(s)
+    seed(spark, tables, 7, (9001, "old"))
+    seed(spark, tables, 8, (42, "other"))
     run(spark, {"s": {"a.txt": b"a"}}, ["s"], tables)
     ids = {(r["bucket_id"], r["external_source_id"]) for r in spark.table(s).collect()}
     assert (7, 9001) not in ids and (8, 42) in ids
@@ -148,9 +153,89 @@ def test_repeated_paths_keep_every_item(spark):
 
 def test_refresh_with_no_sources_deletes_existing(spark, tables):
     s, i = tables
-    cols = spark.table(s).columns
-    spark.createDataFrame([(7, 101, "a", 0, None), (7, 102, "b", 0, None)], schemas.BUCKET_SOURCES).select(*cols).write.insertInto(s)
+    seed(spark, tables, 7, (101, "a"), (102, "b"))
     empty_man = spark.createDataFrame([], schemas.MANIFEST)
     res = sync.synchronise(spark, spark.createDataFrame([], schemas.FILES), empty_man, 7, sources_table=s, items_table=i)
     spark.catalog.refreshTable(s)
     assert spark.table(s).count() == 0 and res.report.count() == 0
+
+
+def test_a_crash_anywhere_leaves_the_bucket_whole(spark, tables, monkeypatch):
+    """Between any two writes of a refresh: readers see the old rows, the next refresh works and cleans up."""
+    store = TableStore(spark, *tables)
+    look = lambda: sorted((r["external_item_id"], r["url"]) for r in store.items(7).collect())
+    run(spark, {"s": {"a.txt": b"a"}, "t": {"t.txt": b"t"}}, ["s", "t"], tables)
+    for stop in range(3):
+        before = look(), sorted(map(tuple, store.sources(7).collect()))
+        with monkeypatch.context() as m:
+            done = []
+
+            def stops(self, table, df, real=TableStore._write, stop=stop, done=done):
+                if len(done) == stop:
+                    raise RuntimeError("lost driver")
+                done.append(table)
+                real(self, table, df)
+
+            m.setattr(TableStore, "_write", stops)
+            with pytest.raises(RuntimeError, match="lost driver"):
+                run(spark, {"s": {"b.txt": b"b"}}, ["s"], tables)
+        assert (look(), sorted(map(tuple, store.sources(7).collect()))) == before
+    res = run(spark, {"s": {"b.txt": b"b"}}, ["s"], tables)
+    assert [u for _, u in look()] == ["b.txt"] and res.n_items == 1
+    spark.catalog.refreshTable(tables[1])
+    assert spark.table(tables[1]).count() == 1  # nothing else is left
+
+
+def test_reads_prune_partitions(spark, tables):
+    run(spark, {"s": {"a.txt": b"a"}}, ["s"], tables)
+    plan = TableStore(spark, *tables).items(7)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "bucket_id" in filters and "generation" in filters and "DataFilters: []" in plan
+    one = TableStore(spark, *tables).stored_items(7, [3])._jdf.queryExecution().executedPlan().toString()
+    assert "slot" in one.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+def test_unchanged_items_keep_their_ids(spark):
+    man = manifest_df(spark, ["s"])
+    src = bucket.load_sources(man, 7)
+    from quire.operators import process
+
+    def load(rows, base, previous=None):
+        files = spark.createDataFrame([("s", p, 1, bytearray(c)) for p, c in rows], schemas.FILES)
+        loaded = bucket.load_items(process.flatten_files(files, man)[0], src, id_base=base, previous=previous, keep=("source_dir", "rel_path"))
+        return loaded, sorted((r["rel_path"], r["content"], r["external_item_id"]) for r in loaded.collect())
+
+    old, rows = load([("a", b"1"), ("b", b"2"), ("c", b"3"), ("c", b"3")], 0)
+    assert rows == [("a", "1", 1), ("b", "2", 2), ("c", "3", 3), ("c", "3", 4)]
+    _, rows = load([("b", b"2"), ("a", b"9"), ("0", b"0"), ("c", b"3"), ("c", b"3"), ("c", b"3")], 4, old)
+    assert rows == [("0", "0", 5), ("a", "9", 6), ("b", "2", 2), ("c", "3", 3), ("c", "3", 4), ("c", "3", 7)]
+
+
+def test_contents_are_read_once(spark, tables):
+    """A load reads each content once, from its source; numbering moves keys alone."""
+    man = manifest_df(spark, ["s"])
+    src = bucket.load_sources(man, 7)
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            reads.add(len(pdf))
+            yield pdf
+
+    files = files_df(spark, {"s": {f"f{i}": b"x" for i in range(50)}}).mapInPandas(count, schemas.FILES)
+    from quire.operators import process
+
+    loaded = bucket.load_items(process.flatten_files(files, man)[0], src)
+    assert bucket.check_gate(loaded) == 50 and loaded.count() == 50 and reads.value == 50
+
+
+def test_report_parts_of_a_hot_source(spark):
+    """A source with a third of the items: its parts are in order and no list is longer than a part."""
+    sid = F.when(F.col("id") < 400, F.lit(1)).otherwise(F.col("id") % 40 + 2).cast("long")
+    items = spark.range(1200).select(sid.alias("external_source_id"), F.row_number().over(__import__("pyspark").sql.Window.orderBy(sid, "id")).cast("long").alias("external_item_id"), F.col("id").cast("string").alias("url"))
+    sources = spark.range(1, 43).select(F.col("id").alias("external_source_id"), F.col("id").cast("string").alias("external_source_name"))
+    rows = report.sync_report(sources, items, part_items=64).orderBy("source_id", "part").collect()
+    assert max(len(r["items"]) for r in rows) == 64
+    hot = [r for r in rows if r["source_id"] == 1]
+    assert [r["part"] for r in hot] == list(range(7)) and [x["item_id"] for r in hot for x in r["items"]] == list(range(1, 401))
+    assert [r["items"] for r in rows if r["source_id"] == 42] == [[]]

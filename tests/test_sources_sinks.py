@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators import audit
+from quire.operators.store import SLOTS, TableStore
 from quire.sources import catalogue, snapshot
 from quire.streaming import incremental
 from tests.test_process import files_df
@@ -63,8 +64,7 @@ def test_recently_modified(spark):
 def test_incremental_stream(spark, tmp_path):
     tag = uuid.uuid4().hex[:8]
     s, i = f"ss_{tag}", f"si_{tag}"
-    spark.sql(f"CREATE TABLE {s} ({schemas.BUCKET_SOURCES}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/s'")
-    spark.sql(f"CREATE TABLE {i} ({schemas.BUCKET_ITEMS}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/i'")
+    TableStore(spark, s, i).ensure(str(tmp_path))
     landing = tmp_path / "landing"
     man = spark.createDataFrame([(1, "repo-a", "a", "git"), (2, "repo-b", "b", "git")], schemas.MANIFEST)
     files_df(spark, {"a": {"x.txt": b"1", "d/y.txt": b"2"}, "b": {"z.txt": b"3"}}).write.parquet(str(landing / "1"))
@@ -107,22 +107,24 @@ def test_replay_after_a_crash_between_the_writes(spark, tmp_path, monkeypatch):
     man = spark.createDataFrame([(1, "repo", "r", "git"), (2, "other", "o", "git")], schemas.MANIFEST)
     incremental.refresh_sources(spark, files_df(spark, {"r": {"old.txt": b"1"}, "o": {"o.txt": b"1"}}), man, 7, s, i)
     new = files_df(spark, {"r": {"new.txt": b"2"}})
-    real, done = incremental._overwrite_bucket, []
+    store = TableStore(spark, s, i)
+    for crash_after in (0, 1, 2):
+        done = []
 
-    def stops(spark, table, *rest):
-        if len(done) == crash_after:
-            raise RuntimeError("lost driver")
-        done.append(table)
-        real(spark, table, *rest)
+        def stops(self, table, df, real=TableStore._write, done=done, crash_after=crash_after):
+            if len(done) == crash_after:
+                raise RuntimeError("lost driver")
+            done.append(table)
+            real(self, table, df)
 
-    for crash_after in (1, 2):
-        done.clear()
         with monkeypatch.context() as m:
-            m.setattr(incremental, "_overwrite_bucket", stops)
+            m.setattr(TableStore, "_write", stops)
             try:
                 incremental.refresh_sources(spark, new, man, 7, s, i)
             except RuntimeError as e:
                 assert "lost driver" in str(e)
+        if crash_after == 0:
+            assert sorted(r["url"] for r in store.items(7).collect()) == ["o.txt", "old.txt"]
         incremental.refresh_sources(spark, new, man, 7, s, i)
         ids = {r["external_source_id"] for r in spark.table(s).collect()}
         items = spark.table(i).collect()
@@ -130,6 +132,36 @@ def test_replay_after_a_crash_between_the_writes(spark, tmp_path, monkeypatch):
         assert {r["external_source_id"] for r in items} == ids and len(ids) == 2
 
 
+def test_a_micro_batch_writes_its_slots_only(spark, tmp_path):
+    s, i = _tables(spark, tmp_path)
+    store = TableStore(spark, s, i)
+    store.ensure(str(tmp_path / "store"))
+    dirs = [f"d{k}" for k in range(40)]
+    man = spark.createDataFrame([(k, f"repo-{d}", d, "git") for k, d in enumerate(dirs)], schemas.MANIFEST)
+    incremental.refresh_sources(spark, files_df(spark, {d: {"x.txt": b"1", "y.txt": b"2"} for d in dirs}), man, 7, s, i)
+    files = lambda: {r["f"]: r["slot"] for r in store.stored_items(7).select("slot", F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    before, ids = files(), {(r["source_dir"], r["rel_path"]): r["external_item_id"] for r in store.stored_items(7).collect()}
+    assert len(set(before.values())) > SLOTS // 2
+    rejects = incremental.refresh_sources(spark, files_df(spark, {"d3": {"x.txt": b"1", "y.txt": b"new"}, "nobody": {"z": b"3"}}), man, 7, s, i)
+    assert [(r["source_dir"], r["reason"]) for r in rejects.collect()] == [("nobody", "unknown_source")]
+    after, now = files(), {(r["source_dir"], r["rel_path"]): r["external_item_id"] for r in store.stored_items(7).collect()}
+    touched = {v for f, v in after.items() if f not in before}
+    assert len(touched) == 1 and {f for f, v in before.items() if v not in touched} <= set(after)
+    assert {k for k in ids if now[k] != ids[k]} == {("d3", "y.txt")} and now[("d3", "y.txt")] == 81
+
+
+def test_rejects_of_a_stream_are_kept(spark, tmp_path):
+    s, i = _tables(spark, tmp_path)
+    man = spark.createDataFrame([(1, "repo", "r", "git"), (2, "other", "o", "git")], schemas.MANIFEST)
+    landing, kept = tmp_path / "landing", f"rej_{s}"
+    files_df(spark, {"r": {"README.md": b"1"}, "o": {"x": b"2"}}).write.parquet(str(landing / "1"))
+    start = lambda: incremental.start(spark, f"{landing}/*", man, 7, str(tmp_path / "ck"), s, i, kind="ReadmeToPDF", available_now=True, rejects_table=kept)
+    start().awaitTermination(120)
+    assert [r["url"] for r in TableStore(spark, s, i).items(7).collect()] == ["README.pdf"]
+    assert [(r["source_dir"], r["reason"], r["batch_id"]) for r in spark.table(kept).collect()] == [("o", "no_readme", 0)]
+    spark.sql(f"DROP TABLE {kept}")
+
+
 def test_commit_seen_in_two_micro_batches(spark, tmp_path):
     s, i = _tables(spark, tmp_path)
     man = spark.createDataFrame([(1, "repo", "r", "git")], schemas.MANIFEST)
@@ -166,8 +198,7 @@ def test_sync_landed_end_to_end(spark, tmp_path):
     ])
     tag = uuid.uuid4().hex[:8]
     s, i = f"es_{tag}", f"ei_{tag}"
-    spark.sql(f"CREATE TABLE {s} ({schemas.BUCKET_SOURCES}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/s'")
-    spark.sql(f"CREATE TABLE {i} ({schemas.BUCKET_ITEMS}) USING parquet PARTITIONED BY (bucket_id) LOCATION '{tmp_path}/i'")
+    TableStore(spark, s, i).ensure(str(tmp_path))
     snap = f"sn_{tag}"
     spark.sql(f"CREATE TABLE {snap} ({schemas.FILES}) USING parquet PARTITIONED BY (source_dir) LOCATION '{tmp_path}/snap'")
     res = sync.sync_landed(spark, sources, 7, str(tmp_path / "trees"), str(tmp_path / "wiki.jsonl"),
