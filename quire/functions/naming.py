@@ -47,6 +47,8 @@ def source_dir(type_, repo_url, reference, base_url, space_key) -> Column:
     return (
         F.when(t == "git", git_dir_name(repo_url, reference))
         .when(t == "confluence", wiki_dir_name(base_url, space_key))
+        # A type of a registered reader is named like a repository, by its own type.
+        .otherwise(F.translate(F.concat_ws("_", t, _c(repo_url), F.coalesce(_c(reference), F.lit(DEFAULT_REFERENCE))), DIR_NAME_UNSAFE, "_" * len(DIR_NAME_UNSAFE)))
     )
 
 
@@ -54,8 +56,7 @@ def logical_name(type_, repo_url, base_url, space_key) -> Column:
     """Human name of a source (P3): the repo url, or ``base_url:space_key`` untrimmed."""
     t = _c(type_)
     return (
-        F.when(t == "git", _c(repo_url))
-        .when(t == "confluence", F.concat(_c(base_url), F.lit(":"), _c(space_key)))
+        F.when(t == "confluence", F.concat(_c(base_url), F.lit(":"), _c(space_key))).otherwise(_c(repo_url))
     )
 
 

@@ -88,12 +88,15 @@ def sync_landed(
     items_table: str = "bucket_items",
     strict: bool = True,
     snapshot_table: str | None = None,
+    reader_options: dict | None = None,
+    store: TableStore | None = None,
 ) -> SyncResult:
     """Whole sync from landed data: catalogue -> files of every source -> gated refresh -> report.
 
     Repository snapshots are read from ``tree_root/<source_dir>/`` (S2/S3);
     wiki spaces from landed responses (S4/S5) through stop, cap, names and
-    last write wins.  Both become one ``files`` table (U3).  With
+    last write wins; other types by their registered reader, which finds
+    ``reader_options``.  All become one ``files`` table (U3).  With
     ``snapshot_table`` the files are first landed there, each configured
     source replacing its own partition (K1, K2), and read back from it, so
     the many small files are read once.
@@ -102,40 +105,21 @@ def sync_landed(
     table is written; otherwise it is rejected as ``snapshot_missing`` and its
     snapshot partition stays.
     """
-    from quire.operators import wiki
-    from quire.sources import catalogue, landed, treescan
+    from quire.sources import catalogue, readers
 
     bad = catalogue.invalid_sources(sources).limit(1).collect()
     if bad:
         raise ValueError(f"invalid source at position {bad[0]['pos']}: {bad[0]['reason']}")
     man = catalogue.manifest(sources)
-    parts, rejects = [], []
-    dirs = {kind_: [r["source_dir"] for r in man.where(F.col("type") == kind_).select("source_dir").distinct().collect()] for kind_ in catalogue.SOURCE_TYPES}
-    git_dirs = dirs["git"]  # configuration-sized list of folders
-    present = [d for d in git_dirs if tree_root is not None and treescan.has_folder(tree_root, d)]
-    if present:
-        parts.append(treescan.read_tree(spark, tree_root, sources=present).drop("modified"))
-    absent = [d for d in git_dirs if d not in present]
-    if wiki_responses is not None:
-        resp = landed.read_responses(spark, wiki_responses)
-        spaces = landed.space_documents(resp)
-        landed.check_spaces(spaces)
-        wfiles, wrej = wiki.wiki_files(landed.content_batches(resp), spaces, page_limit=page_limit)
-        parts.append(wfiles)
-        rejects.append(wrej)
-        landed_dirs = {r["source_dir"] for r in resp.select("source_dir").distinct().collect()}
-        absent += [d for d in dirs["confluence"] if d not in landed_dirs]
-    else:
-        absent += dirs["confluence"]
+    options = readers.ReadOptions(tree_root, wiki_responses, page_limit, reader_options)
+    files, reads, absent = readers.read_sources(spark, man, options)
+    rejects = [reads]
     if absent:  # a source without landed data must not pass for an empty one
         if strict:
             raise RuntimeError(f"snapshot_missing: no landed data for {', '.join(sorted(absent))}")
         missing = spark.createDataFrame([(d, "snapshot_missing") for d in absent], "source_dir string, reason string")
         rejects.append(missing)
         man = man.where(~F.col("source_dir").isin(*absent))
-    files = spark.createDataFrame([], schemas.FILES)
-    for p in parts:
-        files = files.unionByName(p)
     if snapshot_table is not None:
         from quire.sources import snapshot
 
@@ -144,7 +128,7 @@ def sync_landed(
             man.select("source_dir").distinct(), "source_dir", "left_semi"
         )
     result = synchronise(
-        spark, files, man.drop("original_source"), bucket_id, kind, sources_table, items_table, strict
+        spark, files, man.drop("original_source"), bucket_id, kind, sources_table, items_table, strict, store=store
     )
     for r in rejects:
         result.rejects = result.rejects.unionByName(r, allowMissingColumns=True)

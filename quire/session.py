@@ -6,6 +6,8 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -60,6 +62,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or folder
 
 
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once per application, so that a cluster needs no installed copy."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quire_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="quire-ship-")) / "quire.zip"  # the driver serves it to executors
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(str(target))
+    sc._quire_shipped = True
+
+
 _STAGED: list[str] = []
 
 

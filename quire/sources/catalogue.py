@@ -1,8 +1,8 @@
 """The source catalogue, and the manifest derived from it.
 
 A catalogue is an ordered list of tagged records; ``type`` selects the
-branch (``git`` needs ``repo_url``; ``confluence`` needs ``base_url`` and
-``space_key``).  It is configuration-sized.  ``pos`` keeps the configured
+branch (``confluence`` needs ``base_url`` and ``space_key``; ``git``, and any
+type with a registered reader, needs ``repo_url``).  It is configuration-sized.  ``pos`` keeps the configured
 order; output follows it only where order is part of the result (L1).
 """
 
@@ -17,7 +17,6 @@ from quire import schemas
 from quire.functions.naming import logical_name, source_dir
 
 SOURCE_FIELDS = ("type", "repo_url", "reference", "base_url", "space_key")
-SOURCE_TYPES = ("git", "confluence")
 
 
 def sources_frame(spark: SparkSession, sources: Iterable[dict]) -> DataFrame:
@@ -49,11 +48,13 @@ def read_sources(spark: SparkSession, path: str) -> DataFrame:
 
 
 def invalid_sources(sources: DataFrame) -> DataFrame:
-    """Rows that name an unknown type or lack a field their type requires."""
+    """Rows that name a type without a reader or lack a field their type requires."""
+    from quire.sources.readers import READERS
+
     t = F.col("type")
     reason = (
-        F.when(~t.isin(*SOURCE_TYPES) | t.isNull(), F.lit("unknown_type"))
-        .when((t == "git") & F.col("repo_url").isNull(), F.lit("missing_repo_url"))
+        F.when(~t.isin(*READERS) | t.isNull(), F.lit("unknown_type"))
+        .when((t != "confluence") & F.col("repo_url").isNull(), F.lit("missing_repo_url"))
         .when((t == "confluence") & (F.col("base_url").isNull() | F.col("space_key").isNull()),
               F.lit("missing_space"))
     )

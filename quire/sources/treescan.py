@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from quire.functions.naming import PRUNED_DIRS
 from quire.operators.stage import land
 from quire.schemas import REJECTS
-from quire.session import staging_path
+from quire.session import ship, staging_path
 
 LISTING_SCHEMA = "source_dir string, rel_path string, length bigint, modified timestamp, path binary"
 #: Names a listing task sees for one folder of the frontier before it hands the rest back.
@@ -198,6 +198,7 @@ def _tasks(spark: SparkSession) -> int:
 
 def list_tree(spark: SparkSession, root: str | pafs.FileSystem, sources: list[str] | None = None, budget: int = BUDGET) -> DataFrame:
     """Landed listing (:data:`LISTING_SCHEMA`) of the files below ``root``, of the given source folders or of all."""
+    ship(spark)
     tree, n = tree_of(root), _tasks(spark)
     if sources is None:
         sources = [name for name, kind in tree.names(tree.root) if kind != _FILE]
@@ -308,6 +309,7 @@ def land_tree(files: DataFrame, order: str = "doc_id") -> str:
     Equal paths keep the row with the largest ``order`` value (last write wins).
     """
     spark = files.sparkSession
+    ship(spark)
     root = _posix_root(staging_path(spark, "tree"))
     rows = files.groupBy("source_dir", "rel_path").agg(
         F.max_by(F.col("content"), F.col(order)).alias("content")
