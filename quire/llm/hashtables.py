@@ -72,7 +72,8 @@ def write_table(partial: DataFrame, values: list[str], bits: int, label: str) ->
             yield done()
 
     path = staging_path(partial.sparkSession, label)
-    rows = partial.select("key", *values).repartition(1 << bits, F.shiftrightunsigned("key", 64 - bits)).sortWithinPartitions("key")
+    bucket = F.shiftrightunsigned("key", 64 - bits).cast("int")
+    rows = partial.select("key", *values).repartitionById(1 << bits, bucket).sortWithinPartitions("key")  # a task for each bucket
     blobs = rows.mapInArrow(buckets, "bucket long, blob binary")
     blobs.select(F.col("blob").cast("string").alias("value"), "bucket").write.partitionBy("bucket").option("compression", "none").text(path)
     return path
@@ -98,6 +99,8 @@ class TableRef:
         self.bits, self.values = bits, values
         self.sent = url.scheme not in ("", "file")
         self.root = os.path.basename(path) if self.sent else unquote(url.path)
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{path}/*").inputFiles()
+        self.buckets = frozenset(int(unquote(f).split("/bucket=")[1].split("/")[0]) for f in files)
         if self.sent:
             spark.sparkContext.addFile(path, recursive=True)
 
@@ -108,8 +111,12 @@ class TableRef:
         b = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         cuts = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]])).tolist() + [len(b)] if len(b) else [0]
         for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            if int(b[x]) not in self.buckets:
+                continue  # no key of the table begins so
             held = mapped(f"{root}/bucket={b[x]}")
-            if held is not None and len(held[0]):
+            if held is None:
+                raise FileNotFoundError(f"bucket {b[x]} of the table {self.root} can't be read here")
+            if len(held[0]):
                 at = np.minimum(np.searchsorted(held[0], keys[x:y]), len(held[0]) - 1)
                 out[:, x:y] = np.where(held[0][at] == keys[x:y], held[1][:, at], 0)
         return out

@@ -12,7 +12,8 @@ summed for each slice of text before they are shuffled.
 
 Defined results: null or empty texts are the end token alone; without any
 training text every word has probability 1; repeated rows count and are
-scored each; empty tables give no rows.
+scored each; empty tables give no rows; extra columns are ignored, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import crc_mod, table
+from quire.llm.common import crc_mod, ship, table
 from quire.llm.hashtables import TableRef, bucket_bits, scan_table, write_table
 from quire.llm.textwords import Words, mix, per_row, slices
 
@@ -128,6 +129,7 @@ class Model(NamedTuple):
 def train(docs: DataFrame) -> Model:
     """Learn from the texts of ``docs``."""
     spark = docs.sparkSession
+    ship(spark)
     bits = bucket_bits(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     words = write_table(_counts(docs, pairs=False), ["n"], bits, "lm-words")
     pairs = write_table(_counts(docs, pairs=True), ["n"], bits, "lm-pairs")
@@ -193,6 +195,6 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def op9_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_mod("doc_id", 5) == 1).alias("held_out"))
-    model = train(docs.where("NOT coalesce(held_out, false)"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(crc_mod("doc_id", 5) == 1, F.lit(False)).alias("held_out"))
+    model = train(docs.where("NOT held_out"))
     return score(docs, model, ["doc_id", "held_out"])
