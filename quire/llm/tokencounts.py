@@ -15,7 +15,9 @@ Special strings in texts are what the library makes of them: one id each, and
 the text on either side is cut on its own.
 
 Defined results: null and empty texts have zero bytes and tokens; repeated
-rows and ids are counted each; an empty table gives no rows.
+rows and ids are counted each; an empty table gives no rows; extra columns are
+ignored, whatever their names.  A block with 2^27 distinct pre-tokens, a task
+with 2^16 blocks or 2^20 tasks raise an error.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import table
+from quire.llm.common import ship, table
 from quire.llm.textwords import SLICE_BYTES, Words, lanes_hash, mix, per_row, slices
 from quire.llm.wordtokens import byte_chars
 from quire.session import staging_path
@@ -175,6 +177,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFr
 
         def listed() -> pa.RecordBatch:
             n = len(block.numbers)
+            if n >> NUMBER_BITS or seq >> BLOCK_BITS or part_id >> (63 - BLOCK_BITS - NUMBER_BITS):
+                raise ValueError(f"a block's place doesn't fit its bits: {n} pre-tokens, block {seq} of task {part_id}")
             none = [pa.nulls(n, t) for t in (pa.list_(kind), *[pa.list_(pa.int64())] * 3, pa.binary())]
             return pa.RecordBatch.from_arrays([pa.array(np.full(n, part_id << BLOCK_BITS | seq)), *none, pa.array(np.arange(n)), pa.array(list(block.numbers), pa.string())], columns)
 
@@ -228,6 +232,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFr
             return pa.table({key: pa.array([], left.schema.field("ids").type.value_type), "n_bytes": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64())})
         return pa.table({key: pa.concat_arrays(ids), "n_bytes": pa.concat_arrays(n_bytes), "n_tokens": np.concatenate(total)})
 
+    ship(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
     schema = f"block long, ids array<{kind}>, n_bytes array<long>, specials array<long>, held array<long>, pairs binary, number long, pretoken string"
     rows = docs.select(key, F.col("text").alias("__text")).mapInArrow(blocks, schema)
