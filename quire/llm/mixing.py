@@ -8,7 +8,8 @@ that remain are taken along the random order, the last document in part.
 
 Defined results: null texts have size 0; null sources are one source, last
 by order; sources without words get target 0; repeated rows count each; an
-empty table gives no rows; extra columns are ignored, whatever their names.
+empty table gives no rows; extra columns are ignored, whatever their names,
+and kept as they are by ``mixed_documents``.
 Reruns agree, as the key depends on the row alone.
 """
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import land, ranked, table
+from quire.llm.common import carried, land, ranked, table
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -61,7 +62,7 @@ def mix(docs: DataFrame, size: str = "size", key: str = "doc_id", weights: tuple
     """
     sizes = docs.groupBy("source").agg(F.sum(size).alias("source_size"))
     goals = targets(sizes, weights, max_epochs).withColumn("budget", F.round("target").cast("long"))
-    order = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")).cast("binary"))
+    order = F.md5(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")).cast("binary"))  # a null key hashes the seed alone
     keyed = docs.withColumn("_order", order)
     placed = ranked(keyed, ["source", "_order", size], "mix")
     # One row for each range and source: at most (ranges + sources) rows.
@@ -82,14 +83,13 @@ def mix(docs: DataFrame, size: str = "size", key: str = "doc_id", weights: tuple
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """Documents with all their columns, each as often as the mix takes it (a part counts from half a document on)."""
-    rows = land(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-input")
-    key = F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string"))
-    sizes = rows.select("__row", "source", key.alias("key"), words_in("text").alias("size"))
-    taken = mix(land(sizes, "mix-sizes"), "size", "key", weights, max_epochs)
+    rows = carried(docs, "source", F.concat_ws(":", F.col("doc_id").cast("string"), F.xxhash64("text").cast("string")).alias("key"), words_in("text").alias("size"))
+    rows = land(rows.withColumn("row", F.monotonically_increasing_id()), "mix-input")
+    taken = mix(rows.select("row", "source", "key", "size"), "size", "key", weights, max_epochs)
     copies = F.expr("taken div size + int(2 * (taken % size) >= size)")
-    wanted = taken.where("taken > 0").select("__row", copies.alias("__copies")).where("__copies > 0")
-    out = rows.join(wanted, "__row")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)
+    wanted = taken.where("taken > 0").select("row", copies.alias("copies")).where("copies > 0")
+    out = rows.select("row", "doc").join(wanted, "row")
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select("doc.*")
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +117,7 @@ WITH docs AS (
   SELECT *, round(target)::BIGINT AS budget, CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS epochs FROM goals
 ), placed AS (
   SELECT doc_id, source, size,
-    coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5('mix-1:' || doc_id::VARCHAR), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+    coalesce(sum(size) OVER (PARTITION BY source ORDER BY md5(concat_ws(':', 'mix-1', doc_id::VARCHAR)), size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM docs
 )
 SELECT p.doc_id, p.size, b.source_size, b.target,

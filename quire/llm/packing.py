@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import land, ranked, table
+from quire.llm.common import carried, land, ranked, ship, table
 from quire.llm.textwords import slices
 from quire.llm.wordtokens import encoder
 
@@ -111,8 +111,9 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to pieces that have a ``length`` of 1 to ``capacity``."""
     spark = pieces.sparkSession
-    # The hash spreads a length that holds a third of all pieces over many ranges.
-    placed = ranked(pieces, ["length", F.xxhash64(key, "piece")], "pieces")
+    own = carried(pieces, "length", F.xxhash64(key, "piece").alias("hash"))
+    # The hash, and the row number behind it, spread a length that holds a third of all pieces over many ranges.
+    placed = ranked(own, ["length", "hash"], "pieces")
     held = placed.groupBy("length", "_part").agg(F.count("*").alias("_n"), F.min("_pos").alias("_low"))
     # One row for each length and range: at most (ranges + capacity) rows in all.
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,7 +127,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Da
     inside = (slots["length"] == runs["length"]) & (slots["block"] == runs["block"]) & (slots["rank"] >= runs["rank_from"]) & (slots["rank"] < runs["rank_to"])
     nth = F.col("rank") - F.col("rank_from")
     return slots.join(runs, inside).select(
-        *(slots[c] for c in pieces.columns),
+        "doc.*",
         (F.col("seq_from") + F.floor(nth / F.col("per_seq"))).alias("sequence_id"),
         (F.col("at") + nth % F.col("per_seq") * slots["length"]).alias("offset"),
     )
@@ -134,6 +135,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, key: str = "doc_id") -> Da
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """Pieces with their ``ids`` and their place in a sequence."""
+    ship(docs.sparkSession)
     # Landed first: range boundaries are sampled from the rows, which must not tokenize every text twice.
     pieces = land(token_pieces(docs, tokenizer, capacity, with_ids=True).withColumn("_row", F.monotonically_increasing_id()), "token-pieces")
     # Places are planned without the ids, which meet them once, by the landed row number.

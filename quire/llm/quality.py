@@ -11,7 +11,9 @@ never inputs of a score.
 
 Defined results: null and empty texts have statistics of zero and a score
 like any other; without labels every score is 0.5, with one label value it is
-that value; rows without a label are only scored; repeated rows are scored each.
+that value; rows without a label are only scored; repeated rows are scored each;
+an empty table gives no rows; extra columns, whatever their names, are kept by
+``filter_documents`` and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -27,8 +29,9 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quire.llm.common import crc_mod, land, table
+from quire.llm.common import carried, crc_mod, land, quoted, ship, table
 from quire.llm.repetition import coverage, duplicate_lines
 from quire.llm.textwords import Words, mix, per_row, slices
 
@@ -74,8 +77,9 @@ def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
                 got = statistics(part.column("__text"))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(got[s], pa.float64()) for s in STATISTICS)], [*keep, *(f"stat_{s}" for s in STATISTICS)])
 
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + [f"stat_{s} double" for s in STATISTICS]
-    return docs.select(*keep, F.col("text").alias("__text")).mapInArrow(rows, ", ".join(kinds))
+    ship(docs.sparkSession)
+    schema = StructType([*(docs.schema[c] for c in keep), *(StructField(f"stat_{s}", DoubleType()) for s in STATISTICS)])
+    return docs.select(*(quoted(c) for c in keep), F.col("text").alias("__text")).mapInArrow(rows, schema)
 
 
 class Bound(NamedTuple):
@@ -128,8 +132,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> D
     chosen = land(truth.orderBy(F.xxhash64("__id"), "__id", "__label").limit(rows), "fit-labels")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("__id"))  # ``rows`` rows at most
     stats = with_statistics(found, ["doc_id", "__label"]).withColumnRenamed("__label", "label")
-    # Rows that repeat a doc_id don't add to the bound.
-    return stats.dropDuplicates(["doc_id", "label"])
+    # Rows that repeat a doc_id don't add to the bound: the one with the least statistics stays, so that a refit agrees.
+    least = F.min(F.struct(*(f"stat_{s}" for s in STATISTICS))).alias("least")
+    return stats.groupBy("doc_id", "label").agg(least).select("doc_id", "label", "least.*")
 
 
 def fit(labelled: DataFrame) -> Ensemble:
@@ -152,12 +157,12 @@ def fit(labelled: DataFrame) -> Ensemble:
 def with_score(docs: DataFrame, labels: DataFrame, keep: list[str], rows: int = FIT_ROWS) -> DataFrame:
     """``keep`` columns with ``__score``; the text is read once to score and, for the rows of the fit, once to learn."""
     model = fit(training_rows(docs, labels, rows))
-    return with_statistics(docs, keep).select(*keep, model.score().alias("__score"))
+    return with_statistics(docs, keep).select(*(quoted(c) for c in keep), model.score().alias("__score"))
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with all their columns, without those scored under 0.5."""
-    return with_score(docs, labels, docs.columns).where("__score >= 0.5").select(*docs.columns)
+    return with_score(carried(docs, "doc_id", "text"), labels, ["doc"]).where("__score >= 0.5").select("doc.*")
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

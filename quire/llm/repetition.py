@@ -11,7 +11,8 @@ within one text (chance of error under 2**-20 for a billion-word text).
 
 Defined results: null or empty texts have zero words and fail the base rule;
 texts shorter than an n-gram have no such n-grams; repeated rows are judged
-each; empty tables give no rows; extra columns are kept by ``filter_documents``.
+each; empty tables give no rows; extra columns, whatever their names, are kept by
+``filter_documents`` and ignored otherwise.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from quire.llm.common import table
+from quire.llm.common import carried, quoted, ship, table
 from quire.llm.textwords import Words, mix, per_row, slices
 
 MIN_WORDS = 50
@@ -118,6 +120,7 @@ _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def repetition(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """The measures of every document with ``base_failed`` and ``kept``; ``keep`` names the columns carried along (``text`` is read in any case)."""
+    ship(docs.sparkSession)
     keep = keep or ["doc_id"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,8 +129,8 @@ def repetition(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
                 got = measures(part.column("__text"))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(got[c], pa.int64()) for c in _COLUMNS)], [*keep, *(f"__{c}" for c in _COLUMNS)])
 
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep] + [f"__{c} long" for c in _COLUMNS]
-    df = docs.select(*keep, F.col("text").alias("__text")).mapInArrow(count, ", ".join(kinds))
+    schema = StructType([*(docs.schema[c] for c in keep), *(StructField(f"__{c}", LongType()) for c in _COLUMNS)])
+    df = docs.select(*(quoted(c) for c in keep), F.col("text").alias("__text")).mapInArrow(count, schema)
     c = lambda name: F.col(f"__{name}")
     failed = (c("n_words") < MIN_WORDS) | (100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * c("n_words"))
     sound = c("dup_line_chars") <= MAX_LINE_SHARE * c("text_chars")
@@ -138,7 +141,7 @@ def repetition(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """Documents with all their columns, without those that the rules reject."""
-    return repetition(docs, docs.columns).where("__kept").select(*docs.columns)
+    return repetition(carried(docs, "text"), ["doc"]).where("__kept").select("doc.*")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,9 @@ meet by a join, and each meeting returns a spanning forest of its links, not
 all pairs.  Everything is exact: pigeonhole blocks lose no pair.
 
 Defined results: null, empty and word-free texts have fingerprint zero, linked
-like any other; repeated rows share a fingerprint; empty tables give no rows.
+like any other; repeated rows share a fingerprint; empty tables give no rows;
+extra columns, whatever their names, are kept by ``keep_one`` and ignored
+otherwise.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm.common import land, table
+from quire.llm.common import carried, land, ship, table
 from quire.llm.components import components, forest
 from quire.llm.textwords import Words, slices
 
@@ -186,6 +188,7 @@ def hamming_links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, key: str = "doc_id") -> DataFrame:
     """``key``, ``fp`` and ``component_id`` (smallest key reachable) of every document."""
+    ship(docs.sparkSession)
     prints = land(fingerprints(docs, words, key), "fingerprints")
     distinct = land(prints.groupBy("fp").agg(F.min(key).alias("rep")), "distinct")
     label = components(hamming_links(distinct, max_bits))
@@ -198,10 +201,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BIT
 
 def keep_one(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """Documents with all their columns, one of each group: its smallest doc_id (one row, if rows repeat)."""
-    rows = land(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-input")
-    ids = near_duplicates(rows.withColumn("__key", F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("__row").alias("r"))).select("__key", "text"), words, max_bits, "__key")
-    kept = ids.where(F.col("__key") == F.col("component_id")).select(F.col("__key.r").alias("__row"))
-    return rows.join(kept, "__row", "left_semi").drop("__row")
+    rows = land(carried(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "dedup-input")
+    key = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"))
+    ids = near_duplicates(rows.select(key.alias("key"), "text"), words, max_bits, "key")
+    kept = ids.where(F.col("key") == F.col("component_id")).select(F.col("key.r").alias("row"))
+    return rows.join(kept, "row", "left_semi").select("doc.*")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
