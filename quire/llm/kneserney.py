@@ -3,8 +3,8 @@
 Bigram counts, word counts, contexts and continuation counts are summed by
 Spark and stored as sorted hash arrays (``hashtables``), which workers
 memory-map to score texts.  Words are 64-bit hashes in the word table (the
-base score is exact); in bigrams each word has 32 bits, so a share of about
-V / 2**32 of V distinct words meets another one there.
+base score is exact); in bigrams each word has 48 bits, so a share of about
+V / 2**48 of V distinct words meets another one there (4 in a million at 10^9).
 
 A bigram's key starts with four bits of its second word, so the rows of one
 context, however many, spread over 16 buckets at least; partial counts are
@@ -27,13 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.common import crc_mod, ship, table
-from quire.llm.hashtables import TableRef, bucket_bits, scan_table, write_table
+from quire.llm.hashtables import Bucket, TableRef, bucket_bits, scan_table, write_table
 from quire.llm.textwords import Words, mix, per_row, slices
 
 END, START = (mix(np.array([x], np.uint64))[0] for x in (0xE0D, 0xB05))
 #: Text bytes counted together before the shuffle.
 COUNT_BYTES = 12 << 20
-_32 = np.uint64(32)
+_16, _32 = np.uint64(16), np.uint64(32)
 
 
 def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -51,23 +51,41 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, prev, off
 
 
-def bigram_keys(prev: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Four bits of the word, 32 of the context, 28 of the word."""
-    c, w = prev >> _32, word >> _32
-    return (w >> np.uint64(28)) << np.uint64(60) | c << np.uint64(28) | w & np.uint64((1 << 28) - 1)
+def bigram_keys(prev: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Four bits of the word, 48 of the context, 12 of the word; and 32 more of the word."""
+    c, w = prev >> _16, word >> _16
+    high = (w >> np.uint64(44)) << np.uint64(60) | c << np.uint64(12) | (w >> _32) & np.uint64((1 << 12) - 1)
+    return high, (w & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
-def bigram_parts(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context and word of bigram keys, in the leading 32 bits of each."""
-    c = keys >> np.uint64(28) & np.uint64(0xFFFFFFFF)
-    w = (keys >> np.uint64(60)) << np.uint64(28) | keys & np.uint64((1 << 28) - 1)
-    return c << _32, w << _32
+def bigram_parts(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context and word of bigram keys, in the leading 48 bits of each."""
+    c = high >> np.uint64(12) & np.uint64((1 << 48) - 1)
+    w = (high >> np.uint64(60)) << np.uint64(44) | (high & np.uint64((1 << 12) - 1)) << _32 | low
+    return c << _16, w << _16
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    s = np.sort(keys)
-    at = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else np.zeros(0, int)
-    return s[at], np.diff(np.append(at, len(s)))
+def short(words: np.ndarray) -> np.ndarray:
+    """Words as bigrams know them."""
+    return (words >> _16) << _16
+
+
+def _counted(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct keys, sorted, and how often each occurs."""
+    if len(keys) == 1:
+        keys = [np.sort(keys[0])]
+    else:
+        order = np.argsort(keys[0], kind="stable")
+        keys = [k[order] for k in keys]
+        tied = np.flatnonzero(keys[0][1:] == keys[0][:-1])
+        if len(tied):  # runs that share the first part are few: order them by the second
+            at = np.unique(np.concatenate([tied, tied + 1]))
+            by = at[np.lexsort([k[at] for k in keys[::-1]])]
+            for k in keys:
+                k[at] = k[by]
+    new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    first = np.flatnonzero(np.concatenate([[True], new])) if len(keys[0]) else np.zeros(0, int)
+    return [k[first] for k in keys], np.diff(np.append(first, len(keys[0])))
 
 
 def _counts(docs: DataFrame, pairs: bool) -> DataFrame:
@@ -75,10 +93,11 @@ def _counts(docs: DataFrame, pairs: bool) -> DataFrame:
         for batch in batches:
             for part in slices(batch, limit=COUNT_BYTES):
                 word, prev, _ = tokens(part.column(0))
-                keys, n = _counted(bigram_keys(prev, word) if pairs else word)
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+                keys, n = _counted(*(bigram_keys(prev, word) if pairs else (word,)))
+                cols = [pa.array(keys[0].view(np.int64)), *(pa.array(k.view(np.int32)) for k in keys[1:]), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(cols, ["key", "low", "n"] if pairs else ["key", "n"])
 
-    return docs.select("text").mapInArrow(rows, "key long, n long")
+    return docs.select("text").mapInArrow(rows, "key long, low int, n long" if pairs else "key long, n long")
 
 
 class Discounts(NamedTuple):
@@ -104,8 +123,8 @@ class Discounts(NamedTuple):
 def _count_stats(spark: SparkSession, path: str) -> tuple[int, int, list[int], int]:
     """Keys, sum, how many counts are 1 to 4, how many 3 or more: one row for each bucket, summed."""
 
-    def f(_: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        c = v[0]
+    def f(held: Bucket) -> pa.RecordBatch:
+        c = held.values[0]
         got = [len(c), int(c.sum(dtype=np.int64)), *(int((c == k).sum()) for k in (1, 2, 3, 4)), int((c >= 3).sum())]
         return pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in got], list("abcdefg"))
 
@@ -134,14 +153,14 @@ def train(docs: DataFrame) -> Model:
     words = write_table(_counts(docs, pairs=False), ["n"], bits, "lm-words")
     pairs = write_table(_counts(docs, pairs=True), ["n"], bits, "lm-pairs")
 
-    def contexts(keys: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        c, n = bigram_parts(keys)[0], v[0].astype(np.int64)  # sorted: a bucket has one start of the word
+    def contexts(held: Bucket) -> pa.RecordBatch:
+        c, n = bigram_parts(held.keys, held.low)[0], held.values[0].astype(np.int64)  # sorted: a bucket has one start of the word
         at = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
         sums = [np.add.reduceat(x.astype(np.int64), at) for x in (n, n == 1, n == 2, n >= 3)]
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (c[at].view(np.int64), *sums)], ["key", "n", "n1", "n2", "n3"])
 
-    def follows(keys: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
-        w, n = _counted(bigram_parts(keys)[1])
+    def follows(held: Bucket) -> pa.RecordBatch:
+        (w,), n = _counted(bigram_parts(held.keys, held.low)[1])
         return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
     small = max(4, bits - 2)
@@ -161,17 +180,19 @@ def score_rows(model: Model, col: pa.Array) -> dict[str, np.ndarray]:
     distinct, at = np.unique(word, return_inverse=True)
     c = model.words.lookup(distinct)[0][at]
     base = np.log10((c + 0.5) / (model.n_tokens + 0.5 * (model.n_words + 1)))
-    short, at = np.unique((word >> _32) << _32, return_inverse=True)
-    n = model.follows.lookup(short)[0]
+    known, at = np.unique(short(word), return_inverse=True)
+    n = model.follows.lookup(known)[0]
     uniform = model.floor / (model.n_words + 1)
     p = ((n - model.word_discounts(n)) / max(model.n_types, 1) + uniform)[at]
-    ctx, at = np.unique((prev >> _32) << _32, return_inverse=True)
+    ctx, at = np.unique(short(prev), return_inverse=True)
     total, n1, n2, n3 = model.contexts.lookup(ctx).astype(np.float64)
     d = model.pair_discounts
     back = np.where(total > 0, (d.one * n1 + d.two * n2 + d.more * n3) / np.maximum(total, 1), 1.0)
-    pair, pat = np.unique(bigram_keys(prev, word), return_inverse=True)
-    n = model.pairs.lookup(pair)[0]
-    p = ((n - d(n))[pat] / np.maximum(total, 1)[at]) + back[at] * p
+    high, low = bigram_keys(prev, word)
+    order = np.lexsort((low, high))
+    n = np.empty(len(word))
+    n[order] = model.pairs.lookup(high[order], low[order])[0]
+    p = ((n - d(n)) / np.maximum(total, 1)[at]) + back[at] * p
 
     def summed(x: np.ndarray) -> np.ndarray:
         return np.add.reduceat(x, off[:-1]) if len(off) > 1 else np.zeros(0)

@@ -67,6 +67,20 @@ def test_a_bucket_that_cannot_be_read(spark, monkeypatch):
         ref.lookup(np.array([3], np.uint64))
 
 
+def test_keys_with_low_parts(spark):
+    """Keys that share 64 bits are told apart by 32 more."""
+    rng = np.random.default_rng(6)
+    rows = [(int(k), int(l), int(n)) for k, l, n in zip(rng.choice([-5, 0, 7, 1 << 62], 300), rng.integers(-40, 40, 300), rng.integers(1, 9, 300), strict=True)]
+    want = Counter()
+    for k, l, n in rows:
+        want[k, l] += n
+    path = hashtables.write_table(spark.createDataFrame(rows, "key long, low int, n long").repartition(3), ["n"], 4, "low-table")
+    ref = hashtables.TableRef(spark, path, 4, 1)
+    ask = sorted({*want, (7, 99), (8, 0), (-6, 1)}, key=lambda x: (x[0] % 2**64, x[1] % 2**32))
+    got = ref.lookup(np.array([k for k, _ in ask], np.int64).view(np.uint64), np.array([l for _, l in ask], np.int32).view(np.uint32))
+    assert got[0].tolist() == [want[x] for x in ask]
+
+
 def test_places_that_do_not_fit(spark, odd, monkeypatch):
     import public_tokenizers
 
