@@ -23,6 +23,10 @@ DEFAULT_CONF = {
 }
 
 
+# Spark's default for the last of them.
+SPARK_BATCH_ROWS = "10000"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "quire") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -63,7 +67,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package, once per application, so that a cluster needs no installed copy."""
+    """Give executors this package, once per application, so that a cluster needs no installed copy.
+
+    Also bounds Arrow batches where the session has Spark's own default: rows
+    carry whole texts, and a batch is held several times on its way.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == SPARK_BATCH_ROWS:
+        spark.conf.set(rows, DEFAULT_CONF[rows])
     sc = spark.sparkContext
     if getattr(sc, "_quire_shipped", False):
         return
