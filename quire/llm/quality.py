@@ -33,11 +33,13 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quire.llm.common import carried, crc_mod, land, quoted, ship, table
 from quire.llm.repetition import coverage, duplicate_lines
-from quire.llm.textwords import Words, mix, per_row, slices
+from quire.llm.textwords import Words, mix, per_row, slices, text_beside
 
 FIT_ROWS = 20_000
 TREES, DEPTH, LASSO = 24, 3, 0.002
 SEED = 3
+#: Text bytes whose statistics are taken at once; they take many times that memory.
+STEP_BYTES = 1 << 20
 
 _KINDS = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "lower": b"abcdefghijklmnopqrstuvwxyz", "digit": b"0123456789", "symbol": b"#*$%&<>@^~_=+\\/", "bar": b"|", "bang": b"!?", "point": b".,;:'\"()-", "line": b"\n"}
 _IN = {k: np.isin(np.arange(256), list(v)) for k, v in _KINDS.items()}
@@ -68,18 +70,19 @@ def statistics(col: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and one ``stat_`` column for each statistic."""
+def with_statistics(docs: DataFrame, keep: list[str], inside: bool = False) -> DataFrame:
+    """``keep`` columns and one ``stat_`` column for each statistic; ``inside``: the text is that of the carried ``doc``."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(text_beside(batch), "__text", STEP_BYTES):
                 got = statistics(part.column("__text"))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(got[s], pa.float64()) for s in STATISTICS)], [*keep, *(f"stat_{s}" for s in STATISTICS)])
 
     ship(docs.sparkSession)
     schema = StructType([*(docs.schema[c] for c in keep), *(StructField(f"stat_{s}", DoubleType()) for s in STATISTICS)])
-    return docs.select(*(quoted(c) for c in keep), F.col("text").alias("__text")).mapInArrow(rows, schema)
+    text = [] if inside else [F.col("text").alias("__text")]
+    return docs.select(*(quoted(c) for c in keep), *text).mapInArrow(rows, schema)
 
 
 class Bound(NamedTuple):
@@ -154,15 +157,15 @@ def fit(labelled: DataFrame) -> Ensemble:
     return Ensemble([(found[i], float(weights[i])) for i in np.flatnonzero(weights).tolist()], float(lasso.intercept))
 
 
-def with_score(docs: DataFrame, labels: DataFrame, keep: list[str], rows: int = FIT_ROWS) -> DataFrame:
+def with_score(docs: DataFrame, labels: DataFrame, keep: list[str], rows: int = FIT_ROWS, inside: bool = False) -> DataFrame:
     """``keep`` columns with ``__score``; the text is read once to score and, for the rows of the fit, once to learn."""
     model = fit(training_rows(docs, labels, rows))
-    return with_statistics(docs, keep).select(*(quoted(c) for c in keep), model.score().alias("__score"))
+    return with_statistics(docs, keep, inside).select(*(quoted(c) for c in keep), model.score().alias("__score"))
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents with all their columns, without those scored under 0.5."""
-    return with_score(carried(docs, "doc_id", "text"), labels, ["doc"]).where("__score >= 0.5").select("doc.*")
+    return with_score(carried(docs, "doc_id", "text"), labels, ["doc"], inside=True).where("__score >= 0.5").select("doc.*")
 
 
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,13 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from quire.llm.common import carried, quoted, ship, table
-from quire.llm.textwords import Words, mix, per_row, slices
+from quire.llm.textwords import Words, mix, per_row, slices, text_beside
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Largest share of characters in duplicated n-grams, by n (longer ones are rarer in sound text), and in duplicated lines.
 MAX_NGRAM_SHARE = {5: 0.30, 7: 0.25, 10: 0.20}
 MAX_LINE_SHARE = 0.30
+#: Text bytes measured at once.
+STEP_BYTES = 2 << 20
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -118,19 +120,23 @@ def measures(col: pa.Array) -> dict[str, np.ndarray]:
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_chars", "dup_line_chars", *(f"dup_{k}gram_chars" for k in MAX_NGRAM_SHARE)]
 
 
-def repetition(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """The measures of every document with ``base_failed`` and ``kept``; ``keep`` names the columns carried along (``text`` is read in any case)."""
+def repetition(docs: DataFrame, keep: list[str] | None = None, inside: bool = False) -> DataFrame:
+    """The measures of every document with ``base_failed`` and ``kept``; ``keep`` names the columns carried along.
+
+    ``text`` is read in any case, ``inside`` the carried ``doc`` if so asked.
+    """
     ship(docs.sparkSession)
     keep = keep or ["doc_id"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(text_beside(batch), "__text", STEP_BYTES):
                 got = measures(part.column("__text"))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *(pa.array(got[c], pa.int64()) for c in _COLUMNS)], [*keep, *(f"__{c}" for c in _COLUMNS)])
 
     schema = StructType([*(docs.schema[c] for c in keep), *(StructField(f"__{c}", LongType()) for c in _COLUMNS)])
-    df = docs.select(*(quoted(c) for c in keep), F.col("text").alias("__text")).mapInArrow(count, schema)
+    text = [] if inside else [F.col("text").alias("__text")]
+    df = docs.select(*(quoted(c) for c in keep), *text).mapInArrow(count, schema)
     c = lambda name: F.col(f"__{name}")
     failed = (c("n_words") < MIN_WORDS) | (100 * c("n_repeat_words") > MAX_REPEAT_PERCENT * c("n_words"))
     sound = c("dup_line_chars") <= MAX_LINE_SHARE * c("text_chars")
@@ -141,7 +147,7 @@ def repetition(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """Documents with all their columns, without those that the rules reject."""
-    return repetition(carried(docs, "text"), ["doc"]).where("__kept").select("doc.*")
+    return repetition(carried(docs), ["doc"], inside=True).where("__kept").select("doc.*")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,9 +201,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BIT
 
 def keep_one(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """Documents with all their columns, one of each group: its smallest doc_id (one row, if rows repeat)."""
-    rows = land(carried(docs, "doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "dedup-input")
-    key = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"))
-    ids = near_duplicates(rows.select(key.alias("key"), "text"), words, max_bits, "key")
+    rows = land(carried(docs).withColumn("row", F.monotonically_increasing_id()), "dedup-input")  # texts are landed once
+    key = F.struct(F.col("doc.doc_id").isNull().alias("n"), F.col("doc.doc_id").alias("d"), F.col("row").alias("r"))
+    ids = near_duplicates(rows.select(key.alias("key"), F.col("doc.text").alias("text")), words, max_bits, "key")
     kept = ids.where(F.col("key") == F.col("component_id")).select(F.col("key.r").alias("row"))
     return rows.join(kept, "row", "left_semi").select("doc.*")
 

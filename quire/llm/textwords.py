@@ -49,6 +49,13 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
         a = b
 
 
+def text_beside(batch: pa.RecordBatch, name: str = "__text") -> pa.RecordBatch:
+    """A batch of carried documents with their text as a column of its own, which shares the struct's bytes."""
+    if name in batch.schema.names:
+        return batch
+    return pa.RecordBatch.from_arrays([*batch.columns, batch.column("doc").field("text")], [*batch.schema.names, name])
+
+
 def per_row(values: np.ndarray, row_offsets: np.ndarray) -> np.ndarray:
     """Sum of ``values[row_offsets[i]:row_offsets[i+1]]`` for each i, empty ranges included."""
     total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
