@@ -10,6 +10,11 @@ collision-free bits, ranked by popcount), and for each hash slot the key's
 fingerprint and record number, and for each record its offset and key.  A
 lookup reads a constant number of places: bits, slot, fingerprint, offset.
 
+Beside the shards lies a small table of each one's first and last key (one row
+a shard, gathered as shards are written), so a lookup opens only the shards
+whose range holds its keys: one a key, more only where rows that share a key
+span shards.
+
 Defined results: null and empty texts have the end id alone; rows that share
 a key are told apart by their occurrence in the shard; a null key is a key of
 its own, first in order; empty tables give no shards' rows.
@@ -20,14 +25,15 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import AccumulatorParam, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import land, table
+from quire.llm.common import land, ship, table
 from quire.llm.textwords import mix, slices
 from quire.llm.wordtokens import encoder
 from quire.session import staging_path
@@ -143,6 +149,21 @@ class Shard:
         return self.ids[self.offsets[record] : self.offsets[record + 1]]
 
 
+class _Ranges(AccumulatorParam):
+    """First and last key by shard; a task that ran twice says the same."""
+
+    def zero(self, value: dict) -> dict:
+        return {}
+
+    def addInPlace(self, value1: dict, value2: dict) -> dict:  # noqa: N802
+        value1.update(value2)
+        return value1
+
+
+def _key_table(path: str) -> str:
+    return f"{path.rstrip('/')}-keys"
+
+
 def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> None:
     """Write documents (doc_id integer, text) as shards under ``path``, in ascending doc_id order."""
 
@@ -160,9 +181,15 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
                 counts.append(np.diff(off) + 1)
                 yield pa.RecordBatch.from_arrays([pa.array([raw[a * width : b * width] for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.binary())], ["record"])
         if keys:
-            block = index_block(TaskContext.get().partitionId(), width, *map(np.concatenate, (keys, nulls, counts)))
+            keys, nulls, counts = map(np.concatenate, (keys, nulls, counts))
+            shard, held = TaskContext.get().partitionId(), keys[~nulls]
+            ranges.add({shard: (bool(nulls.any()), *((int(held[0]), int(held[-1])) if len(held) else (None, None)))})
+            block = index_block(shard, width, keys, nulls, counts)
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], ["record"])
 
+    spark = docs.sparkSession
+    ship(spark)
+    ranges = spark.sparkContext.accumulator({}, _Ranges())
     width = np.dtype(encoder(tokenizer).width).itemsize
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -174,9 +201,13 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
     if not line.isascii():
         raise ValueError("the end id's bytes must be ASCII")
     rows.mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value")).write.option("lineSep", line).option("compression", "none").text(path)
+    # The writer numbers its files as tasks are numbered.
+    files = {int(f.rpartition("/part-")[2][:5]): unquote(f) for f in spark.read.format("binaryFile").load(path).inputFiles() if "/part-" in f}
+    table_ = [(files[k], *v) for k, v in sorted(ranges.value.items())]
+    spark.createDataFrame(table_, "file string, has_null boolean, first long, last long").coalesce(1).write.parquet(_key_table(path))
 
 
-def _shard_files(spark: SparkSession, path: str) -> DataFrame:
+def _shard_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(path).where("length > 0").select("content")
 
 
@@ -202,9 +233,24 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return _shard_files(spark, path).mapInArrow(rows, "doc_id long, shard long, at long, n_tokens long, ids_crc32 long")
 
 
+def shards_of(spark: SparkSession, path: str, doc_ids: list[int]) -> list[str]:
+    """The files of the shards whose key range holds one of a bounded list of keys."""
+    keys = spark.createDataFrame([(int(i),) for i in doc_ids], "key long")
+    ranges = spark.read.parquet(_key_table(path))
+    met = ranges.join(F.broadcast(keys), (F.col("first") <= F.col("key")) & (F.col("key") <= F.col("last")), "left_semi")
+    return [r["file"] for r in met.select("file").collect()]
+
+
 def fetch(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """Token ids of a bounded list of keys (it is sent to every task): doc_id, occurrence 0, ids; keys not held give no row."""
+    """Token ids of a bounded list of keys: doc_id, ids of its first occurrence; keys not held give no row.
+
+    Only shards whose key range holds one of them are opened.
+    """
     want = np.array(sorted(set(doc_ids)), np.int64)
+    schema = "doc_id long, ids array<long>"
+    files = shards_of(spark, path, want.tolist())
+    if not files:
+        return spark.createDataFrame([], schema)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,9 +258,12 @@ def fetch(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
                 s = Shard(content.as_buffer())
                 found = s.find(want, np.zeros(len(want), bool), np.zeros(len(want), np.int64))
                 hit = np.flatnonzero(found >= 0)
-                yield pa.RecordBatch.from_arrays([pa.array(want[hit]), pa.array([s.of(r).astype(np.int64) for r in found[hit].tolist()], pa.list_(pa.int64()))], ["doc_id", "ids"])
+                ids = pa.array([s.of(r).astype(np.int64) for r in found[hit].tolist()], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(want[hit]), pa.array(np.full(len(hit), s.shard)), ids], ["doc_id", "shard", "ids"])
 
-    return _shard_files(spark, path).mapInArrow(rows, "doc_id long, ids array<long>")
+    found = _shard_files(spark, files).mapInArrow(rows, "doc_id long, shard long, ids array<long>")
+    first = found.groupBy("doc_id").agg(F.min_by("ids", "shard").alias("ids"))  # rows that share a key may span shards
+    return first.select("doc_id", "ids")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,6 +104,9 @@ def test_token_files_round_trip(spark, odd):
         ids = np.array([*ids_of(WORD, r.text), 1], "<u4")
         want[r.doc_id, len(ids), zlib.crc32(ids.tobytes())] += 1
     assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in tokenfiles.read_shards(spark, path).collect()) == want
+    # A key opens its own shard alone; the starts of documents run on over the shards.
+    every = spark.read.parquet(f"{path}-keys").count()
+    assert every >= 3 and len(tokenfiles.shards_of(spark, path, [6])) == 1 and tokenfiles.shards_of(spark, path, [999]) == []
     found = {r.doc_id: r.ids for r in tokenfiles.fetch(spark, path, [6, 8, 999]).collect()}
     assert sorted(found) == [6, 8] and found[6] == [*ids_of(WORD, odd.where("doc_id = 6").first().text), 1]
 
