@@ -38,10 +38,17 @@ class TableStore:
         self.spark, self.sources_table, self.items_table = spark, sources_table, items_table
         self.commits_table = f"{sources_table}_commits"
 
+    def tables(self) -> dict[str, tuple[str, str]]:
+        """Schema and partition columns of each table."""
+        return {
+            self.sources_table: (schemas.STORED_SOURCES, "bucket_id, generation"),
+            self.items_table: (schemas.STORED_ITEMS, "bucket_id, slot, generation"),
+            self.commits_table: (schemas.COMMITS, "bucket_id"),
+        }
+
     def ensure(self, location: str | None = None) -> None:
         """Create the tables if need be, below ``location`` if given."""
-        parts = {self.sources_table: (schemas.STORED_SOURCES, "bucket_id, generation"), self.items_table: (schemas.STORED_ITEMS, "bucket_id, slot, generation"), self.commits_table: (schemas.COMMITS, "bucket_id")}
-        for name, (schema, keys) in parts.items():
+        for name, (schema, keys) in self.tables().items():
             at = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet PARTITIONED BY ({keys}){at}")
 
@@ -95,9 +102,14 @@ class TableStore:
     def _write(self, table: str, df: DataFrame) -> None:
         df.select(*self.spark.table(table).columns).write.insertInto(table)
 
-    def _commit(self, bucket_id: int, generation: int, slots: list[int], last_ids: tuple[int, int]) -> None:
+    def _write_items(self, bucket_id: int, items: DataFrame, generation: int, before: list[int]) -> list[int]:
+        """Write items as a new generation; returns the generations their contents lie in, if these are kept apart."""
+        self._write(self.items_table, items.withColumns({"slot": slot_of("source_dir"), "generation": F.lit(generation)}))
+        return []
+
+    def _commit(self, bucket_id: int, generation: int, slots: list[int], contents: list[int], last_ids: tuple[int, int]) -> None:
         """Append the version's row, in one file."""
-        row = (bucket_id, generation, generation, slots, *last_ids)
+        row = (bucket_id, generation, generation, slots, contents, *last_ids)
         self._write(self.commits_table, self.spark.createDataFrame([row], schemas.COMMITS).coalesce(1))
 
     def _next_generation(self, bucket_id: int) -> int:
@@ -113,9 +125,9 @@ class TableStore:
         """
         self.clean(bucket_id)  # what a refresh that stopped has left
         g = self._next_generation(bucket_id)
-        self._write(self.items_table, items.withColumns({"slot": slot_of("source_dir"), "generation": F.lit(g)}))
+        contents = self._write_items(bucket_id, items, g, [])
         self._write(self.sources_table, sources.withColumn("generation", F.lit(g)))
-        self._commit(bucket_id, g, [g] * SLOTS, last_ids)
+        self._commit(bucket_id, g, [g] * SLOTS, contents, last_ids)
         self.clean(bucket_id)
 
     def replace_folders(self, bucket_id: int, folders: DataFrame, sources: DataFrame, items: DataFrame, last_ids: tuple[int, int]) -> None:
@@ -125,27 +137,83 @@ class TableStore:
         folders = materialize(folders.select("source_dir").distinct(), "folders")
         slots = [r["slot"] for r in folders.select(slot_of("source_dir").alias("slot")).distinct().collect()]
         kept = self.stored_items(bucket_id, slots).drop("generation", "slot").join(bounded_broadcast(folders), "source_dir", "left_anti")
-        whole = kept.unionByName(items).withColumns({"slot": slot_of("source_dir"), "generation": F.lit(g)})
-        self._write(self.items_table, whole)
+        contents = self._write_items(bucket_id, kept.unionByName(items), g, list(head["contents_at"]) if head else [])
         self._write(self.sources_table, sources.withColumn("generation", F.lit(g)))
         at = list(head["slots"]) if head else [0] * SLOTS
-        self._commit(bucket_id, g, [g if k in slots else old for k, old in enumerate(at)], last_ids)
+        self._commit(bucket_id, g, [g if k in slots else old for k, old in enumerate(at)], contents, last_ids)
         self.clean(bucket_id)
 
     def clean(self, bucket_id: int) -> int:
         """Remove the generations that the last commit doesn't name; returns how many folders went."""
         head, gone = self.head(bucket_id), 0
-        for table, inside in ((self.sources_table, "generation=*"), (self.items_table, "slot=*/generation=*")):
+        for table, (_, keys) in self.tables().items():
+            if "generation" not in keys:
+                continue
+            inside = "slot=*/generation=*" if "slot" in keys else "generation=*"
             root = [r["data_type"] for r in self.spark.sql(f"DESCRIBE FORMATTED {table}").collect() if r["col_name"] == "Location"][0]
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{root}/bucket_id={int(bucket_id)}/{inside}")
             fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
             for status in fs.globStatus(path) or []:  # folders, also of writes that the catalogue never heard of
                 folder = status.getPath()
                 spec = dict(x.split("=", 1) for x in folder.toString().split("/") if "=" in x and x.split("=", 1)[0] in ("slot", "generation"))
-                live = head["slots"][int(spec["slot"])] if head and "slot" in spec else head["sources_at"] if head else None
-                if int(spec["generation"]) != live:
+                if int(spec["generation"]) not in self._live(head, table, spec):
                     own = ", ".join(f"{k} = {int(v)}" for k, v in {"bucket_id": bucket_id, **spec}.items())
                     self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({own})")
                     fs.delete(folder, True)  # a table with a location of its own keeps its files
                     gone += 1
         return gone
+
+    def _live(self, head: Row | None, table: str, spec: dict[str, str]) -> list[int]:
+        """The generations of a table's partition that the last commit names."""
+        if head is None:
+            return []
+        return [head["slots"][int(spec["slot"])]] if "slot" in spec else [head["sources_at"]]
+
+
+class DedupStore(TableStore):
+    """A bucket whose items refer to contents by hash (R4): each distinct content is stored once.
+
+    A refresh of some folders adds the contents that aren't there yet; what no
+    item refers to any more stays until the next full refresh.
+    """
+
+    def __init__(self, spark: SparkSession, sources_table: str = "bucket_sources", items_table: str = "bucket_items"):
+        super().__init__(spark, sources_table, items_table)
+        self.contents_table = f"{items_table}_contents"
+
+    def tables(self) -> dict[str, tuple[str, str]]:
+        return {**super().tables(), self.contents_table: (schemas.STORED_CONTENTS, "bucket_id, generation")}
+
+    def contents(self, bucket_id: int) -> DataFrame:
+        """content_hash, content of every distinct content."""
+        head = self.head(bucket_id)
+        return self._contents(bucket_id, list(head["contents_at"]) if head else [])
+
+    def _contents(self, bucket_id: int, generations: list[int]) -> DataFrame:
+        rows = self._table(self.contents_table).where(F.col("bucket_id") == bucket_id)
+        return rows.where(F.col("generation").isin(generations)).select("content_hash", "content")
+
+    def references(self, bucket_id: int, slots: list[int] | None = None) -> DataFrame:
+        """Items without their contents."""
+        return super().stored_items(bucket_id, slots).drop("content")
+
+    def stored_items(self, bucket_id: int, slots: list[int] | None = None) -> DataFrame:
+        held = self.contents(bucket_id)
+        joined = self.references(bucket_id, slots).join(held, "content_hash")
+        return joined.select(*self.spark.table(self.items_table).columns)
+
+    def _write_items(self, bucket_id: int, items: DataFrame, generation: int, before: list[int]) -> list[int]:
+        # The first item of each hash brings the content; only hashes and ids move to find it.
+        first = items.groupBy("content_hash").agg(F.min("external_item_id").alias("external_item_id"))
+        if before:
+            first = first.join(self._contents(bucket_id, before).select("content_hash"), "content_hash", "left_anti")
+        first = materialize(first.select("external_item_id"), "first-items")
+        new = items.select("external_item_id", "content_hash", "content").join(bounded_broadcast(first), "external_item_id", "left_semi")
+        self._write(self.contents_table, new.select("content_hash", "content", F.lit(bucket_id).alias("bucket_id"), F.lit(generation).alias("generation")))
+        super()._write_items(bucket_id, items.withColumn("content", F.lit(None).cast("string")), generation, [])
+        return [*before, generation]
+
+    def _live(self, head: Row | None, table: str, spec: dict[str, str]) -> list[int]:
+        if table == self.contents_table:
+            return list(head["contents_at"]) if head else []
+        return super()._live(head, table, spec)

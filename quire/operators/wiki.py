@@ -72,7 +72,7 @@ def _keep():
 
 
 class _Paging:
-    """One batch table, landed, with its small key table and stop points.
+    """One batch table, landed (or already so), with its small key table and stop points.
 
     Every decision of the paging rules is taken on the keys; the page
     contents are read again only to emit the kept pages.  A response landed
@@ -80,11 +80,11 @@ class _Paging:
     the first.
     """
 
-    def __init__(self, batches: DataFrame, batch_size: int, page_limit: int | None = None):
+    def __init__(self, batches: DataFrame, batch_size: int, page_limit: int | None = None, landed: bool = False):
         self.batch_size = batch_size
         self.page_limit = page_limit
         view = _batch_view(batches, batch_size).withColumn("_row", F.monotonically_increasing_id())
-        self.batches = land(view, "responses")
+        self.batches = view if landed else land(view, "responses")
         aligned = (F.col("start") >= 0) & (F.col("start") % batch_size == 0)
         self.strays = self.batches.where(~aligned).select("source_dir", "start")
         every = self.batches.where(aligned).select("source_dir", "k", "start", "n", "failed", "_row")
@@ -131,9 +131,13 @@ def rejected_batches(batches: DataFrame, batch_size: int = API_BATCH_SIZE, page_
     return _Paging(batches, batch_size, page_limit).rejects()
 
 
-def listed_pages(batches: DataFrame, batch_size: int = API_BATCH_SIZE, page_limit: int | None = None) -> DataFrame:
-    """Pages of the kept batches with their ordinals (S5 + F5), up to the cap."""
-    return _Paging(batches, batch_size, page_limit).pages()
+def listed_pages(batches: DataFrame, batch_size: int = API_BATCH_SIZE, page_limit: int | None = None, landed: bool = False) -> DataFrame:
+    """Pages of the kept batches with their ordinals (S5 + F5), up to the cap.
+
+    ``landed`` says that ``batches`` is a plain scan of stored files, whose
+    rows come in the same order each time; they aren't written again then.
+    """
+    return _Paging(batches, batch_size, page_limit, landed).pages()
 
 
 def pages_of(kept: DataFrame, batch_size: int = API_BATCH_SIZE, oversized: bool | None = None) -> DataFrame:

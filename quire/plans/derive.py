@@ -23,12 +23,15 @@ from pyspark.sql import functions as F
 from quire.functions.naming import git_dir_name, logical_name, source_dir, wiki_dir_name
 from quire.operators.numbering import dense_number, rank_within
 from quire.operators.stage import land, materialize
+from quire.session import staging_path
+from quire.sources import landed
 
 # Fixed values of the derivation (mirrored in the SQL).
 GIT_HOST = "https://git.example.com/"
 DOC_WIKI_HOST = "https://wiki.example.com/"
 PAGE_SPACE_KEY = "KB"
 README_MAX_CHARS = 300
+EPOCH = 1_700_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +86,62 @@ def doc_files(documents: DataFrame, with_doc_id: bool = False) -> DataFrame:
     return files.unionByName(readmes)
 
 
+def modified_at() -> Column:
+    """A time for each document: sources change in seasons of their own."""
+    days = F.ascii(F.right(F.col("source"), F.lit(1))) % 5 * 100 + F.col("doc_id") % 97
+    return F.timestamp_seconds(F.lit(EPOCH) + days * 86400)
+
+
+def timed_files(documents: DataFrame) -> DataFrame:
+    """:func:`doc_files` without README copies, with the time each was modified."""
+    return documents.select(
+        doc_source_dir("source").alias("source_dir"),
+        doc_rel_path().alias("rel_path"),
+        F.octet_length("text").cast("long").alias("length"),
+        F.col("text").cast("binary").alias("content"),
+        modified_at().alias("modified"),
+    )
+
+
+def deep_files(documents: DataFrame) -> DataFrame:
+    """Files so deep that their names lose their folders, which then collide."""
+    rel = F.concat(F.lit("pkg"), F.col("doc_id").cast("string"), F.lit("/" + "a_folder_of_some_depth/" * 3), F.repeat(F.lit("x"), F.lit(190)), F.lit("/file"), (F.col("doc_id") % 20).cast("string"), F.lit(".txt"))
+    return documents.select(
+        doc_source_dir("source").alias("source_dir"),
+        rel.alias("rel_path"),
+        F.octet_length("text").cast("long").alias("length"),
+        F.col("text").cast("binary").alias("content"),
+    )
+
+
+def doc_links(documents: DataFrame) -> DataFrame:
+    """Links in every repository (F2): to its first plain file, to nothing, to itself (a loop), and to a hidden folder."""
+    first = documents.where(F.col("doc_id") % 11 > 3).groupBy("source").agg(F.min("doc_id").alias("doc_id"))
+    kinds = F.array(
+        *(F.struct(F.lit(at).alias("rel_path"), to.alias("to")) for at, to in (
+            ("links/first", F.concat(F.lit("../"), doc_rel_path())), ("links/gone", F.lit("../no/such/file")), ("links/up", F.lit(".."))
+        ))
+    )
+    return first.select(doc_source_dir("source").alias("source_dir"), F.explode(kinds).alias("k")).select("source_dir", "k.*")
+
+
+def catalogue_files(documents: DataFrame) -> str:
+    """The catalogue of :func:`doc_sources` as landed JSON: one array a type, in the order of the addresses; returns the files' glob."""
+    record = F.struct("type", "repo_url", "reference", "base_url", "space_key")
+    ordered = F.sort_array(F.collect_list(F.struct(F.coalesce("repo_url", "base_url").alias("address"), record.alias("record"))))
+    arrays = doc_sources(documents).groupBy("type").agg(F.to_json(F.transform(ordered, lambda x: x["record"])).alias("value"))  # configuration-sized
+    path = staging_path(documents.sparkSession, "catalogue")
+    arrays.withColumn("file", F.col("type")).select("value", "file").coalesce(1).write.partitionBy("file").text(path)
+    return f"{path}/*/*.txt"
+
+
+def landed_responses(pages: DataFrame, batch_size: int) -> DataFrame:
+    """:func:`whole_responses` landed as several JSON files and read as such."""
+    path = staging_path(pages.sparkSession, "responses")
+    whole_responses(pages, batch_size).write.json(path)
+    return landed.read_responses(pages.sparkSession, path)
+
+
 def doc_catalogue(documents: DataFrame) -> DataFrame:
     """Source catalogue (S1 shape + source_dir, pos): repositories and empty spaces."""
     return numbered_catalogue(doc_sources(documents))

@@ -8,7 +8,8 @@ candidate that fits, and ids are global ``row_number`` windows.
 from __future__ import annotations
 
 from quire.functions.pdf import PDF_STUB
-from quire.plans.queries import BUCKET_ID, OTHER_BUCKET_ID, PAGE_CAP, REPORT_PART, WIKI_BATCH
+from quire.plans.derive import EPOCH
+from quire.plans.queries import BUCKET_ID, LANDING, OTHER_BUCKET_ID, PAGE_CAP, REPORT_PART, SINCE_DAYS, WIKI_BATCH
 
 NL = "chr(10)"
 
@@ -460,3 +461,44 @@ WHERE source_dir NOT IN (SELECT source_dir FROM refreshed)
 UNION ALL
 SELECT source_dir, rel_path, sha256(content) FROM doc_files
 WHERE source_dir IN (SELECT source_dir FROM refreshed)"""
+
+
+ORACLE["tree_links"] = w(DOC_FILES) + f"""
+, seen AS (
+  SELECT source_dir, rel_path, CAST(strlen(arg_max(content, doc_id)) AS BIGINT) AS length, sha256(arg_max(content, doc_id)) AS content_hash
+  FROM doc_files GROUP BY source_dir, rel_path
+), tree AS (
+  SELECT * FROM seen WHERE NOT list_has_any(string_split(rel_path, '/')[1:len(string_split(rel_path, '/')) - 1], ['.git', 'target'])
+), firsts AS (
+  SELECT f.source_dir, f.rel_path FROM doc_files f JOIN (SELECT min(doc_id) AS doc_id FROM documents WHERE doc_id % 11 > 3 GROUP BY source) m
+  ON f.doc_id = m.doc_id AND f.rel_path <> 'README.md'
+)
+SELECT * FROM tree
+UNION ALL
+SELECT s.source_dir, 'links/first', s.length, s.content_hash FROM firsts f JOIN seen s ON s.source_dir = f.source_dir AND s.rel_path = f.rel_path"""
+
+ORACLE["catalogue_manifest"] = w(DOC_CAT) + f"""
+SELECT row_number() OVER (ORDER BY type, coalesce(repo_url, base_url)) - 1 AS pos, type, logical_name, source_dir,
+       '{LANDING}/' || source_dir AS local_path, repo_url, space_key
+FROM (SELECT type, repo_url, source_dir, logical_name, CAST(NULL AS VARCHAR) AS base_url, CAST(NULL AS VARCHAR) AS space_key FROM doc_cat WHERE type = 'git'
+      UNION ALL
+      SELECT 'confluence', NULL, translate('confluence_' || rtrim(b, '/') || '_' || upper(lang), '/:', '__'), b || ':' || upper(lang), b, upper(lang)
+      FROM (SELECT DISTINCT lang, 'https://wiki.example.com/' || lang || '/' AS b FROM documents))"""
+
+ORACLE["deep_name_collisions"] = w(DOC_CAT) + f"""
+SELECT c.pos, 'file' || CAST(d.doc_id % 20 AS VARCHAR) || '.txt' AS filename, count(*) AS n
+FROM documents d JOIN doc_cat c ON c.source_dir = {GIT_DIR.format(s='d.source')} GROUP BY ALL HAVING count(*) > 1"""
+
+ORACLE["space_failures"] = w(SPACES) + """
+SELECT source_dir, CASE WHEN length(source_dir) % 2 = 0 THEN 503 END AS status, body FROM spaces
+WHERE length(source_dir) % 2 = 0 OR length(source_dir) % 3 = 0"""
+
+ORACLE["content_store"] = w(DOC_FILES, DOC_CAT, DOC_ITEMS, LOADED) + """
+SELECT sha256(content) AS content_hash, CAST(any_value(strlen(content)) AS BIGINT) AS n_bytes, count(*) AS n_items
+FROM loaded GROUP BY sha256(content)"""
+
+ORACLE["recently_modified"] = w(DOC_FILES) + f"""
+SELECT f.source_dir, f.rel_path, f.length, t.at AS modified
+FROM doc_files f JOIN (SELECT doc_id, CAST({EPOCH} + (ascii(right(source, 1)) % 5 * 100 + doc_id % 97) * 86400 AS BIGINT) AS at FROM documents) t
+  ON f.doc_id = t.doc_id AND f.rel_path <> 'README.md'
+WHERE t.at >= {EPOCH + SINCE_DAYS * 86400}"""

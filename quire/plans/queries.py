@@ -6,6 +6,7 @@ The DuckDB twins of these queries are in :mod:`quire.plans.oracle`.
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -25,11 +26,11 @@ from quire.functions.text import html_to_markdown, lossy_utf8
 from quire.operators import audit, bucket, process, report, wiki
 from quire.operators.sizing import bounded_broadcast
 from quire.operators.stage import land
-from quire.operators.store import TableStore
+from quire.operators.store import DedupStore, TableStore
 from quire.plans import derive, sync
 from quire.plans.derive import table
 from quire.session import staging_path
-from quire.sources import landed, snapshot, treescan
+from quire.sources import catalogue, landed, snapshot, treescan
 from quire.streaming import incremental
 
 # Query parameters (mirrored in the SQL).
@@ -38,6 +39,8 @@ OTHER_BUCKET_ID = 8
 WIKI_BATCH = 2
 PAGE_CAP = 3
 REPORT_PART = 20
+SINCE_DAYS = 350
+LANDING = "/shared/landing"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +83,17 @@ def q_source_manifest(spark, sf) -> DataFrame:
     )
 
 
+def q_catalogue_manifest(spark, sf) -> DataFrame:
+    """The catalogue read from landed JSON files, and its manifest with the original records."""
+    sources = catalogue.read_sources(spark, derive.catalogue_files(table(spark, sf, "documents")))
+    bad = catalogue.invalid_sources(sources).count()
+    if bad:
+        raise ValueError(f"{bad} invalid sources")
+    return catalogue.manifest(sources, LANDING).select(
+        _long("pos").alias("pos"), "type", "logical_name", "source_dir", "local_path", F.col("original_source.repo_url").alias("repo_url"), F.col("original_source.space_key").alias("space_key")
+    )
+
+
 # ------------------------------------------------------ repository items
 
 
@@ -125,6 +139,12 @@ def q_flat_name_collisions(spark, sf) -> DataFrame:
     return audit.flat_name_collisions(items).select(_long("pos").alias("pos"), "filename", "n")
 
 
+def q_deep_name_collisions(spark, sf) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    items, _ = process.flatten_files(derive.deep_files(docs), derive.manifest_of(derive.doc_catalogue(docs)))
+    return audit.flat_name_collisions(items).select(_long("pos").alias("pos"), "filename", "n")
+
+
 # -------------------------------------------------------------- wiki pages
 
 
@@ -141,7 +161,7 @@ def q_page_stems(spark, sf) -> DataFrame:
 
 def _kept_pages(spark, sf, batch=WIKI_BATCH, page_limit=None):
     batches = derive.page_batches(table(spark, sf, "pages"), batch)
-    return wiki.listed_pages(batches, batch, page_limit)
+    return wiki.listed_pages(batches, batch, page_limit, landed=True)
 
 
 def q_paging_stop(spark, sf) -> DataFrame:
@@ -173,6 +193,14 @@ def q_last_write_wins(spark, sf) -> DataFrame:
     return winners.unionByName(spaces)
 
 
+def q_space_failures(spark, sf) -> DataFrame:
+    """Space documents whose response failed, of hosts with an even number of letters, or had no status."""
+    size = F.length("source_dir")
+    status = F.when(size % 2 == 0, F.lit(503)).when(size % 3 > 0, F.lit(200))
+    spaces = derive.page_spaces(table(spark, sf, "pages")).select("source_dir", status.alias("status"), "body")
+    return landed.failed_spaces(spaces)
+
+
 # ------------------------------------------------------------------ bucket
 
 
@@ -255,10 +283,10 @@ def q_bucket_delete_item(spark, sf) -> DataFrame:
     return kept.select("external_source_id", "external_item_id", "url", "content_hash")
 
 
-def _scratch_store(spark) -> TableStore:
+def _scratch_store(spark, kind: type[TableStore] = TableStore) -> TableStore:
     """A store under the checkpoint folder, in tables of its own, which go with the session."""
     tag = uuid.uuid4().hex
-    store = TableStore(spark, f"quire_sources_{tag}", f"quire_items_{tag}")
+    store = kind(spark, f"quire_sources_{tag}", f"quire_items_{tag}")
     store.ensure(staging_path(spark, "bucket"))
     return store
 
@@ -311,7 +339,7 @@ def q_mixed_sources(spark, sf) -> DataFrame:
     repos = derive.doc_sources(docs).where(F.col("type") == "git")
     cat = derive.numbered_catalogue(repos.unionByName(derive.page_sources(pages)))
     # Every page of every space, through the reader of landed responses.
-    responses = derive.whole_responses(pages, WIKI_BATCH)
+    responses = derive.landed_responses(pages, WIKI_BATCH)
     spaces = landed.space_documents(responses)
     landed.check_spaces(spaces)
     wfiles, _ = wiki.wiki_files(landed.content_batches(responses), spaces, WIKI_BATCH)
@@ -350,6 +378,28 @@ def q_dedup_exact(spark, sf) -> DataFrame:
     return audit.dedup_exact(loaded).select("content_hash", "external_source_id", "external_item_id")
 
 
+def q_content_store(spark, sf) -> DataFrame:
+    """The full refresh with contents stored once: every content and how many items refer to it."""
+    _, files, manifest = _doc_inputs(spark, sf)
+    store = _scratch_store(spark, DedupStore)
+    sync.synchronise(spark, files, manifest, BUCKET_ID, store=store)
+    used = store.references(BUCKET_ID).groupBy("content_hash").agg(F.count("*").alias("n_items"))
+    held = store.contents(BUCKET_ID)
+    sizes = held.select(F.sha2("content", 256).alias("content_hash"), F.octet_length("content").cast("long").alias("n_bytes"))
+    return sizes.join(used, "content_hash", "full")
+
+
+def q_recently_modified(spark, sf) -> DataFrame:
+    """Files of the stored snapshots changed since a day; folders without any aren't read."""
+    docs = table(spark, sf, "documents")
+    name = f"quire_{uuid.uuid4().hex}"
+    snapshot.ensure_snapshot_table(spark, name, staging_path(spark, "table"))
+    files = derive.timed_files(docs)
+    snapshot.replace_snapshots(spark, name, files, files.select("source_dir").distinct())
+    since = datetime.datetime.fromtimestamp(derive.EPOCH + SINCE_DAYS * 86400, datetime.UTC)
+    return snapshot.recent_files(spark, name, since).select("source_dir", "rel_path", "length", F.unix_timestamp("modified").alias("modified"))
+
+
 def q_snapshot_diff(spark, sf) -> DataFrame:
     docs = table(spark, sf, "documents")
     labels = table(spark, sf, "labels")
@@ -387,6 +437,15 @@ def q_tree_scan(spark, sf) -> DataFrame:
     return files.select("source_dir", "rel_path", "length", F.sha2("content", 256).alias("content_hash"))
 
 
+def q_tree_links(spark, sf) -> DataFrame:
+    """A landed tree with links: to a file (read), to nothing (skipped), to a folder above (not entered again)."""
+    docs = table(spark, sf, "documents")
+    root = treescan.land_tree(derive.doc_files(docs, with_doc_id=True))
+    treescan.land_links(root, derive.doc_links(docs))
+    files = treescan.read_tree(spark, root)
+    return files.select("source_dir", "rel_path", "length", F.sha2("content", 256).alias("content_hash"))
+
+
 QUERIES: dict[str, Query] = {
     "source_dir_names": q_source_dir_names,
     "source_manifest": q_source_manifest,
@@ -418,4 +477,10 @@ QUERIES: dict[str, Query] = {
     "checksum_audit": q_checksum_audit,
     "lossy_text": q_lossy_text,
     "tree_scan": q_tree_scan,
+    "tree_links": q_tree_links,
+    "catalogue_manifest": q_catalogue_manifest,
+    "deep_name_collisions": q_deep_name_collisions,
+    "space_failures": q_space_failures,
+    "content_store": q_content_store,
+    "recently_modified": q_recently_modified,
 }

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators import bucket, process, report
-from quire.operators.store import TableStore
+from quire.operators.store import DedupStore, TableStore
 from quire.plans import derive
 
 
@@ -39,14 +39,15 @@ def synchronise(
     strict: bool = True,
     backend_state=None,
     store: TableStore | None = None,
+    dedup: bool = False,
 ) -> SyncResult:
     """Gated full refresh of one bucket; returns the nested report and the rejects.
 
-    ``store`` is any object with the methods of
+    With ``dedup`` the tables keep each distinct content once.  ``store`` is any object with the methods of
     :class:`quire.operators.store.TableStore` that are used here.
     """
     bucket._check_bucket_id(bucket_id)
-    store = store or TableStore(spark, sources_table, items_table)
+    store = store or (DedupStore if dedup else TableStore)(spark, sources_table, items_table)
     store.ensure()
     items, rejects = process.process(files, manifest, kind)
     if strict:

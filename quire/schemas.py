@@ -6,6 +6,12 @@ SOURCES = (
 
 FILES = "source_dir string, rel_path string, length bigint, content binary"
 
+# The snapshot table: files with the time each was last modified.
+SNAPSHOTS = "rel_path string, length bigint, content binary, modified timestamp, source_dir string"
+
+# What the snapshot table holds of each folder, for pruning by time.
+SNAPSHOT_FOLDERS = "source_dir string, n_files bigint, first_modified timestamp, last_modified timestamp"
+
 PAGE = (
     "struct<title:string, body:struct<storage:struct<value:string>>, "
     "ancestors:array<struct<title:string>>>"
@@ -36,8 +42,11 @@ BUCKET_ITEMS = (
 STORED_SOURCES = f"{BUCKET_SOURCES}, source_dir string, generation bigint"
 STORED_ITEMS = f"{BUCKET_ITEMS}, source_dir string, rel_path string, slot int, generation bigint"
 
+# Contents by hash, where items only refer to them.
+STORED_CONTENTS = "content_hash string, content string, bucket_id int, generation bigint"
+
 # One row of a commit: the generation a bucket's sources and each slot of its items lie in, and the last ids given.
-COMMITS = "bucket_id int, version bigint, sources_at bigint, slots array<bigint>, last_source_id bigint, last_item_id bigint"
+COMMITS = "bucket_id int, version bigint, sources_at bigint, slots array<bigint>, contents_at array<bigint>, last_source_id bigint, last_item_id bigint"
 
 REPORT = (
     "source_id bigint, source_name string, part bigint, "

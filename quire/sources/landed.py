@@ -77,10 +77,14 @@ class SpaceFetchError(RuntimeError):
     pass
 
 
+def failed_spaces(spaces: DataFrame) -> DataFrame:
+    """Space documents with a non-2xx status, or with none."""
+    return spaces.where(~F.coalesce(F.col("status").between(200, 299), F.lit(False)))
+
+
 def check_spaces(spaces: DataFrame) -> None:
-    """A space document with a non-2xx status fails the run, showing its body."""
-    ok = F.coalesce(F.col("status").between(200, 299), F.lit(False))  # no status: failed
-    bad = spaces.where(~ok).limit(1).collect()
+    """A space document that failed fails the run, showing its body."""
+    bad = failed_spaces(spaces).limit(1).collect()
     if bad:
         r = bad[0]
         raise SpaceFetchError(f"space {r['source_dir']} returned status {r['status']}: {r['body']}")

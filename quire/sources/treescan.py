@@ -329,3 +329,20 @@ def land_tree(files: DataFrame, order: str = "doc_id") -> str:
     os.makedirs(root, exist_ok=True)
     rows.mapInPandas(write, "n long").agg(F.sum("n")).collect()
     return root
+
+
+def land_links(root: str, links: DataFrame) -> None:
+    """Add symbolic links (source_dir, rel_path, to) to a landed tree; ``to`` is taken as it is."""
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = 0
+        for pdf in batches:
+            for folder, rel, to in zip(pdf["source_dir"], pdf["rel_path"], pdf["to"], strict=True):
+                full = os.path.join(root, folder, rel)
+                os.makedirs(os.path.dirname(full), exist_ok=True)
+                if not os.path.islink(full):  # a task may run twice
+                    os.symlink(to, full)
+                n += 1
+        yield pd.DataFrame({"n": [n]})
+
+    links.select("source_dir", "rel_path", "to").mapInPandas(write, "n long").agg(F.sum("n")).collect()

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.operators import bucket, report
-from quire.operators.store import TableStore
+from quire.operators.store import DedupStore, TableStore
 from quire.plans import sync
 from tests.test_process import files_df, manifest_df
 
@@ -239,3 +239,25 @@ def test_report_parts_of_a_hot_source(spark):
     hot = [r for r in rows if r["source_id"] == 1]
     assert [r["part"] for r in hot] == list(range(7)) and [x["item_id"] for r in hot for x in r["items"]] == list(range(1, 401))
     assert [r["items"] for r in rows if r["source_id"] == 42] == [[]]
+
+
+def test_contents_are_stored_once(spark, tmp_path):
+    """The same items as without, a row for each distinct content; a refresh of a folder adds only what is new."""
+    tree = {"s": {"a": b"1", "b": b"2", "c": b"1"}, "t": {"d": b"1", "e": b""}}
+    man, tag = manifest_df(spark, ["s", "t"]), uuid.uuid4().hex[:8]
+    got = {}
+    for kind in (TableStore, DedupStore):
+        store = kind(spark, f"ds_{tag}_{kind.__name__}", f"di_{tag}_{kind.__name__}")
+        store.ensure(str(tmp_path / kind.__name__))
+        res = sync.synchronise(spark, files_df(spark, tree), man, 7, store=store)
+        got[kind] = sorted(map(tuple, store.items(7).collect())), res.n_items, sorted(map(str, res.report.collect()))
+    assert got[TableStore] == got[DedupStore]
+    texts = lambda: sorted(r["content"] for r in store.contents(7).collect())
+    assert texts() == ["", "1", "2"]
+    from quire.streaming import incremental
+
+    incremental.refresh_sources(spark, files_df(spark, {"t": {"d": b"2", "f": b"new"}}), man, 7, "", "", store=store)
+    assert texts() == ["", "1", "2", "new"]
+    assert sorted((r["url"], r["content"]) for r in store.items(7).collect()) == [("a", "1"), ("b", "2"), ("c", "1"), ("d", "2"), ("f", "new")]
+    sync.synchronise(spark, files_df(spark, {"s": {"a": b"1"}}), manifest_df(spark, ["s"]), 7, store=store)
+    assert texts() == ["1"] and spark.table(store.contents_table).count() == 1

@@ -35,15 +35,16 @@ def test_folder_name_with_comma(spark, tmp_path):
     assert sorted(r.source_dir for r in got) == ["git_a,b_main", "git_c_main"]
 
 
-def test_snapshot_leaves_other_folders(spark):
+def test_snapshot_leaves_other_folders(spark, tmp_path):
     schema = "source_dir string, rel_path string, length long, content binary"
-    spark.sql("DROP TABLE IF EXISTS loss_snap")
     row = lambda d, c: (d, "f.txt", 1, bytearray(c))
     dirs = lambda *d: spark.createDataFrame([(x,) for x in d], "source_dir string")
+    snapshot.ensure_snapshot_table(spark, "loss_snap", str(tmp_path))
     snapshot.replace_snapshots(spark, "loss_snap", spark.createDataFrame([row("a", b"1"), row("b", b"1")], schema), dirs("a", "b"))
     snapshot.replace_snapshots(spark, "loss_snap", spark.createDataFrame([row("a", b"2"), row("b", b"2")], schema), dirs("a"))
     got = {r.source_dir: bytes(r.content) for r in snapshot.read_snapshots(spark, "loss_snap").collect()}
     spark.sql("DROP TABLE loss_snap")
+    spark.sql("DROP TABLE loss_snap_folders")
     assert got == {"a": b"2", "b": b"1"}
 
 

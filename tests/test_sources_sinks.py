@@ -44,7 +44,7 @@ def test_empty_catalogue(spark):
 
 def test_snapshot_replace(spark, tmp_path):
     t = f"snap_{uuid.uuid4().hex[:8]}"
-    spark.sql(f"CREATE TABLE {t} ({schemas.FILES}) USING parquet PARTITIONED BY (source_dir) LOCATION '{tmp_path}/t'")
+    snapshot.ensure_snapshot_table(spark, t, str(tmp_path))
     snapshot.replace_snapshots(spark, t, files_df(spark, {"a": {"x": b"1", "old": b"2"}, "b": {"y": b"3"}}),
                                spark.createDataFrame([("a",), ("b",)], "source_dir string"))
     # re-snapshot a (one file gone) and c (new); b becomes empty; nothing else changes
@@ -55,6 +55,47 @@ def test_snapshot_replace(spark, tmp_path):
     spark.sql(f"DROP TABLE {t}")
 
 
+def test_recent_files_prune_folders(spark, tmp_path):
+    t = f"snap_{uuid.uuid4().hex[:8]}"
+    snapshot.ensure_snapshot_table(spark, t, str(tmp_path))
+    rows = [(f"d'{k}\\é", f"f{i}", 1, bytearray(b"x"), 100 * k + i) for k in range(6) for i in range(5)]
+    files = spark.createDataFrame(rows, "source_dir string, rel_path string, length long, content binary, s long").withColumn("modified", F.timestamp_seconds("s")).drop("s")
+    dirs = files.select("source_dir").distinct()
+    snapshot.replace_snapshots(spark, t, files, dirs)
+    recent = snapshot.recent_files(spark, t, "1970-01-01 00:06:43")  # second 403
+    assert sorted((r["source_dir"], r["rel_path"]) for r in recent.collect()) == sorted((d, p) for d, p, _, _, s in rows if s >= 403)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "source_dir" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = {r["f"] for r in recent.select(F.col("_metadata.file_path").alias("f")).distinct().collect()}
+    assert len({f.rpartition("/")[0] for f in read}) == 2  # of six folders
+    # A folder without its row (a refresh that stopped) is read in any case; a time that isn't known counts as old.
+    spark.createDataFrame([], schemas.SNAPSHOT_FOLDERS).write.insertInto(snapshot.folders_table(t), overwrite=True)
+    spark.catalog.refreshTable(snapshot.folders_table(t))
+    assert snapshot.recent_files(spark, t, "1970-01-01 00:06:43").count() == 7
+    snapshot.replace_snapshots(spark, t, files.drop("modified").where("source_dir like 'd_5%'"), dirs.where("source_dir like 'd_5%' or source_dir like 'd_4%'"))
+    assert snapshot.recent_files(spark, t, "1970-01-01 00:06:43").count() == 0
+    assert snapshot.read_snapshots(spark, t).count() == 25  # five folders left, one of them emptied
+    for name in (t, snapshot.folders_table(t)):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_snapshot_contents_are_read_once(spark, tmp_path):
+    t = f"snap_{uuid.uuid4().hex[:8]}"
+    snapshot.ensure_snapshot_table(spark, t, str(tmp_path))
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for pdf in batches:
+            reads.add(len(pdf))
+            yield pdf
+
+    files = files_df(spark, {"a": {f"f{i}": b"x" for i in range(40)}, "b": {"y": b"z"}}).mapInPandas(count, schemas.FILES)
+    snapshot.replace_snapshots(spark, t, files, spark.createDataFrame([("a",), ("b",), ("c",)], "source_dir string"))
+    assert snapshot.read_snapshots(spark, t).count() == 41 and reads.value == 41
+    for name in (t, snapshot.folders_table(t)):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_recently_modified(spark):
     df = spark.createDataFrame([("a", "2026-01-01 00:00:00"), ("b", "2026-06-01 00:00:00")], "p string, modified string")
     df = df.withColumn("modified", F.to_timestamp("modified"))
@@ -200,7 +241,7 @@ def test_sync_landed_end_to_end(spark, tmp_path):
     s, i = f"es_{tag}", f"ei_{tag}"
     TableStore(spark, s, i).ensure(str(tmp_path))
     snap = f"sn_{tag}"
-    spark.sql(f"CREATE TABLE {snap} ({schemas.FILES}) USING parquet PARTITIONED BY (source_dir) LOCATION '{tmp_path}/snap'")
+    snapshot.ensure_snapshot_table(spark, snap, str(tmp_path / "snap"))
     res = sync.sync_landed(spark, sources, 7, str(tmp_path / "trees"), str(tmp_path / "wiki.jsonl"),
                            sources_table=s, items_table=i, snapshot_table=snap)
     rep = {r["source_name"]: sorted(x["item_name"] for x in r["items"]) for r in res.report.collect()}
