@@ -23,6 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,12 +91,25 @@ def _counted(*keys: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
 
 def _counts(docs: DataFrame, pairs: bool) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def counted() -> pa.RecordBatch:
+            keys, n = _counted(*map(np.concatenate, zip(*held, strict=True)))
+            held.clear()
+            cols = [pa.array(keys[0].view(np.int64)), *(pa.array(k.view(np.int32)) for k in keys[1:]), pa.array(n.astype(np.int64))]
+            return pa.RecordBatch.from_arrays(cols, ["key", "low", "n"] if pairs else ["key", "n"])
+
         for batch in batches:
-            for part in slices(batch, limit=COUNT_BYTES):
+            for part in slices(batch):
                 word, prev, _ = tokens(part.column(0))
-                keys, n = _counted(*(bigram_keys(prev, word) if pairs else (word,)))
-                cols = [pa.array(keys[0].view(np.int64)), *(pa.array(k.view(np.int32)) for k in keys[1:]), pa.array(n.astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(cols, ["key", "low", "n"] if pairs else ["key", "n"])
+                held.append(bigram_keys(prev, word) if pairs else (word,))
+                size += pc.sum(pc.binary_length(part.column(0))).as_py() or 0
+                if size >= COUNT_BYTES:
+                    yield counted()
+                    size = 0
+        if held:
+            yield counted()
 
     return docs.select("text").mapInArrow(rows, "key long, low int, n long" if pairs else "key long, n long")
 
