@@ -11,8 +11,8 @@ equal strings have equal ones.
    all their strings repeat.
 2. What is left are the edges of repeats: grams with several classes.  One
    anchor of each class becomes a suffix with its bytes.  Sampled splitters
-   range-partition the suffixes by their leading bytes; each bucket sorts by
-   multikey quicksort and compares neighbours.  A row's number is the last
+   range-partition the suffixes by their leading bytes into buckets of bounded
+   size; each sorts by multikey quicksort and compares neighbours.  A row's number is the last
    sort key, so suffixes that very many texts share are dealt over many
    buckets.
 3. Buckets compare across boundaries.  Equal strings are neighbours up to
@@ -49,6 +49,8 @@ from quire.llm.textwords import PAD, slices, text_bytes
 LENGTH = 400
 #: Text bytes in a block; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Bytes of suffixes in a bucket, about; sorting takes some ten times that memory.
+BUCKET_BYTES = 8 << 20
 _CLASS = ["gram", "digest", "lead", "span"]
 
 
@@ -182,7 +184,9 @@ def _compared(suffixes: DataFrame, key: Column, length: int, gram: int, by_after
             digest = np.frombuffer(b"".join(hashlib.sha256(view[x : x + length]).digest()[:16] for x in at.tolist()), np.int64).reshape(-1, 2)
             yield out(w, p1[w] + lead[w] - d, np.where(flags[w, d], -1, 0), digest=digest)
 
-    keyed = suffixes.select("block", "p1", "lead", "low", "bytes", key.alias("key")).repartitionByRange("key", F.xxhash64("block", "p1")).drop("key")
+    held = suffixes.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    buckets = -(-held // BUCKET_BYTES) or 1
+    keyed = suffixes.select("block", "p1", "lead", "low", "bytes", key.alias("key")).repartitionByRange(buckets, "key", F.xxhash64("block", "p1")).drop("key")
     schema = "block long, p1 long, span int, lead int, low int, bytes binary, f1 long, f2 long"
     return land(keyed.mapInArrow(bucket, schema), "suffix-matches")
 

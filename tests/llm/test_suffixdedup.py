@@ -34,6 +34,7 @@ def check(spark, texts, length):
 def test_random_texts(spark, monkeypatch, alphabet, length, parts):
     """Small alphabets repeat strings everywhere; one or many buckets, many blocks."""
     monkeypatch.setattr(suffixdedup, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(suffixdedup, "BUCKET_BYTES", {"1": 1 << 30, "4": 2000, "9": 500}[parts])
     rng = np.random.default_rng(length)
     pool = ["".join(rng.choice(list(alphabet), int(n))) for n in rng.integers(0, 3 * length, 40)]
     texts = ["".join(pool[i] for i in rng.integers(0, len(pool), int(k))) for k in rng.integers(0, 6, 60)]
