@@ -40,6 +40,8 @@ from quire.session import staging_path
 
 #: Text bytes of a shard; a shard is read whole by one task.
 SHARD_BYTES = 24 << 20
+#: Text bytes encoded at once.
+STEP_BYTES = 1 << 20
 END_ID = 1
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _TRAILER = struct.Struct("<4sHHqqqq")  # magic, id bytes, levels, shard, records, payload bytes, index bytes before this
@@ -172,7 +174,7 @@ def write_shards(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_I
         width = np.dtype(enc.width).itemsize
         keys, nulls, counts = [], [], []
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=STEP_BYTES):
                 ids, off = enc.encode(part.column("text"))
                 raw = ids.astype(enc.width).tobytes()
                 col = part.column("doc_id")
@@ -215,6 +217,7 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """Every document of the shards, each looked up by its key: doc_id, shard, at (ids before it in the shard), n_tokens, ids_crc32."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder.cache_clear()  # a worker that wrote shards needs its words no more
         for batch in batches:
             for content in batch.column(0):
                 s = Shard(content.as_buffer())
