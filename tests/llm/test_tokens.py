@@ -96,6 +96,21 @@ def test_word_of_very_many_tokens():
     assert again[: to[1]].tolist() == [*cd, *ids_of(WORD, "new")] and again[to[1] :].tolist() == gh
 
 
+def test_plain_words_are_encoded_piece_by_piece():
+    """Words that share letters cost no more model calls: a worker remembers pieces, not words."""
+    stems = ["deneinen", "oieuxon", "Éenêen", "ß", "x"]
+    words = [up(s) + tail for s in stems for up in (str.lower, str.capitalize, str.upper) for tail in ["", ",", "!!", "$$$", "7", "42.", "é×"]]
+    words += ["don't", "a<|endoftext|>b", "a<b", "漢字", "é", "x" * 5000 + "7,", "\x1cx"]
+    enc = wordtokens.WordEncoder(WORD)
+    texts = [" ".join(words), None, "".join(words), *words]
+    ids, off = enc.encode(pa.array(texts))
+    for t, a, b in zip(texts, off[:-1], off[1:], strict=True):
+        assert ids[a:b].tolist() == ids_of(WORD, t)
+    enc = wordtokens.WordEncoder(WORD)
+    enc.encode(pa.array([s + tail for s in ("one", "Two", "THREE") for tail in ("", ",", ".", "!", ";", ":")]))
+    assert len(enc.words) == 3 + 5
+
+
 def test_token_files_round_trip(spark, odd):
     path = staging_path(spark, "test-shards")
     tokenfiles.write_shards(odd, WORD, path, shard_bytes=4000)
