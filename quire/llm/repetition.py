@@ -33,8 +33,8 @@ MAX_REPEAT_PERCENT = 50
 #: Largest share of characters in duplicated n-grams, by n (longer ones are rarer in sound text), and in duplicated lines.
 MAX_NGRAM_SHARE = {5: 0.30, 7: 0.25, 10: 0.20}
 MAX_LINE_SHARE = 0.30
-#: Text bytes measured at once.
-STEP_BYTES = 2 << 20
+#: Text bytes measured at once; that takes some forty times as much memory.
+STEP_BYTES = 1 << 20
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[list(b"#*$%&|<>")] = True

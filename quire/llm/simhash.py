@@ -37,6 +37,8 @@ from quire.llm.textwords import Words, slices
 WORDS = 4
 MAX_BITS = 4
 SEED = 42
+#: Text bytes fingerprinted at once.
+STEP_BYTES = 1 << 20
 #: Fingerprints in a page and in a leaf.
 PAGE, LEAF = 1024, 32
 
@@ -75,7 +77,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, keep: str = "doc_id") -> D
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=STEP_BYTES):
                 fp = shingle_fingerprints(part.column("text"), words)
                 yield pa.RecordBatch.from_arrays([part.column(keep), pa.array(fp.view(np.int64))], [keep, "fp"])
 
